@@ -199,7 +199,7 @@ def tag_level_report(spark, d):
 
 @query(
     "tag_items_by_admin",
-    f"{tagged_sql('item_points')} SELECT adm1_pcode, adm2_pcode, count(*) AS features FROM tagged GROUP BY ALL",
+    f"{tagged_sql('item_points')} SELECT adm1_pcode, adm2_pcode, CAST(sum(items) AS BIGINT) AS features FROM tagged JOIN item_points USING (id) GROUP BY ALL",
 )
 def tag_items_by_admin(spark, d):
     points = V.item_points(spark, d).select("id", G.point("x", "y").alias("geom"))
@@ -274,8 +274,8 @@ def resume_anti_join(spark, d):
 @query(
     "stale_cache_join",
     "WITH remote AS (SELECT o_custkey % 5 AS level, CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) AS upstream_date FROM orders GROUP BY 1), "
-    "local AS (SELECT CAST(s_suppkey % 5 AS BIGINT) AS level, CASE WHEN s_suppkey % 5 IN (1, 3) THEN '1990-01-01' ELSE "
-    "(SELECT upstream_date FROM remote r WHERE r.level = s_suppkey % 5) END AS local_date FROM supplier WHERE s_suppkey % 5 <> 4 GROUP BY s_suppkey % 5) "
+    "seen AS (SELECT DISTINCT s_suppkey % 5 AS level FROM supplier WHERE s_suppkey % 5 <> 4), "
+    "local AS (SELECT s.level, CASE WHEN s.level IN (1, 3) THEN '1990-01-01' ELSE r.upstream_date END AS local_date FROM seen s JOIN remote r ON s.level = r.level) "
     "SELECT CAST(r.level AS INTEGER) AS level, upstream_date, local_date FROM remote r LEFT JOIN local l ON r.level = l.level "
     "WHERE l.local_date IS DISTINCT FROM r.upstream_date AND r.level > 0",
 )

@@ -40,15 +40,24 @@ def point_features(spark, d) -> DataFrame:
     return pts(spark, d).select("id", "name", "segment", "balance", G.point("x", "y").alias("geom"))
 
 
+ITEM_KEYS = ("(l_orderkey * 31 + l_partkey)", "(l_orderkey * 17 + l_suppkey)")
+
+
 def item_points(spark, d) -> DataFrame:
-    """One point per line item: the large point layer."""
+    """One point per line item: the large point layer. The id stands for the place,
+    so line items at one place share it."""
+    a, b = ITEM_KEYS
     return table(spark, d, "lineitem").selectExpr(
-        "l_orderkey * 8 + l_linenumber AS id",
-        f"{lon('(l_orderkey * 31 + l_partkey)')} AS x", f"{lat('(l_orderkey * 17 + l_suppkey)')} AS y",
+        f"({a} * 7919) % 36000 * 100000 + ({b} * 104729) % 18000 AS id", f"{lon(a)} AS x", f"{lat(b)} AS y",
         "l_returnflag AS flag", "l_quantity AS quantity",
     )
 
 
+def area(ring: Column) -> Column:
+    """A polygon of one ring that is closed already."""
+    return G.make("POLYGON", F.array(F.array(ring)))
+
+
 def outline(x0: str, y0: str, scale: int = 1) -> Column:
     pairs = ", ".join(
         f"struct(cast({x0} + {a // scale} as double) AS x, cast({y0} + {b // scale} as double) AS y)" for a, b in OUTLINE
@@ -59,7 +68,7 @@ def outline(x0: str, y0: str, scale: int = 1) -> Column:
 def admin1(spark, d) -> DataFrame:
     n = table(spark, d, "nation")
     shell = outline("(-180 + 72 * (n_nationkey % 5))", "(-90 + 36 * floor(n_nationkey / 5))")
-    return n.select(F.col("n_nationkey").alias("k"), G.polygon(shell).alias("geom"), "n_name", "n_regionkey")
+    return n.select(F.col("n_nationkey").alias("k"), area(shell).alias("geom"), "n_name", "n_regionkey")
 
 
 def admin2(spark, d) -> DataFrame:
@@ -68,7 +77,7 @@ def admin2(spark, d) -> DataFrame:
         "(-180 + 72 * (n_nationkey % 5) + 36 * (q % 2))", "(-90 + 36 * floor(n_nationkey / 5) + 18 * floor(q / 2))", 2
     )
     return quarters.select(
-        (F.col("n_nationkey") * 4 + F.col("q")).cast("int").alias("k"), G.polygon(shell).alias("geom"), "n_nationkey", "q"
+        (F.col("n_nationkey") * 4 + F.col("q")).cast("int").alias("k"), area(shell).alias("geom"), "n_nationkey", "q"
     )
 
 
@@ -78,7 +87,7 @@ def regions(spark, d) -> DataFrame:
     corners = ((-180, 0), (180, 0), (180, 36), (-180, 36), (-180, 0))
     pairs = ", ".join(f"struct(cast({a} as double) AS x, cast({y} + {b} as double) AS y)" for a, b in corners)
     return table(spark, d, "region").select(
-        F.col("r_regionkey").alias("k"), F.col("r_name").alias("iso3"), G.polygon(F.expr(f"array({pairs})")).alias("geom")
+        F.col("r_regionkey").alias("k"), F.col("r_name").alias("iso3"), area(F.expr(f"array({pairs})")).alias("geom")
     )
 
 
@@ -131,26 +140,26 @@ def poly_features(spark, d) -> DataFrame:
     corners = ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))
     shell = "array(" + ", ".join(f"struct({x} + {a} * {s} AS x, {y} + {b} * {s} AS y)" for a, b in corners) + ")"
     return table(spark, d, "supplier").select(
-        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), G.polygon(F.expr(shell)).alias("geom")
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), area(F.expr(shell)).alias("geom")
     )
 
 
 def mixed_features(spark, d) -> DataFrame:
     """Points, lines and polygons in one layer, with multi forms of each."""
 
-    def multi(g: str, when: str, kind: str) -> Column:
-        return F.expr(
-            f"CASE WHEN {when} THEN named_struct('kind', '{kind}', 'parts', concat({g}.parts, {g}.parts)) ELSE {g} END"
-        ).cast(G.GEOM_TYPE)
+    def multi(single: str, when: str) -> Column:
+        kind = f"CASE WHEN {when} THEN 'MULTI{single}' ELSE '{single}' END"
+        parts = f"CASE WHEN {when} THEN concat(geom.parts, geom.parts) ELSE geom.parts END"
+        return F.expr(f"named_struct('kind', {kind}, 'parts', {parts})")
 
     p = point_features(spark, d).select(
-        F.expr("concat('node/', cast(id as string))").alias("id"), multi("geom", "id % 4 = 0", "MULTIPOINT").alias("geom")
+        F.expr("concat('node/', cast(id as string))").alias("id"), multi("POINT", "id % 4 = 0").alias("geom")
     )
     line_ = line_features(spark, d).select(
-        F.expr("concat('way/', cast(id as string))").alias("id"), multi("geom", "id % 5 = 0", "MULTILINESTRING").alias("geom")
+        F.expr("concat('way/', cast(id as string))").alias("id"), multi("LINESTRING", "id % 5 = 0").alias("geom")
     )
     poly = poly_features(spark, d).select(
-        F.expr("concat('area/', cast(id as string))").alias("id"), multi("geom", "id % 3 = 0", "MULTIPOLYGON").alias("geom")
+        F.expr("concat('area/', cast(id as string))").alias("id"), multi("POLYGON", "id % 3 = 0").alias("geom")
     )
     return p.unionByName(line_).unionByName(poly)
 
@@ -218,9 +227,8 @@ _OUTLINE_ROWS = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(OUTLINE)
 SQL = {
     "pts": f"""pts AS (SELECT c_custkey AS id, {lon('c_custkey')} AS x, {lat('c_custkey')} AS y,
         c_name AS name, c_mktsegment AS segment, c_acctbal AS balance FROM customer)""",
-    "item_points": f"""item_points AS (SELECT l_orderkey * 8 + l_linenumber AS id,
-        {lon('(l_orderkey * 31 + l_partkey)')} AS x, {lat('(l_orderkey * 17 + l_suppkey)')} AS y,
-        l_returnflag AS flag, l_quantity AS quantity FROM lineitem)""",
+    "item_points": f"""item_points AS (SELECT ({ITEM_KEYS[0]} * 7919) % 36000 * 100000 + ({ITEM_KEYS[1]} * 104729) % 18000 AS id,
+        {lon(ITEM_KEYS[0])} AS x, {lat(ITEM_KEYS[1])} AS y, count(*) AS items FROM lineitem GROUP BY ALL)""",
     "edges1": f"""outl(i, a, b) AS (VALUES {_OUTLINE_ROWS}),
     v1 AS (SELECT n_nationkey AS k, i, CAST(-180 + 72 * (n_nationkey % 5) + a AS DOUBLE) AS x,
         CAST(-90 + 36 * (n_nationkey // 5) + b AS DOUBLE) AS y FROM nation, outl),

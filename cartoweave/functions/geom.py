@@ -47,7 +47,7 @@ def vertex(x: Column, y: Column) -> Column:
 
 def make(kind: str | Column, parts: Column) -> Column:
     kind = F.lit(kind) if isinstance(kind, str) else kind
-    return F.struct(kind.alias("kind"), parts.cast(PARTS_TYPE).alias("parts"))
+    return F.struct(kind.alias("kind"), parts.alias("parts"))
 
 
 def point(x: Column | str, y: Column | str) -> Column:
@@ -78,10 +78,8 @@ def kind(geom: Column | str) -> Column:
 
 def label_of_kind(kind_col: Column) -> Column:
     """points / lines / polygons, NULL for a kind without a class."""
-    expr = F.lit(None).cast("string")
-    for name, label in KIND_LABELS.items():
-        expr = F.when(kind_col == name, F.lit(label)).otherwise(expr)
-    return expr
+    table = F.create_map(*[F.lit(s) for pair in KIND_LABELS.items() for s in pair])
+    return table[kind_col]
 
 
 def label(geom: Column | str) -> Column:
@@ -94,15 +92,24 @@ def vertices(geom: Column | str) -> Column:
 
 def extent(geom: Column | str) -> Column:
     """``struct<xmin, ymin, xmax, ymax>``; NULL bounds when there is no vertex."""
-    pts = vertices(geom)
-    xs = F.transform(pts, lambda v: v["x"])
-    ys = F.transform(pts, lambda v: v["y"])
-    return F.struct(
-        F.array_min(xs).alias("xmin"),
-        F.array_min(ys).alias("ymin"),
-        F.array_max(xs).alias("xmax"),
-        F.array_max(ys).alias("ymax"),
-    )
+    names = ("xmin", "ymin", "xmax", "ymax")
+    none = F.struct(*[F.lit(None).cast("double").alias(n) for n in names])
+
+    def grow(b, v):
+        return F.struct(
+            F.least(b["xmin"], v["x"]).alias("xmin"),
+            F.least(b["ymin"], v["y"]).alias("ymin"),
+            F.greatest(b["xmax"], v["x"]).alias("xmax"),
+            F.greatest(b["ymax"], v["y"]).alias("ymax"),
+        )
+
+    return F.coalesce(F.aggregate(vertices(geom), none, grow), none)
+
+
+def holds(value: Column, test) -> Column:
+    """``test(value)`` with the value worked out once, however often the test names
+    it. NULL where the test is NULL."""
+    return F.get(F.transform(F.array(value), test), F.lit(0))
 
 
 def ring_edges(ring: Column) -> Column:
@@ -157,16 +164,7 @@ def dump(geom: Column | str) -> Column:
 
 
 def _mean_vertex(geom: Column) -> Column:
-    pts = vertices(geom)
-    n = F.size(pts)
-    zero = F.lit(0.0)
-    return F.when(
-        n > 0,
-        F.struct(
-            (F.aggregate(pts, zero, lambda s, v: s + v["x"]) / n).alias("x"),
-            (F.aggregate(pts, zero, lambda s, v: s + v["y"]) / n).alias("y"),
-        ),
-    )
+    return _moments(vertices(geom), lambda v: (F.lit(1.0), v["x"], v["y"]), _mean_of)
 
 
 def _moments(items: Column, weigh, finish=None) -> Column:

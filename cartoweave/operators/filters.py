@@ -81,8 +81,11 @@ def build_where(
     """The cheap part of the category filter: box, Earth, user conditions. A stored
     ``bbox`` struct lets the first two reach the parquet scan. The exact boundary
     test (``spatial.intersects_boundary``) goes on top of the rows left over."""
-    extent = F.col(box) if box is not None else G.extent(geom)
-    return where_all(df.where(bbox_overlaps(extent, bbox)).where(on_earth(extent)), conditions)
+    if box is not None:
+        df = df.where(bbox_overlaps(F.col(box), bbox)).where(on_earth(F.col(box)))
+    else:
+        df = df.where(G.holds(G.extent(geom), lambda b: bbox_overlaps(b, bbox) & on_earth(b)))
+    return where_all(df, conditions)
 
 
 def normalise_value(value):

@@ -278,7 +278,7 @@ def _touching_ids(features, boundary, index, id_col, geom, coarse_step):
     )
     begins = pip_pairs(starts, index, [id_col]).select(id_col)
 
-    segments = features.where(G.label(geom) != "points").select(
+    segments = features.where(~F.endswith(G.kind(geom), F.lit("POINT"))).select(
         id_col, F.explode(G.edges(geom)).alias("e")
     ).select(id_col, "e.*")
     border = index.rows.where("edges IS NOT NULL").select("cell", "edges")
@@ -292,7 +292,7 @@ def _touching_ids(features, boundary, index, id_col, geom, coarse_step):
     )
     rings = rings.withColumn("_c", coarse.cell(F.col("bx"), F.col("by")))
     box = G.extent(geom)
-    areas = features.where(G.label(geom) == "polygons").select(
+    areas = features.where(F.endswith(G.kind(geom), F.lit("POLYGON"))).select(
         id_col, F.col(geom).alias("_g"), box.alias("_box")
     )
     areas = areas.withColumn(
