@@ -58,14 +58,18 @@ KML_TAIL = "</Document></kml>"
 
 def _kml_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Wraps the placemarks of one output file; a file without any stays empty."""
-    opened = False
+
+    def line(text: str, schema: pa.Schema) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([text], type=schema.field(0).type)], schema=schema)
+
+    opened = None
     for batch in batches:
-        if batch.num_rows and not opened:
-            opened = True
-            yield pa.RecordBatch.from_pydict({"value": [KML_HEAD]})
+        if batch.num_rows and opened is None:
+            opened = batch.schema
+            yield line(KML_HEAD, opened)
         yield batch
-    if opened:
-        yield pa.RecordBatch.from_pydict({"value": [KML_TAIL]})
+    if opened is not None:
+        yield line(KML_TAIL, opened)
 
 
 def write_kml(df: DataFrame, path: str, geom: str = "geom") -> None:
@@ -122,7 +126,9 @@ def write_theme_cache(
     cached.write.mode("append").partitionBy("snapshot", "theme").parquet(root)
     back = df.sparkSession.read.parquet(root).where(F.col("snapshot") == snapshot)
     path = F.concat_ws("/", F.lit(root), F.concat(F.lit("snapshot="), "snapshot"), F.concat(F.lit("theme="), "theme"))
-    return back.groupBy("snapshot", "theme").agg(F.count("*").alias("rows")).withColumn("path", path)
+    return (
+        back.withColumn("snapshot", F.lit(snapshot)).groupBy("snapshot", "theme").agg(F.count("*").alias("rows")).withColumn("path", path)
+    )
 
 
 def cached_themes(spark: SparkSession, root: str, snapshot: str) -> list[str]:
