@@ -110,7 +110,7 @@ def filter_bbox_struct(spark, d):
     f"{V.with_('lines')} SELECT id FROM lines WHERE least(x1, x2) <= 60 AND greatest(x1, x2) >= -100 AND least(y1, y2) <= 50 AND greatest(y1, y2) >= -40",
 )
 def filter_bbox_geom(spark, d):
-    return V.line_features(spark, d).where(G.holds(G.extent("geom"), lambda b: FL.bbox_overlaps(b, BBOX))).select("id")
+    return V.line_features(spark, d).where(G.once(G.extent("geom"), lambda b: FL.bbox_overlaps(b, BBOX))).select("id")
 
 
 @query(
@@ -118,7 +118,7 @@ def filter_bbox_geom(spark, d):
     f"{V.with_('lines')} SELECT id FROM lines WHERE least(x1, x2) >= -180 AND greatest(x1, x2) <= 180 AND least(y1, y2) >= -90 AND greatest(y1, y2) <= 90",
 )
 def filter_earth(spark, d):
-    return V.line_features(spark, d).where(G.holds(G.extent("geom"), FL.on_earth)).select("id")
+    return V.line_features(spark, d).where(G.once(G.extent("geom"), FL.on_earth)).select("id")
 
 
 def some_nations(spark, d):

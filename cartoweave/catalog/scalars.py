@@ -96,6 +96,14 @@ def geom_kind(spark, d):
     return V.mixed_features(spark, d).select("id", G.kind("geom").alias("kind"), G.label("geom").alias("label"))
 
 
+@query(
+    "geom_label",
+    "SELECT label, count(*) AS n FROM (SELECT 'points' AS label FROM customer UNION ALL SELECT 'lines' FROM orders UNION ALL SELECT 'polygons' FROM supplier) GROUP BY label",
+)
+def geom_label(spark, d):
+    return V.mixed_features(spark, d).groupBy(G.label("geom").alias("label")).agg(F.count("*").alias("n"))
+
+
 @query(
     "geom_centroid",
     f"{V.with_('pts', 'lines', 'squares')} SELECT 'node/' || id AS id, round(x, 6) AS cx, round(y, 6) AS cy FROM pts "

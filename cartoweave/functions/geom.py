@@ -106,10 +106,9 @@ def extent(geom: Column | str) -> Column:
     return F.coalesce(F.aggregate(vertices(geom), none, grow), none)
 
 
-def holds(value: Column, test) -> Column:
-    """``test(value)`` with the value worked out once, however often the test names
-    it. NULL where the test is NULL."""
-    return F.get(F.transform(F.array(value), test), F.lit(0))
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def ring_edges(ring: Column) -> Column:
@@ -242,12 +241,10 @@ def centroid(geom: Column | str) -> Column:
     """``struct<x, y>``: mean of points, length-weighted for lines, area-weighted
     for polygons (holes subtract). Zero length or area falls back to the mean."""
     g = as_col(geom)
-
-    which = label(g)
-    return F.coalesce(
-        F.when(which == "lines", _line_centroid(g)).when(which == "polygons", _area_centroid(g)),
-        _mean_vertex(g),
+    weighted = F.when(F.endswith(kind(g), F.lit("LINESTRING")), _line_centroid(g)).when(
+        F.endswith(kind(g), F.lit("POLYGON")), _area_centroid(g)
     )
+    return F.when(kind(g) == "POINT", g["parts"][0][0][0]).otherwise(F.coalesce(weighted, _mean_vertex(g)))
 
 
 def contains_xy(geom: Column | str, x: Column, y: Column) -> Column:

@@ -8,7 +8,7 @@ import unicodedata
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartoweave.functions.geom import as_col
+from cartoweave.functions.geom import as_col, once
 
 
 def slug_of(text: str) -> str:
@@ -175,17 +175,34 @@ def latin_map() -> dict[str, str]:
     return out
 
 
+# Code point ranges whose letters may become several Latin ones, by script.
+SCRIPTS = ("\u00c0-\u024f\u0259\u1e00-\u1eff", "\u0400-\u04ff", "\u0370-\u03ff\u1f00-\u1fff", "\u0900-\u097f")
+
+
+def _speller(script: str, words: dict[str, str]):
+    """Writes out the letters of one script, in texts that have any."""
+    letters = {k: v for k, v in words.items() if re.match(f"[{script}]", k)}
+
+    def spell(t: Column) -> Column:
+        spelled = t
+        for char, word in letters.items():
+            spelled = F.replace(spelled, F.lit(char), F.lit(word))
+        return F.when(t.rlike(f"[{script}]"), spelled).otherwise(t)
+
+    return spell
+
+
 def latin(c: Column | str) -> Column:
     """Text in Latin letters. Plain ASCII text is passed through untouched; letters
-    outside the map stay as they are."""
+    outside the map stay as they are. A text only pays for the scripts it uses."""
     text = as_col(c)
     table = latin_map()
     single = {k: v for k, v in table.items() if len(v) == 1}
     dropped = "".join(k for k, v in table.items() if v == "")
+    words = {k: v for k, v in table.items() if len(v) > 1}
     out = F.translate(text, "".join(single) + dropped, "".join(single.values()))
-    for char, word in table.items():
-        if len(word) > 1:
-            out = F.replace(out, F.lit(char), F.lit(word))
+    for script in SCRIPTS:
+        out = once(out, _speller(script, words))
     return F.when(text.rlike("[^\\x00-\\x7f]"), out).otherwise(text)
 
 

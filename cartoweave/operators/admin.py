@@ -72,9 +72,11 @@ def adm0_seed(admin: DataFrame, iso3: str) -> DataFrame:
 
 
 def level_summary(admin: DataFrame) -> DataFrame:
-    """Per level: polygons and polygons with a code (at most one row per level)."""
+    """Per level: polygons, polygons with a code and the smallest country code and
+    name (at most one row per level)."""
+    country = F.when(F.col("adm0_pcode").isNotNull(), F.struct("adm0_pcode", "adm0_name"))
     return admin.groupBy("level").agg(
-        F.count("*").alias("polygons"), F.count("pcode").alias("coded")
+        F.count("*").alias("polygons"), F.count("pcode").alias("coded"), F.min(country).alias("adm0")
     )
 
 
@@ -246,7 +248,7 @@ def tag_admin(
     summary = {r["level"]: r for r in level_summary(admin).collect()}
     if not any(n in summary for n in levels):
         return ensure_levels(features, levels, None, iso3).select(*order)
-    adm0 = adm0_seed(admin.where(F.col("level").isin(*levels)), iso3).first()
+    adm0 = next((summary[n]["adm0"] for n in levels if n in summary and summary[n]["adm0"]), None)
     coded = [n for n in levels if n in summary and summary[n]["coded"] > 0]
     if not coded:
         return ensure_levels(features, levels, adm0, iso3).select(*order)
@@ -276,15 +278,12 @@ def _settle(lookup: AdminLookup, level: int, cx: Column, cy: Column) -> Column:
     here = F.col(f"L{level}")
     if lookup.index is None:
         return F.coalesce(here["owner"], here["near"])
-    holds = F.filter(
+    holding = F.filter(
         here["candidates"],
         lambda c: lookup.index.parity(cx, cy, c["edges"], c["base"]) == 1,
     )
-    first = F.get(holds, 0)
-    return F.coalesce(
-        here["owner"],
-        F.when(first.isNotNull(), F.struct(first["pcode"].alias("pcode"), first["name"].alias("name"))),
-    )
+    named = F.transform(holding, lambda c: F.struct(c["pcode"].alias("pcode"), c["name"].alias("name")))
+    return F.coalesce(here["owner"], F.get(named, 0))
 
 
 def _settle_crowded(tagged: DataFrame, lookup: AdminLookup, id_col: str, cx: Column, cy: Column) -> DataFrame:

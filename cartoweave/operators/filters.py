@@ -84,7 +84,7 @@ def build_where(
     if box is not None:
         df = df.where(bbox_overlaps(F.col(box), bbox)).where(on_earth(F.col(box)))
     else:
-        df = df.where(G.holds(G.extent(geom), lambda b: bbox_overlaps(b, bbox) & on_earth(b)))
+        df = df.where(G.once(G.extent(geom), lambda b: bbox_overlaps(b, bbox) & on_earth(b)))
     return where_all(df, conditions)
 
 
