@@ -90,6 +90,11 @@ class AdminLookup:
     index: S.CellIndex | None
     crowded: bool
 
+    def release(self) -> None:
+        self.rows.unpersist()
+        if self.index is not None:
+            self.index.release()
+
 
 def cell_owners(cover: DataFrame) -> DataFrame:
     """One owner per (level, cell): the smallest code among those that cover it."""

@@ -126,7 +126,7 @@ def _flip_count(edges: Column, x: Column, y: Column, right: Column) -> Column:
 
 @dataclass(frozen=True)
 class CellIndex:
-    """``rows``: (keys..., cell, owned, pieces, base, edges).
+    """``rows``: (keys..., cell, piece, pieces, owned, base, edges).
 
     ``owned`` says the cell centre is inside. ``base`` is the parity before the
     listed edges are counted. ``edges`` is NULL where no edge touches the cell.
@@ -136,6 +136,9 @@ class CellIndex:
     keys: tuple[str, ...]
     rows: DataFrame
 
+    def release(self) -> None:
+        self.rows.unpersist()
+
     def parity(self, x: Column, y: Column, edges: Column | None = None, base: Column | None = None):
         edges = F.col("edges") if edges is None else edges
         base = F.col("base") if base is None else base
@@ -185,7 +188,7 @@ def build_index(
         )
         .withColumn("edges", F.expr("nullif(edges, cast(array() as array<" + G.EDGE_TYPE + ">))"))
         .select(
-            *keys, "cell", "pieces",
+            *keys, "cell", "piece", "pieces",
             (F.col("inside") == 1).alias("owned"),
             ((F.col("inside") + at_centre) % 2).cast("int").alias("base"),
             "edges",
@@ -216,7 +219,10 @@ def pip_pairs(
         return whole
     spread = (
         hit.where("pieces > 1")
-        .groupBy(*id_cols, *index.keys)
+        # Once per piece first: the same point may come in more than once.
+        .groupBy(*id_cols, x, y, *index.keys, "piece")
+        .agg(F.max("_p").alias("_p"))
+        .groupBy(*id_cols, x, y, *index.keys)
         .agg(F.sum("_p").alias("_n"))
         .where("_n % 2 = 1")
         .select(*id_cols, *index.keys)
@@ -261,6 +267,7 @@ def intersects_boundary(
     id_col: str,
     step: float = DEFAULT_STEP,
     geom: str = "geom",
+    boundary_geom: str = "geom",
     coarse_step: float = 5.0,
 ) -> DataFrame:
     """Whole features that share a point with the boundary polygons (no clipping).
@@ -268,11 +275,12 @@ def intersects_boundary(
     A feature qualifies when a part starts inside, when one of its segments meets
     a boundary edge, or when it contains a boundary ring outright.
     """
-    index = boundary_index(boundary, step, geom)
-    return features.join(_touching_ids(features, boundary, index, id_col, geom, coarse_step), id_col, "left_semi")
+    index = boundary_index(boundary, step, boundary_geom)
+    rings = boundary.select(F.explode(F.flatten(G.as_col(boundary_geom)["parts"])).alias("r"))
+    return features.join(_touching_ids(features, rings, index, id_col, geom, coarse_step), id_col, "left_semi")
 
 
-def _touching_ids(features, boundary, index, id_col, geom, coarse_step):
+def _touching_ids(features, rings, index, id_col, geom, coarse_step):
     starts = features.select(id_col, F.explode(G.part_starts(geom)).alias("v")).select(
         id_col, "v.x", "v.y"
     )
@@ -287,10 +295,7 @@ def _touching_ids(features, boundary, index, id_col, geom, coarse_step):
     crossing = edge_cells(segments, index.grid).join(border, "cell").where(meets).select(id_col)
 
     coarse = lonlat(coarse_step)
-    rings = boundary.select(F.explode(F.flatten(G.as_col(geom)["parts"])).alias("r")).select(
-        F.col("r")[0]["x"].alias("bx"), F.col("r")[0]["y"].alias("by")
-    )
-    rings = rings.withColumn("_c", coarse.cell(F.col("bx"), F.col("by")))
+    rings = rings.select(F.col("r")[0]["x"].alias("bx"), F.col("r")[0]["y"].alias("by")).withColumn("_c", coarse.cell(F.col("bx"), F.col("by")))
     box = G.extent(geom)
     areas = features.where(F.endswith(G.kind(geom), F.lit("POLYGON"))).select(
         id_col, F.col(geom).alias("_g"), box.alias("_box")

@@ -288,7 +288,7 @@ class GeoParquetWriter(DataSourceArrowWriter):
                 if writer is None:
                     name = f"part-{uuid.uuid4().hex}.parquet"
                     fs.create_dir(f"{root}/_pending", recursive=True)
-                    writer = pq.ParquetWriter(f"{root}/_pending/{name}", table.schema, filesystem=fs, compression="zstd")
+                    writer = pq.ParquetWriter(f"{root}/_pending/{name}", table.schema, filesystem=fs, compression="zstd", store_schema=False)
                 writer.write_table(table, row_group_size=ROW_GROUP_ROWS)
         finally:
             if writer is not None:

@@ -104,6 +104,16 @@ def test_within_distance(spark):
         S.within_distance(pts, polygons(spark, bounds), -1.0, "id")
 
 
+def test_repeated_points_in_crowded_cells(spark):
+    """Several parts of one feature may start at the same crowded place."""
+    polys, points = random_world(4)
+    inside = [(x, y) for x, y in points[:1500] if any(brute_inside(p, x, y) for p in polys)][:50]
+    pts = spark.createDataFrame([(7, x, y) for x, y in inside] * 2, "id int, x double, y double")
+    index = S.build_index(polygons(spark, polys), ["k"], 6.0, edges_per_row=2)
+    got = sorted((r["id"], r["k"]) for r in S.pip_pairs(pts, index, ["id"]).distinct().collect())
+    assert got == sorted({(7, k) for x, y in inside for k, p in enumerate(polys) if brute_inside(p, x, y)})
+
+
 def test_cell_cover_area_and_single_owner(spark):
     square = [[(0.0, 0.0), (5.0, 0.0), (5.0, 5.0), (0.0, 5.0), (0.0, 0.0)], [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 2.0), (1.0, 1.0)]]
     right = [[(5.0, 0.0), (9.0, 0.0), (9.0, 5.0), (5.0, 5.0), (5.0, 0.0)]]
