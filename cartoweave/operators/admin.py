@@ -27,6 +27,11 @@ RESOLUTIONS = ("h3_neighbor", "geos")
 # Extra mode: the exact test for every feature, not only for the residuals.
 STRICT = "strict"
 
+# Cells along one side of a lookup block, and the size from which a lookup is
+# folded into blocks. Smaller ones are broadcast as they are.
+BLOCK = 16
+BLOCKS_FROM = 200_000
+
 # Most edges listed in one lookup cell; beyond it the cell's features are matched
 # by a count per feature instead.
 MAX_CELL_EDGES = 2048
@@ -82,16 +87,24 @@ def level_summary(admin: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class AdminLookup:
-    """``rows``: ``cell`` and per level ``L<n>`` a struct of owner and fallback."""
+    """``rows``: ``cell`` and per level ``L<n>`` a struct of owner and fallback.
+
+    In a large lookup, ``blocks`` holds one row for every square of ``BLOCK`` x
+    ``BLOCK`` cells that all have the same owners, in place of its cells. That
+    leaves ``rows`` with the cells near a border.
+    """
 
     grid: Grid
     levels: tuple[int, ...]
     rows: DataFrame
+    blocks: DataFrame | None
     index: S.CellIndex | None
     crowded: bool
 
     def release(self) -> None:
         self.rows.unpersist()
+        if self.blocks is not None:
+            self.blocks.unpersist()
         if self.index is not None:
             self.index.release()
 
@@ -125,6 +138,7 @@ def build_lookup(
     mode: str = "geos",
     step: float = DEFAULT_STEP,
     max_cell_edges: int = MAX_CELL_EDGES,
+    blocks_from: int = BLOCKS_FROM,
 ) -> AdminLookup:
     """``admin``: (level, pcode, name, geom). Built once per country and mode."""
     grid = lonlat(step)
@@ -163,12 +177,42 @@ def build_lookup(
         *[F.first(F.when(F.col("level") == n, found), ignorenulls=True).alias(f"L{n}") for n in levels]
     )
     wide = measured(wide)
+    blocks = None
+    if wide.count() >= blocks_from:
+        wide, blocks = _fold(wide, grid, levels)
     if index is not None:
         any_busy = F.lit(False)
         for n in levels:
             any_busy = any_busy | F.coalesce(F.col(f"L{n}.busy"), F.lit(False))
         crowded = not wide.where(any_busy).isEmpty()
-    return AdminLookup(grid, tuple(levels), wide, index, crowded)
+    return AdminLookup(grid, tuple(levels), wide, blocks, index, crowded)
+
+
+def _fold(wide: DataFrame, grid: Grid, levels: Sequence[int]) -> tuple[DataFrame, DataFrame]:
+    """The cells that differ within their block, and the blocks of equal cells."""
+    owners = F.struct(*[F.col(f"L{n}.owner").alias(f"O{n}") for n in levels])
+    settled = F.lit(True)
+    for n in levels:
+        settled = settled & F.coalesce(F.col(f"L{n}").isNull() | F.col(f"L{n}.owner").isNotNull(), F.lit(False))
+    blocked = wide.withColumn("block", block_of(grid, F.col("cell")))
+    blocks = measured(
+        blocked.groupBy("block")
+        .agg(
+            F.count("*").alias("n"), F.bool_and(settled).alias("settled"),
+            F.min(owners).alias("lo"), F.max(owners).alias("hi"),
+        )
+        .where((F.col("n") == BLOCK * BLOCK) & F.col("settled") & (F.col("lo") == F.col("hi")))
+        .select("block", F.col("lo").alias("owners"))
+    )
+    rest = measured(blocked.join(blocks.select("block"), "block", "left_anti").drop("block"))
+    wide.unpersist()
+    return rest, blocks
+
+
+def block_of(grid: Grid, cell: Column) -> Column:
+    across = -(-grid.n_cols // BLOCK)
+    row, col = F.floor(grid.row_of(cell) / BLOCK), F.floor(grid.col_of(cell) / BLOCK)
+    return (row * across + col).cast("bigint")
 
 
 def with_centroid(df: DataFrame, geom: str = "geom") -> DataFrame:
@@ -262,19 +306,21 @@ def tag_admin(
         lookup = build_lookup(admin.where(F.col("level").isin(*coded)), coded, mode, step)
     cx, cy = F.col("_c.x"), F.col("_c.y")
     tagged = features.withColumn("_c", G.centroid(geom)).withColumn("_cell", lookup.grid.cell(cx, cy))
-    tagged = tagged.join(
-        lookup.rows.withColumnRenamed("cell", "_cell"), "_cell", "left"
-    )
-    for n in lookup.levels:
-        tagged = tagged.withColumn(f"_t{n}", _settle(lookup, n, cx, cy))
+    tagged = tagged.join(lookup.rows.withColumnRenamed("cell", "_cell"), "_cell", "left")
+    found = {n: _settle(lookup, n, cx, cy) for n in lookup.levels}
+    if lookup.blocks is not None:
+        blocks = lookup.blocks.withColumnRenamed("block", "_block")
+        tagged = tagged.withColumn("_block", block_of(lookup.grid, F.col("_cell"))).join(blocks, "_block", "left")
+        found = {n: F.coalesce(F.col(f"owners.O{n}"), c) for n, c in found.items()}
+    tagged = tagged.withColumns({f"_t{n}": c for n, c in found.items()})
     if lookup.crowded:
         if id_col is None:
             raise ValueError("crowded admin cells: tag_admin needs id_col")
         tagged = _settle_crowded(tagged, lookup, id_col, cx, cy)
+    codes = {}
     for n in lookup.levels:
-        tagged = tagged.withColumn(f"adm{n}_pcode", F.col(f"_t{n}.pcode")).withColumn(
-            f"adm{n}_name", F.col(f"_t{n}.name")
-        )
+        codes[f"adm{n}_pcode"], codes[f"adm{n}_name"] = F.col(f"_t{n}.pcode"), F.col(f"_t{n}.name")
+    tagged = tagged.withColumns(codes)
     return ensure_levels(tagged, levels, adm0, iso3).select(*order)
 
 

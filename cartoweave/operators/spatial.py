@@ -273,11 +273,50 @@ def intersects_boundary(
     """Whole features that share a point with the boundary polygons (no clipping).
 
     A feature qualifies when a part starts inside, when one of its segments meets
-    a boundary edge, or when it contains a boundary ring outright.
+    a boundary edge, or when it contains a boundary ring outright. Most features
+    lie within one cell: they are settled by one semi join that carries the whole
+    test, and are not shuffled when the index is small. The others are spread over
+    the cells they touch and come back by id.
     """
     index = boundary_index(boundary, step, boundary_geom)
     rings = boundary.select(F.explode(F.flatten(G.as_col(boundary_geom)["parts"])).alias("r"))
-    return features.join(_touching_ids(features, rings, index, id_col, geom, coarse_step), id_col, "left_semi")
+    grid = index.grid
+    located = features.withColumn(
+        "_cell",
+        G.once(
+            G.extent(geom),
+            lambda b: F.when(
+                (grid.col(b["xmin"] - PAD) == grid.col(b["xmax"] + PAD))
+                & (grid.row(b["ymin"] - PAD) == grid.row(b["ymax"] + PAD)),
+                grid.cell(b["xmin"], b["ymin"]),
+            ),
+        ),
+    )
+    single = index.rows.where("pieces = 1").select("cell", "base", "edges")
+    on = (F.col("_cell") == F.col("cell")) & _meets_cell(F.col(geom), index)
+    near = located.join(single, on, "left_semi").drop("_cell")
+    far = located.where("_cell IS NULL")
+    crowded = index.rows.where("pieces > 1").select(F.col("cell").alias("_cell")).distinct()
+    if not crowded.isEmpty():
+        far = far.unionByName(located.join(crowded, "_cell", "left_semi").select(*far.columns))
+    far = far.drop("_cell")
+    ids = _touching_ids(far, rings, index, id_col, geom, coarse_step)
+    return near.unionByName(far.join(ids, id_col, "left_semi").select(*near.columns))
+
+
+def _meets_cell(geom: Column, index: CellIndex) -> Column:
+    """The whole test for a feature that lies in the joined cell: all that the
+    boundary can do to it is listed there."""
+    starts_inside = F.exists(G.part_starts(geom), lambda v: index.parity(v["x"], v["y"]) == 1)
+    crosses = F.exists(
+        G.edges(geom), lambda own: F.exists(F.col("edges"), lambda b: G.segments_meet(own, b))
+    )
+    holds_ring = F.endswith(geom["kind"], F.lit("POLYGON")) & F.exists(
+        F.col("edges"), lambda b: G.contains_xy(geom, b["x1"], b["y1"])
+    )
+    apart = F.endswith(geom["kind"], F.lit("POINT"))
+    more = F.when(F.col("edges").isNotNull() & ~apart, crosses | holds_ring).otherwise(F.lit(False))
+    return F.coalesce(starts_inside, F.lit(False)) | more
 
 
 def _touching_ids(features, rings, index, id_col, geom, coarse_step):

@@ -163,3 +163,20 @@ def test_crowded_cells_give_the_same_codes(spark):
         want.append((i, min(inside) if inside else None))
     assert run(tight) == want
     assert run(loose) == want
+
+
+@pytest.mark.parametrize("mode", ["geos", "h3_neighbor", "strict"])
+def test_folded_lookups_give_the_same_codes(spark, mode):
+    admin = admin_table(spark, {1: LEVEL1, 2: LEVEL2[:2]})
+    points = [(i, (i * 7 % 220) / 20 - 0.5, (i * 13 % 220) / 20 - 0.5) for i in range(2000)]
+    feats = spark.createDataFrame(points, "id int, x double, y double").select("id", G.point("x", "y").alias("geom"))
+    plain = A.build_lookup(admin, [1, 2], mode, 0.05)
+    folded = A.build_lookup(admin, [1, 2], mode, 0.05, blocks_from=0)
+    assert plain.blocks is None and folded.blocks.count() > 10
+    assert folded.rows.count() < plain.rows.count() / 2
+    run = lambda lk: sorted(
+        tuple(r) for r in A.tag_admin(feats, admin, "NPL", [1, 2], mode, id_col="id", lookup=lk).drop("geom").collect()
+    )
+    assert run(folded) == run(plain)
+    folded.release()
+    plain.release()

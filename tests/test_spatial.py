@@ -69,7 +69,7 @@ def test_intersects_equals_brute_force(spark):
 
 
 def test_repeated_boundary_parts_do_not_cancel(spark):
-    square = [[(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]]
+    square = [[(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0), (0.0, 0.0)]]
     bounds = polygons(spark, [square, square])
     pts = spark.createDataFrame([(1, 1.0, 1.0), (2, 3.0, 1.0)], "id int, x double, y double")
     assert [r["id"] for r in S.points_within(pts, S.boundary_index(bounds, 0.5), "id").collect()] == [1]
