@@ -145,7 +145,7 @@ MEET = """least(f.x1, f.x2) <= greatest(b.x1, b.x2) AND greatest(f.x1, f.x2) >=
     SELECT id FROM inside UNION SELECT id FROM crossing UNION SELECT id FROM holding""",
 )
 def filter_boundary_intersects(spark, d):
-    return S.intersects_boundary(V.mixed_features(spark, d), some_nations(spark, d), "id", V.STEP).select("id")
+    return S.intersects_boundary(V.stored(V.mixed_features(spark, d)), some_nations(spark, d), "id", V.STEP).select("id")
 
 
 @query(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from cartoweave.catalog import filtering as FI
@@ -17,20 +15,14 @@ from cartoweave.operators import layers as L
 from cartoweave.operators import profile as P
 from cartoweave.operators import resume as RS
 from cartoweave.plans import export as X
-from cartoweave.session import checkpoint_dir
 from cartoweave.sources import scans, sinks
 from cartoweave.sources.base import ExtractSource, ReleaseSource
 from cartoweave.sources.boundary import WORLD_BBOX, Boundary, parse_geojson
 from cartoweave.spec import CategorySpec, OsmBlock, OvertureBlock, RunSpec
 
 
-def scratch(spark, name: str) -> str:
-    """A fresh folder in the shared checkpoint area for a table written by a query."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/cartoweave/{name}-{uuid.uuid4().hex}"
-
-
 def write_release(spark, d) -> str:
-    root = scratch(spark, "release")
+    root = V.scratch(spark, "release")
     df = V.nested_features(spark, d).selectExpr(
         "*", "CASE WHEN p_partkey % 2 = 0 THEN 'places' ELSE 'base' END AS theme", "lower(class) AS type"
     )
@@ -52,7 +44,7 @@ def scan_hive_release(spark, d):
     f"{V.with_('tagged')} SELECT feature_id, brand, true AS tagged FROM tagged UNION ALL SELECT feature_id, NULL, false FROM tagged",
 )
 def scan_feature_extract(spark, d):
-    full, bare = scratch(spark, "extract"), scratch(spark, "extract")
+    full, bare = V.scratch(spark, "extract"), V.scratch(spark, "extract")
     df = V.tagged_features(spark, d)
     df.write.parquet(full)
     df.drop("tags").write.parquet(bare)
@@ -87,7 +79,7 @@ def latest_snapshot(spark, d):
     "SELECT 'N' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS pcode, n_name AS name, 'R2' AS adm0_pcode, 'Region 2' AS adm0_name FROM nation WHERE n_regionkey = 2",
 )
 def scan_admin_level(spark, d):
-    path = scratch(spark, "admin1")
+    path = V.scratch(spark, "admin1")
     V.admin_table(spark, d, 1).write.parquet(path)
     return scans.scan_admin(spark, path, 1, "r2").drop("geom")
 
@@ -183,14 +175,14 @@ def extract_smart(spark, d):
 
 @query("cluster_by_cell", f"{V.with_('lines')} SELECT id, priority, least(x1, x2) AS xmin FROM lines")
 def cluster_by_cell(spark, d):
-    path = scratch(spark, "clustered")
+    path = V.scratch(spark, "clustered")
     sinks.write_clustered(V.line_features(spark, d), path)
     return spark.read.parquet(path).select("id", "priority", "bbox.xmin")
 
 
 @query("write_layer_parquet", f"{V.with_('lines')} SELECT id, priority, x1, y1, x2, y2 FROM lines")
 def write_layer_parquet(spark, d):
-    path = scratch(spark, "layer")
+    path = V.scratch(spark, "layer")
     sinks.write_layer(V.line_features(spark, d), path)
     ring = F.col("geom.parts")[0][0]
     return spark.read.parquet(path).select(
@@ -200,7 +192,7 @@ def write_layer_parquet(spark, d):
 
 @query("write_geoparquet", f"{V.with_('lines')} SELECT id, priority, x1, y1, x2, y2 FROM lines")
 def write_geoparquet(spark, d):
-    path = scratch(spark, "geoparquet")
+    path = V.scratch(spark, "geoparquet")
     sinks.write_geoparquet(V.line_features(spark, d).select("id", "priority", "geom"), path)
     back = sinks.decode_wkb(spark.read.parquet(path))
     ring = F.col("geom.parts")[0][0]
@@ -215,7 +207,7 @@ def write_geoparquet(spark, d):
     || '}},"geometry":{{"type":"Point","coordinates":[' || {sql_number('x')} || ',' || {sql_number('y')} || ']}}}}' AS value FROM pts""",
 )
 def write_geojson(spark, d):
-    path = scratch(spark, "geojson")
+    path = V.scratch(spark, "geojson")
     points = V.point_features(spark, d).withColumn("segment", F.when(F.col("id") % 4 != 0, F.col("segment"))).drop("balance")
     sinks.write_geojson(points, path)
     return spark.read.text(path)
@@ -227,7 +219,7 @@ def write_geojson(spark, d):
     || '<LineString><coordinates>' || {sql_number('x1')} || ',' || {sql_number('y1')} || ' ' || {sql_number('x2')} || ',' || {sql_number('y2')} || '</coordinates></LineString></Placemark>' AS value FROM lines""",
 )
 def write_kml(spark, d):
-    path = scratch(spark, "kml")
+    path = V.scratch(spark, "kml")
     lines = V.line_features(spark, d).select("id", F.concat(F.lit("<"), "priority", F.lit("> & more")).alias("note"), "geom")
     sinks.write_kml(lines, path)
     return spark.read.text(path).where(F.startswith("value", F.lit("<Placemark>")))
@@ -239,7 +231,7 @@ def write_kml(spark, d):
     "UNION ALL SELECT 'polygons', count(*), count_if(s_suppkey % 3 = 0)::BIGINT FROM supplier",
 )
 def write_split_by_geometry(spark, d):
-    path = scratch(spark, "split")
+    path = V.scratch(spark, "split")
     sinks.write_split(V.mixed_features(spark, d), path)
     return spark.read.parquet(path).groupBy("geometry_label").agg(
         F.count("*").alias("n"), F.count_if(F.startswith("geom.kind", F.lit("MULTI"))).alias("multi")
@@ -251,7 +243,7 @@ def write_split_by_geometry(spark, d):
     "SELECT CASE WHEN p_partkey % 3 = 1 THEN 'overture' ELSE 'other' END AS source, lower(p_type) AS slug, count(*) AS n FROM part WHERE p_partkey % 3 <> 0 AND p_partkey % 2 = 0 GROUP BY ALL",
 )
 def staged_layers(spark, d):
-    root = scratch(spark, "staged")
+    root = V.scratch(spark, "staged")
     df = V.nested_features(spark, d).join(V.table(spark, d, "part").select("p_partkey", "p_type"), "p_partkey").selectExpr(
         "id", "geometry AS geom", "CASE WHEN p_partkey % 2 = 0 THEN 'NPL' ELSE 'COD' END AS iso3",
         "CASE p_partkey % 3 WHEN 0 THEN 'osm' WHEN 1 THEN 'overture' ELSE 'other' END AS source", "lower(p_type) AS slug",
@@ -287,7 +279,7 @@ def tile_pyramid_areas(spark, d):
     f"{V.with_('lines')} SELECT 'roads' AS category, 'osm' AS source, count(*) AS feature_count, min(least(x1, x2)) AS xmin, 3::INTEGER AS n_columns, count(DISTINCT priority) AS priorities FROM lines",
 )
 def layer_metadata_sink(spark, d):
-    path = scratch(spark, "metadata")
+    path = V.scratch(spark, "metadata")
     meta = X.layer_metadata(V.line_features(spark, d), "roads", "osm", "2026-04-15")
     sinks.write_layer_metadata(meta, path)
     back = sinks.read_layer_metadata(spark, path, meta.schema)
@@ -312,7 +304,7 @@ def export_manifest(spark, d):
         F.lit("OpenStreetMap").alias("source"), F.lit("2026").alias("snapshot"), F.lit("ODbL").alias("license"),
         F.when(F.col("o_orderstatus") != "F", F.lit("u")).alias("license_url"),
     )
-    path = scratch(spark, "manifest")
+    path = V.scratch(spark, "manifest")
     manifest = RS.export_manifest(results)
     manifest.write.json(path)
     return spark.read.schema(manifest.schema).json(path)
@@ -323,7 +315,7 @@ def export_manifest(spark, d):
     f"{V.with_('tagged')}, {FI.CATEGORISED} SELECT '2026-04-15' AS snapshot, category AS theme, count(*) AS rows, true AS at_theme FROM categorised GROUP BY category",
 )
 def write_theme_cache(spark, d):
-    root = scratch(spark, "themes")
+    root = V.scratch(spark, "themes")
     df = V.tagged_features(spark, d).select("feature_id", "tags", "geometry")
     sinks.write_theme_cache(df, FI.CATEGORIES, root, "2026-04-15", themes=["branded", "two_brands"])
     kept = sinks.cached_themes(spark, root, "2026-04-15")
@@ -370,7 +362,7 @@ def source_plugin(spark, d):
     run = RunSpec(iso3="NPL", key="tm", formats=("geojson",), categories=RUN_CATEGORIES)
     area = Boundary("NPL", FI.BBOX, FI.some_nations(spark, d), "nations")
     statuses, _ = X.run_export(
-        spark, run, ExtractSource(spark, extract, "2026-04-15"), area, scratch(spark, "run"), points=True, step=V.STEP
+        spark, run, ExtractSource(spark, extract, "2026-04-15"), area, V.scratch(spark, "run"), points=True, step=V.STEP
     )
     return spark.createDataFrame(
         [(s["iso3"], s["source"], s["slug"], s["status"], s["features"]) for s in statuses],

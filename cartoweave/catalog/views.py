@@ -6,10 +6,13 @@ plain SQL for the cross-check. Coordinates are cast to double before any divisio
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartoweave.functions import geom as G
+from cartoweave.session import checkpoint_dir
 
 STEP = 2.0
 
@@ -164,6 +167,18 @@ def mixed_features(spark, d) -> DataFrame:
     return p.unionByName(line_).unionByName(poly)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The derived table as a run finds it: written out and read back."""
+    path = scratch(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def scratch(spark, name: str) -> str:
+    """A fresh folder in the shared checkpoint area for a table written by a query."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/cartoweave/{name}-{uuid.uuid4().hex}"
+
+
 def tagged_features(spark, d) -> DataFrame:
     """Parts as points with a tag map; a tenth lacks ``brand``."""
     tags = (

@@ -294,7 +294,7 @@ def segment_point_distance(e: Column, x: Column, y: Column) -> Column:
         ),
     ).otherwise(F.lit(0.0))
     px, py = e["x1"] + t * dx, e["y1"] + t * dy
-    return F.sqrt((x - px) * (x - px) + (y - py) * (y - py))
+    return F.sqrt(F.pow(x - px, 2) + F.pow(y - py, 2))
 
 
 def thin(geom: Column | str, tolerance: float) -> Column:
@@ -302,19 +302,24 @@ def thin(geom: Column | str, tolerance: float) -> Column:
     neighbours. Ends stay, and a ring is left alone if under four would remain.
     Not topology preserving."""
 
-    def near(ring, i):
-        a, v, b = F.get(ring, i - 1), ring[i], F.get(ring, i + 1)
-        chord = F.struct(
-            a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")
-        )
-        return segment_point_distance(chord, v["x"], v["y"]) < tolerance
-
     def thin_ring(ring):
-        last = F.size(ring) - 1
-        kept = F.filter(
-            ring, lambda v, i: (i == 0) | (i == last) | ~F.coalesce(near(ring, i), F.lit(False))
+        inner = F.greatest(F.size(ring) - 2, F.lit(0))
+        chords = F.zip_with(
+            F.slice(ring, 1, inner),
+            F.slice(ring, 3, inner),
+            lambda a, b: F.struct(
+                a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")
+            ),
+        )
+        marked = F.zip_with(
+            F.slice(ring, 2, inner),
+            chords,
+            lambda v, c: F.when(segment_point_distance(c, v["x"], v["y"]) >= tolerance, v),
         )
-        return F.when((F.size(ring) > 2) & (F.size(kept) >= 4), kept).otherwise(ring)
+        kept = F.concat(F.slice(ring, 1, 1), F.array_compact(marked), F.slice(ring, -1, 1))
+        return F.when(
+            F.size(ring) > 2, once(kept, lambda k: F.when(F.size(k) >= 4, k).otherwise(ring))
+        ).otherwise(ring)
 
     g = as_col(geom)
     return F.struct(

@@ -84,8 +84,8 @@ def lonlat(step: float = DEFAULT_STEP) -> Grid:
 
 
 def metres(step: float) -> Grid:
-    """A grid over the EPSG:3857 plane, with room beyond the square world."""
-    half = 3.0e7
+    """A grid over the EPSG:3857 plane up to 89.9 degrees of latitude and beyond."""
+    half = 5.0e7
     return Grid(step, -half, -half, 2 * half, 2 * half)
 
 

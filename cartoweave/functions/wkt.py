@@ -73,9 +73,7 @@ def _by_kind(kind: Column, flat: Column, rings: Column, polygons: Column) -> Col
         .when(kind == "POLYGON", F.array(rings))
         .when(kind == "MULTIPOLYGON", polygons)
     )
-    return F.when(
-        parts.isNotNull(), F.struct(kind.alias("kind"), parts.cast(G.PARTS_TYPE).alias("parts"))
-    )
+    return G.once(parts, lambda p: F.when(p.isNotNull(), F.struct(kind.alias("kind"), p.alias("parts"))))
 
 
 def from_wkt(text: Column | str) -> Column:
