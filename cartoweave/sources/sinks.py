@@ -7,6 +7,7 @@ import struct
 import uuid
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,46 +154,57 @@ WKB_CODES = {
 }
 
 
-def to_wkb(geom: dict | None) -> bytes | None:
-    """Little-endian WKB of one geometry struct."""
-    if geom is None or geom.get("kind") not in WKB_CODES:
-        return None
-    kind, parts = geom["kind"], geom["parts"]
+def encode_wkb(geoms: pa.StructArray) -> tuple[pa.Array, set[str], list[float] | None]:
+    """Little-endian WKB of a batch of geometry structs, with the kinds seen and the
+    bounds. Python only walks rings; vertices are copied as blocks."""
+    kinds = geoms.field("kind").to_pylist()
+    valid = geoms.is_valid().to_pylist()
+    parts = geoms.field("parts")
+    rings = parts.values
+    points = rings.values.values
+    part_at, ring_at = parts.offsets.to_pylist(), rings.offsets.to_pylist()
+    vertex_at = rings.values.offsets.to_pylist()
+    xy = np.column_stack([points.field(c).to_numpy(zero_copy_only=False) for c in ("x", "y")])
 
-    def pairs(ring) -> bytes:
-        return b"".join(struct.pack("<dd", v["x"], v["y"]) for v in ring)
+    def ring_bytes(r: int) -> bytes:
+        return xy[vertex_at[r] : vertex_at[r + 1]].tobytes()
 
-    def single(name: str, part) -> bytes:
+    def single(name: str, p: int) -> bytes:
         head = struct.pack("<BI", 1, WKB_CODES[name])
+        first, last = ring_at[p], ring_at[p + 1]
         if name == "POINT":
-            return head + pairs(part[0][:1])
+            return head + ring_bytes(first)[:16]
         if name == "LINESTRING":
-            return head + struct.pack("<I", len(part[0])) + pairs(part[0])
-        rings = [struct.pack("<I", len(r)) + pairs(r) for r in part]
-        return head + struct.pack("<I", len(rings)) + b"".join(rings)
-
-    if not kind.startswith("MULTI"):
-        return single(kind, parts[0])
-    members = [single(kind[5:], part) for part in parts]
-    return struct.pack("<BII", 1, WKB_CODES[kind], len(members)) + b"".join(members)
-
-
-def from_wkb(data: bytes | None) -> dict | None:
-    """The geometry struct of one WKB value; heights and SRIDs are skipped."""
-    if not data:
-        return None
+            return head + struct.pack("<I", vertex_at[first + 1] - vertex_at[first]) + ring_bytes(first)
+        body = [struct.pack("<I", vertex_at[r + 1] - vertex_at[r]) + ring_bytes(r) for r in range(first, last)]
+        return head + struct.pack("<I", last - first) + b"".join(body)
+
+    out: list[bytes | None] = []
+    for i, kind in enumerate(kinds):
+        first, last = part_at[i], part_at[i + 1]
+        if not valid[i] or kind not in WKB_CODES or first == last:
+            out.append(None)
+        elif kind.startswith("MULTI"):
+            members = b"".join(single(kind[5:], p) for p in range(first, last))
+            out.append(struct.pack("<BII", 1, WKB_CODES[kind], last - first) + members)
+        else:
+            out.append(single(kind, first))
+    bounds = [*xy.min(axis=0).tolist(), *xy.max(axis=0).tolist()] if len(xy) else None
+    return pa.array(out, type=pa.binary()), {k for k in kinds if k}, bounds
+
+
+def read_wkb(data: bytes) -> tuple[str | None, list[list[np.ndarray]]]:
+    """Kind and parts of one WKB value, a ring being an array of (x, y) rows; heights
+    and SRIDs are skipped."""
     names = {v: k for k, v in WKB_CODES.items()}
 
     def read(at: int):
         order = "<" if data[at] == 1 else ">"
         (code,) = struct.unpack_from(order + "I", data, at + 1)
-        at += 5
-        if code & 0x20000000:
-            at += 4
+        at += 9 if code & 0x20000000 else 5
         extra = int(bool(code & 0x80000000)) + int(bool(code & 0x40000000))
         code &= 0x0FFFFFFF
-        extra = max(extra, {0: 0, 1: 1, 2: 1, 3: 2}.get(code // 1000, 0))
-        width = 16 + 8 * extra
+        width = 2 + max(extra, {0: 0, 1: 1, 2: 1, 3: 2}.get(code // 1000, 0))
         kind = names.get(code % 1000)
         if kind is None:
             return None, [], at
@@ -200,24 +212,23 @@ def from_wkb(data: bytes | None) -> dict | None:
         def count(at: int):
             return struct.unpack_from(order + "I", data, at)[0], at + 4
 
-        def vertices(n: int, at: int):
-            pts = [struct.unpack_from(order + "dd", data, at + i * width) for i in range(n)]
-            return [{"x": x, "y": y} for x, y in pts], at + n * width
+        def ring(n: int, at: int):
+            flat = np.frombuffer(data, dtype=order + "f8", count=n * width, offset=at)
+            return flat.reshape(n, width)[:, :2], at + 8 * n * width
 
         if kind == "POINT":
-            ring, at = vertices(1, at)
-            return kind, [[ring]], at
-        if kind == "LINESTRING":
-            n, at = count(at)
-            ring, at = vertices(n, at)
-            return kind, [[ring]], at
+            r, at = ring(1, at)
+            return kind, [[r]], at
         n, at = count(at)
+        if kind == "LINESTRING":
+            r, at = ring(n, at)
+            return kind, [[r]], at
         if kind == "POLYGON":
             rings = []
             for _ in range(n):
                 m, at = count(at)
-                ring, at = vertices(m, at)
-                rings.append(ring)
+                r, at = ring(m, at)
+                rings.append(r)
             return kind, [rings], at
         parts = []
         for _ in range(n):
@@ -226,11 +237,32 @@ def from_wkb(data: bytes | None) -> dict | None:
         return kind, parts, at
 
     kind, parts, _ = read(0)
-    return {"kind": kind, "parts": parts} if kind else None
-
-
-_ARROW_VERTEX = pa.struct([("x", pa.float64()), ("y", pa.float64())])
-ARROW_GEOM = pa.struct([("kind", pa.string()), ("parts", pa.list_(pa.list_(pa.list_(_ARROW_VERTEX))))])
+    return kind, parts
+
+
+def decode_wkb_array(values: pa.Array) -> pa.StructArray:
+    """A batch of WKB values as geometry structs."""
+    kinds: list[str | None] = []
+    part_at, ring_at, vertex_at = [0], [0], [0]
+    blocks: list[np.ndarray] = []
+    for data in values.to_pylist():
+        kind, parts = read_wkb(data) if data else (None, [])
+        kinds.append(kind)
+        part_at.append(part_at[-1] + len(parts))
+        for part in parts:
+            ring_at.append(ring_at[-1] + len(part))
+            for r in part:
+                vertex_at.append(vertex_at[-1] + len(r))
+                blocks.append(r)
+    xy = np.concatenate(blocks).astype("f8") if blocks else np.empty((0, 2))
+
+    def lists(offsets: list[int], items: pa.Array) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), items)
+
+    vertices = pa.StructArray.from_arrays([pa.array(xy[:, 0].copy()), pa.array(xy[:, 1].copy())], names=["x", "y"])
+    nested = lists(part_at, lists(ring_at, lists(vertex_at, vertices)))
+    missing = pa.array([k is None for k in kinds], type=pa.bool_())
+    return pa.StructArray.from_arrays([pa.array(kinds, type=pa.string()), nested], names=["kind", "parts"], mask=missing)
 
 
 def decode_wkb(df: DataFrame, column: str = "geometry", target: str = "geom") -> DataFrame:
@@ -240,8 +272,7 @@ def decode_wkb(df: DataFrame, column: str = "geometry", target: str = "geom") ->
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            geoms = pa.array([from_wkb(v) for v in batch.column(column).to_pylist()], type=ARROW_GEOM)
-            arrays = [batch.column(f.name) for f in keep] + [geoms]
+            arrays = [batch.column(f.name) for f in keep] + [decode_wkb_array(batch.column(column))]
             yield pa.RecordBatch.from_arrays(arrays, [f.name for f in keep] + [target])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + [f"{target} {G.GEOM_TYPE}"])
@@ -276,13 +307,11 @@ class GeoParquetWriter(DataSourceArrowWriter):
             for batch in iterator:
                 if batch.num_rows == 0:
                     continue
-                geoms = batch.column(self.geometry).to_pylist()
-                wkb = pa.array([to_wkb(g) for g in geoms], type=pa.binary())
-                kinds.update(g["kind"] for g in geoms if g)
-                for g in geoms:
-                    for v in (v for part in (g["parts"] if g else []) for r in part for v in r):
-                        b = bounds or [v["x"], v["y"], v["x"], v["y"]]
-                        bounds = [min(b[0], v["x"]), min(b[1], v["y"]), max(b[2], v["x"]), max(b[3], v["y"])]
+                wkb, seen, box = encode_wkb(batch.column(self.geometry))
+                kinds.update(seen)
+                if box is not None:
+                    b = bounds or box
+                    bounds = [min(b[0], box[0]), min(b[1], box[1]), max(b[2], box[2]), max(b[3], box[3])]
                 rest = [n for n in batch.schema.names if n != self.geometry]
                 table = pa.Table.from_arrays([batch.column(n) for n in rest] + [wkb], rest + ["geometry"])
                 if writer is None:
