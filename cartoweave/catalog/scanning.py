@@ -112,7 +112,7 @@ WAYS = """shaped AS (SELECT r.id, count(*) AS n, r.id % 3 = 0 AND count(*) >= 4
     UNION ALL SELECT 'relation/' || rel, 'MULTIPOLYGON', 2, CAST(n AS INTEGER), xmin, ymax FROM rels""",
 )
 def assemble_features(spark, d):
-    features = E.assemble_features(V.nodes(spark, d), V.ways(spark, d), V.relations(spark, d))
+    features = E.assemble_features(V.nodes(spark, d), V.ways(spark, d), V.relations(spark, d), step=V.STEP)
     box = G.extent("geom")
     return features.select(
         "feature_id", F.col("geom.kind").alias("kind"), F.size("tags").alias("n_tags"), F.size(G.vertices("geom")).alias("vertices"),

@@ -177,6 +177,8 @@ def build_lookup(
         *[F.first(F.when(F.col("level") == n, found), ignorenulls=True).alias(f"L{n}") for n in levels]
     )
     wide = measured(wide)
+    if mode == "h3_neighbor":
+        cover.unpersist()
     blocks = None
     if wide.count() >= blocks_from:
         wide, blocks = _fold(wide, grid, levels)

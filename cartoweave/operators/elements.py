@@ -40,7 +40,11 @@ def way_vertices(ways: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def assemble_features(
-    nodes: DataFrame, ways: DataFrame, relations: DataFrame | None = None, tag_filter: dict | None = None
+    nodes: DataFrame,
+    ways: DataFrame,
+    relations: DataFrame | None = None,
+    tag_filter: dict | None = None,
+    step: float = DEFAULT_STEP,
 ) -> DataFrame:
     """``(feature_id, tags, geom)`` with *all* tags of every element the filter lets
     through. nodes: (id, tags, x, y); ways: (id, tags, refs); relations of type
@@ -60,13 +64,13 @@ def assemble_features(
     )
     out = points.unionByName(lines)
     if relations is not None:
-        out = out.unionByName(_multipolygons(relations.where(wanted), ways, nodes))
+        out = out.unionByName(_multipolygons(relations.where(wanted), ways, nodes, step))
     return out
 
 
-def _multipolygons(relations: DataFrame, ways: DataFrame, nodes: DataFrame) -> DataFrame:
+def _multipolygons(relations: DataFrame, ways: DataFrame, nodes: DataFrame, step: float) -> DataFrame:
     """Closed outer ways become shells; an inner way is a hole of the outer ring that
-    contains its first vertex. A relation's rings meet on the relation id only."""
+    contains its first vertex."""
     members = relations.select("id", F.explode("members").alias("m")).select(
         F.col("id").alias("rel"), F.col("m.ref").alias("id"), F.col("m.role").alias("role")
     )
@@ -75,13 +79,18 @@ def _multipolygons(relations: DataFrame, ways: DataFrame, nodes: DataFrame) -> D
     rings = rings.select("rel", F.col("id").alias("way"), "role", G.closed(F.col("vertices")).alias("ring"))
     outer = rings.where(F.coalesce("role", F.lit("")).isin("outer", "")).select("rel", F.col("way").alias("shell"), F.col("ring").alias("outer"))
     inner = rings.where("role = 'inner'").select("rel", F.col("way").alias("hole"), F.col("ring").alias("inner"))
-    first = F.col("inner")[0]
-    holds = G.contains_xy(G.make("POLYGON", F.array(F.array("outer"))), first["x"], first["y"])
+    # Only shells of relations that have holes are indexed; a hole then meets the
+    # shells of its own relation in its own cell.
+    shells = outer.join(inner.select("rel").distinct(), "rel", "left_semi").select(
+        "rel", "shell", G.make("POLYGON", F.array(F.array("outer"))).alias("geom")
+    )
+    starts = inner.select("rel", "hole", F.col("inner")[0]["x"].alias("x"), F.col("inner")[0]["y"].alias("y"))
+    index = S.build_index(shells, ["rel", "shell"], step)
+    owner = S.pip_pairs(starts, index, ["rel", "hole"], same=["rel"]).groupBy("rel", "hole").agg(F.min("shell").alias("shell"))
     holes = (
-        inner.join(outer, "rel").where(holds)
-        .groupBy("rel", "hole").agg(F.min(F.struct("shell", "inner")).alias("h"))
-        .groupBy("rel", F.col("h.shell").alias("shell"))
-        .agg(F.sort_array(F.collect_list(F.struct("hole", F.col("h.inner").alias("ring")))).alias("hs"))
+        inner.join(owner, ["rel", "hole"])
+        .groupBy("rel", "shell")
+        .agg(F.sort_array(F.collect_list(F.struct("hole", F.col("inner").alias("ring")))).alias("hs"))
     )
     parts = outer.join(holes, ["rel", "shell"], "left").select(
         "rel", "shell",

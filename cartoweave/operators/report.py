@@ -47,6 +47,7 @@ def quality(columns: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.count("*").alias("total_columns"),
     )
     total, well = F.col("total_columns"), F.col("well")
+    # Wording of the caption.
     tail = F.lit(" attribute columns are well-populated.")
     caption = (
         F.when(total == 0, F.lit("No attribute columns."))

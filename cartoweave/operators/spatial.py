@@ -209,23 +209,32 @@ def boundary_index(boundary: DataFrame, step: float = DEFAULT_STEP, geom: str =
 
 
 def pip_pairs(
-    points: DataFrame, index: CellIndex, id_cols: Sequence[str], x: str = "x", y: str = "y"
+    points: DataFrame,
+    index: CellIndex,
+    id_cols: Sequence[str],
+    x: str = "x",
+    y: str = "y",
+    same: Sequence[str] = (),
 ) -> DataFrame:
-    """``(id_cols..., keys...)`` for every polygon that contains the point."""
-    located = points.select(*id_cols, x, y, index.grid.cell(F.col(x), F.col(y)).alias("cell"))
-    hit = located.join(index.rows, "cell").withColumn("_p", index.parity(F.col(x), F.col(y)))
-    whole = hit.where("pieces = 1 AND _p = 1").select(*id_cols, *index.keys)
+    """``(id_cols..., keys...)`` for every polygon that contains the point. ``same``
+    names keys the points carry too: only polygons of equal keys are looked at."""
+    keys = [k for k in index.keys if k not in same]
+    ids = [c for c in id_cols if c not in same]
+    located = points.select(*same, *ids, x, y, index.grid.cell(F.col(x), F.col(y)).alias("cell"))
+    hit = located.join(index.rows, ["cell", *same]).withColumn("_p", index.parity(F.col(x), F.col(y)))
+    out = [*same, *ids, *keys]
+    whole = hit.where("pieces = 1 AND _p = 1").select(*out)
     if index.rows.where("pieces > 1").isEmpty():
         return whole
     spread = (
         hit.where("pieces > 1")
         # Once per piece first: the same point may come in more than once.
-        .groupBy(*id_cols, x, y, *index.keys, "piece")
+        .groupBy(*out, x, y, "piece")
         .agg(F.max("_p").alias("_p"))
-        .groupBy(*id_cols, x, y, *index.keys)
+        .groupBy(*out, x, y)
         .agg(F.sum("_p").alias("_n"))
         .where("_n % 2 = 1")
-        .select(*id_cols, *index.keys)
+        .select(*out)
     )
     return whole.unionByName(spread)
 

@@ -196,6 +196,30 @@ def test_multipolygon_relation_with_a_hole(spark):
     }
 
 
+def test_holes_find_their_shells_in_a_large_relation(spark):
+    """One relation with many shells and holes, two holes in every third shell."""
+    nodes, ways, members = [], [], []
+
+    def ring(wid, x, y, s, role):
+        ids = []
+        for dx, dy in ((0, 0), (s, 0), (s, s), (0, s)):
+            nodes.append((len(nodes), {}, x + dx, y + dy))
+            ids.append(len(nodes) - 1)
+        ways.append((wid, {}, [*ids, ids[0]]))
+        members.append((wid, role))
+
+    for i in range(60):
+        ring(i, float(i % 10), float(i // 10), 0.9, "outer")
+        if i % 3 == 0:
+            ring(1000 + i, i % 10 + 0.1, i // 10 + 0.1, 0.2, "inner")
+            ring(2000 + i, i % 10 + 0.5, i // 10 + 0.5, 0.2, "inner")
+    ndf = spark.createDataFrame(nodes, "id bigint, tags map<string,string>, x double, y double")
+    wdf = spark.createDataFrame(ways, "id bigint, tags map<string,string>, refs array<bigint>")
+    rels = spark.createDataFrame([(1, {"natural": "water"}, members)], "id bigint, tags map<string,string>, members array<struct<ref:bigint,role:string>>")
+    geom = E.assemble_features(ndf, wdf, rels, step=0.5).where("feature_id = 'relation/1'").first()["geom"]
+    assert [len(p) for p in geom["parts"]] == [3 if i % 3 == 0 else 1 for i in range(60)]
+
+
 def test_export_run(spark, tmp_path):
     extract = spark.createDataFrame(
         [("way/1", {"building": "yes", "name": "घर"}, "POINT (84 28.2)"), ("way/2", {"highway": "primary"}, "LINESTRING (83 28.2, 85 28.2)"),
