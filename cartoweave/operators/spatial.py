@@ -342,24 +342,34 @@ def _touching_ids(features, rings, index, id_col, geom, coarse_step):
     meets = F.exists("edges", lambda b: G.segments_meet(own, b))
     crossing = edge_cells(segments, index.grid).join(border, "cell").where(meets).select(id_col)
 
+    areas = features.where(F.endswith(G.kind(geom), F.lit("POLYGON"))).select(id_col, F.col(geom).alias("geom"))
+    holding = _holding_ids(areas, rings, index.grid.step, id_col, coarse_step)
+    return begins.unionByName(crossing).unionByName(holding).distinct()
+
+
+def _holding_ids(areas, rings, step, id_col, coarse_step):
+    """Polygon features that contain a boundary ring outright, told by its start.
+
+    A first look compares each feature's box with one box of ring starts per coarse
+    cell; the few left are indexed and meet the starts cell by cell.
+    """
     coarse = lonlat(coarse_step)
-    rings = rings.select(F.col("r")[0]["x"].alias("bx"), F.col("r")[0]["y"].alias("by")).withColumn("_c", coarse.cell(F.col("bx"), F.col("by")))
-    box = G.extent(geom)
-    areas = features.where(F.endswith(G.kind(geom), F.lit("POLYGON"))).select(
-        id_col, F.col(geom).alias("_g"), box.alias("_box")
+    starts = rings.select(F.col("r")[0]["x"].alias("x"), F.col("r")[0]["y"].alias("y")).distinct()
+    boxes = starts.groupBy(coarse.cell(F.col("x"), F.col("y")).alias("_c")).agg(
+        F.min("x").alias("x1"), F.min("y").alias("y1"), F.max("x").alias("x2"), F.max("y").alias("y2")
     )
-    areas = areas.withColumn(
-        "_r", F.explode(F.sequence(coarse.row(F.col("_box.ymin")), coarse.row(F.col("_box.ymax"))))
-    ).withColumn(
-        "_k", F.explode(F.sequence(coarse.col(F.col("_box.xmin")), coarse.col(F.col("_box.xmax"))))
-    ).withColumn("_c", coarse.cell_of(F.col("_r"), F.col("_k")))
-    holding = (
-        areas.join(rings, "_c")
-        .where("bx BETWEEN _box.xmin AND _box.xmax AND by BETWEEN _box.ymin AND _box.ymax")
-        .where(G.contains_xy("_g", F.col("bx"), F.col("by")))
-        .select(id_col)
+    boxed = areas.select(id_col, G.extent("geom").alias("_box"))
+    rows = F.sequence(coarse.row(F.col("_box.ymin")), coarse.row(F.col("_box.ymax")))
+    cols = F.sequence(coarse.col(F.col("_box.xmin")), coarse.col(F.col("_box.xmax")))
+    spread = (
+        boxed.withColumn("_r", F.explode(rows)).withColumn("_k", F.explode(cols))
+        .withColumn("_c", coarse.cell_of(F.col("_r"), F.col("_k")))
     )
-    return begins.unionByName(crossing).unionByName(holding).distinct()
+    overlap = "_box.xmin <= x2 AND _box.xmax >= x1 AND _box.ymin <= y2 AND _box.ymax >= y1"
+    likely = spread.join(boxes, "_c").where(overlap).select(id_col).distinct()
+    parts = areas.join(likely, id_col, "left_semi").select(id_col, F.posexplode(G.dump("geom")).alias("_part", "geom"))
+    index = build_index(parts, [id_col, "_part"], step)
+    return pip_pairs(starts, index, []).select(id_col)
 
 
 def within_distance(
@@ -391,7 +401,7 @@ def near_edges(
     Edges are listed in every metre-grid cell they come within ``distance`` of, so
     a point only looks at its own cell.
     """
-    grid = metres(max(4 * distance, 20_000.0))
+    grid = metres(max(2 * distance, 2_000.0))
     planar = edges.select(
         mercator_x(F.col("x1")).alias("x1"), mercator_y(_clamped("y1")).alias("y1"),
         mercator_x(F.col("x2")).alias("x2"), mercator_y(_clamped("y2")).alias("y2"),

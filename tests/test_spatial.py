@@ -68,6 +68,17 @@ def test_intersects_equals_brute_force(spark):
     assert got == want and 0 < len(want) < 300
 
 
+def test_features_that_hold_a_whole_ring(spark):
+    """Islands inside large features, also where the feature is given twice over."""
+    islands = [[[(x, x), (x + 0.1, x), (x + 0.1, x + 0.1), (x, x + 0.1), (x, x)]] for x in (0.0, 3.0, 40.0)]
+    big = [[{"x": a, "y": b} for a, b in ((-5.0, -5.0), (10.0, -5.0), (10.0, 10.0), (-5.0, 10.0), (-5.0, -5.0))]]
+    hole = [*big, [{"x": a, "y": b} for a, b in ((-1.0, -1.0), (5.0, -1.0), (5.0, 5.0), (-1.0, 5.0), (-1.0, -1.0))]]
+    rows = [(1, "POLYGON", [big]), (2, "POLYGON", [hole]), (3, "MULTIPOLYGON", [big, big])]
+    df = spark.createDataFrame(rows, f"id int, kind string, parts {G.PARTS_TYPE}").select("id", G.make(F.col("kind"), F.col("parts")).alias("geom"))
+    got = sorted(r["id"] for r in S.intersects_boundary(df, polygons(spark, islands), "id", 0.5).collect())
+    assert got == [1, 3]
+
+
 def test_repeated_boundary_parts_do_not_cancel(spark):
     square = [[(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0), (0.0, 0.0)]]
     bounds = polygons(spark, [square, square])
