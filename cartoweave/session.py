@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +60,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application. Only the writers and
+    readers that run Python in tasks need it there."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="cartoweave-package-")) / "cartoweave"
+    context.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+    _SHIPPED.add(context.applicationId)
+
+
 def measured(df: DataFrame) -> DataFrame:
     """Keep ``df`` and fill it once, so that the join planner sees its true size.
 

@@ -17,6 +17,7 @@ from cartoweave.functions import geom as G
 from cartoweave.functions import wkt
 from cartoweave.functions.grid import DEFAULT_STEP, lonlat
 from cartoweave.operators.filters import categorise
+from cartoweave.session import ship_package
 
 ROW_GROUP_ROWS = 100_000
 
@@ -76,6 +77,7 @@ def _kml_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def write_kml(df: DataFrame, path: str, geom: str = "geom") -> None:
     """KML documents, one per output file."""
     properties = [c for c in df.columns if c not in (geom, "bbox")]
+    ship_package(df.sparkSession)
     marks = df.select(wkt.to_placemark(geom, properties).alias("value"))
     marks.mapInArrow(_kml_document, "value string").write.mode("overwrite").text(path)
 
@@ -267,6 +269,7 @@ def decode_wkb_array(values: pa.Array) -> pa.StructArray:
 
 def decode_wkb(df: DataFrame, column: str = "geometry", target: str = "geom") -> DataFrame:
     """Replaces a WKB column by the geometry struct, batch by batch at the scan edge."""
+    ship_package(df.sparkSession)
     keep = [f for f in df.schema.fields if f.name != column]
     order = df.select(*[f.name for f in keep], column)
 
@@ -362,5 +365,6 @@ class GeoParquetDataSource(DataSource):
 
 def write_geoparquet(df: DataFrame, path: str, geom: str = "geom") -> None:
     """GeoParquet files: WKB ``geometry`` and the ``geo`` footer key."""
+    ship_package(df.sparkSession)
     df.sparkSession.dataSource.register(GeoParquetDataSource)
     df.write.format("cartoweave_geoparquet").mode("append").option("geometry", geom).save(path)
