@@ -14,7 +14,6 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartoweave.functions import geom as G
 from cartoweave.functions import text
 from cartoweave.functions.grid import DEFAULT_STEP
 from cartoweave.operators import admin as A
@@ -137,8 +136,9 @@ def write_format(layer: DataFrame, path: str, fmt: str, split: bool = False) ->
         raise ValueError(f"unsupported format: {fmt}")
 
 
-def profile_layers(layers: dict[str, DataFrame], source: str, temporal: str | None = None) -> dict[str, dict[str, DataFrame]]:
-    return {slug: P.profile(df.withColumn("source_name", F.lit(source)).drop("source_name"), (), temporal) for slug, df in layers.items()}
+def profile_layers(layers: dict[str, DataFrame], temporal: dict[str, str] | None = None) -> dict[str, dict[str, DataFrame]]:
+    """Profile tables per layer; ``temporal`` names a layer's time column."""
+    return {slug: P.profile(df, (), (temporal or {}).get(slug)) for slug, df in layers.items()}
 
 
 def layer_metadata(layer: DataFrame, category: str, source: str, snapshot: str) -> DataFrame:
