@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from cartoweave.catalog import views as V
 from cartoweave.catalog.registry import query
 from cartoweave.functions import geom as G
-from cartoweave.operators import admin as A
 from cartoweave.operators import filters as FL
 from cartoweave.operators import layers as L
 from cartoweave.operators import profile as P

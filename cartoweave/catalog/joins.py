@@ -9,7 +9,6 @@ from cartoweave.catalog.registry import query
 from cartoweave.functions import geom as G
 from cartoweave.functions.grid import lonlat
 from cartoweave.operators import admin as A
-from cartoweave.operators import filters as FL
 from cartoweave.operators import layers as L
 from cartoweave.operators import report as R
 from cartoweave.operators import resume as RS

@@ -9,10 +9,8 @@ from cartoweave.catalog.registry import query
 from cartoweave.functions import geom as G
 from cartoweave.functions import grid, text, wkt
 from cartoweave.operators import layers as L
-from cartoweave.operators import profile as P
 from cartoweave.operators import report as R
 from cartoweave.operators import resume as RS
-from cartoweave.operators import spatial as S
 from cartoweave.spec import TransliterateRule
 
 @query(

@@ -12,7 +12,6 @@ from cartoweave.functions import geom as G
 from cartoweave.functions import wkt
 from cartoweave.operators import elements as E
 from cartoweave.operators import layers as L
-from cartoweave.operators import profile as P
 from cartoweave.operators import resume as RS
 from cartoweave.plans import export as X
 from cartoweave.sources import scans, sinks
@@ -127,7 +126,7 @@ INSIDE = (
 WHOLE = "whole AS (SELECT id, CASE WHEN id % 3 = 0 THEN 5 ELSE 4 END AS n FROM {0})"
 
 
-def as_rows(parts) -> "F.DataFrame":
+def as_rows(parts):
     nodes = parts["nodes"].select(F.lit("node").alias("element"), "id", F.lit(0).alias("n_refs"))
     ways = parts["ways"].select(F.lit("way").alias("element"), "id", F.size("refs").alias("n_refs"))
     out = nodes.unionByName(ways)
