@@ -5,20 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartoweave.llm import exact_dedup, packing, pieces, simhash, token_counts
+from cartoweave.llm import exact_dedup, language, packing, pieces, simhash, suffix_dedup, template_lines, token_counts, topk_search, toxicity
 from cartoweave.llm.common import table
 
 
+def op1_kd_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
 def op2_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _remainder(parts: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(_remainder(4) != 2))
+    found = language.predict(docs, model, reject=False)
+    return found.select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score", "trusted")
+
+
 def op5_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op6_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = template_lines.drop_recurring_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_heavy_hitter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -27,6 +52,12 @@ def op8_pigeonring_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_components(table(spark, sf_dir, "documents"))
 
 
+def op9_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(_remainder(5) != 0))
+    return toxicity.score(docs, model).select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op10_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = pieces.encode(table(spark, sf_dir, "documents"), decoded=True)
     return coded.select(
@@ -37,9 +68,36 @@ def op10_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_hilbert_packing, op5_prefix_token_counts, op7_heavy_hitter_dedup, op8_pigeonring_simhash, op10_piece_round_trip)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_kd_tree_top_k,
+        op2_hilbert_packing,
+        op3_suffix_array_dedup,
+        op4_language_id,
+        op5_prefix_token_counts,
+        op6_template_lines,
+        op7_heavy_hitter_dedup,
+        op8_pigeonring_simhash,
+        op9_factorization_toxicity,
+        op10_piece_round_trip,
+    )
+}
 
 ORACLES = {
+    "op1_kd_tree_top_k": """
+        WITH v AS (
+            SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e FROM embeddings
+            WHERE len(embedding) > 0 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        ), r AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+        )
+        SELECT * FROM r WHERE rank <= 5
+    """,
+    "op6_template_lines": template_lines.ORACLE,
     "op7_heavy_hitter_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
