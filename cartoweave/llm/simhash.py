@@ -24,6 +24,7 @@ columns of the input are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -70,12 +71,17 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+@lru_cache(maxsize=4)
+def _permutations(count: int) -> list[tuple[np.uint64, np.uint64]]:
+    drawn = np.random.default_rng(SEED).integers(1, 1 << 63, size=(count, 2), dtype=np.uint64)
+    return [(mul | np.uint64(1), add) for mul, add in drawn]
+
+
 def band_keys(hashes: np.ndarray, bands: int, rows: int) -> list[int]:
     """One key per band: a hash of the ``rows`` least values under as many permutations."""
     if not len(hashes):
         return [0] * bands
-    mixed = np.random.default_rng(SEED).integers(1, 1 << 63, size=(bands * rows, 2), dtype=np.uint64)
-    least = np.array([((hashes ^ add) * (mul | np.uint64(1))).min() for mul, add in mixed], np.uint64)
+    least = np.array([((hashes ^ add) * mul).min() for mul, add in _permutations(bands * rows)], np.uint64)
     return [xxhash.xxh64_intdigest(least[i * rows : (i + 1) * rows].tobytes(), i) - (1 << 63) for i in range(bands)]
 
 

@@ -374,3 +374,37 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select("doc_id", "text", "runs")
         .mapInArrow(_remover(length), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
     )
+
+
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars", length: int = LENGTH) -> DataFrame:
+    """``docs`` with the repeated strings cut out of the text; a character cut in two goes
+    whole. Texts that lose nothing stay as they are, null ones too. All columns are kept
+    in place, and ``chars_col``, where there is one, follows the text."""
+    prepare(docs.sparkSession)
+    source = texts(docs, id_col, text_col).select(F.col("__id").alias("doc_id"), F.hash("__text").alias("tag"), F.col("__text").alias("text"))
+    runs = staged(repeated_regions(source, length)).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"), F.col("runs").alias("__runs"))
+
+    @F.arrow_udf("string")
+    def without(text: pa.Array, runs: pa.Array) -> pa.Array:
+        out = []
+        for t, r in zip(text.to_pylist(), runs.to_pylist()):
+            if t is None or r is None:
+                out.append(t)
+                continue
+            data = t.encode()
+            kept, end = [], 0
+            for a, b in sorted((x["from"], x["to"] + length - 1) for x in r):
+                if a > end:
+                    kept.append(data[end:a].decode("utf-8", "ignore"))
+                end = max(end, b)
+            kept.append(data[end:].decode("utf-8", "ignore"))
+            out.append("".join(kept))
+        return pa.array(out, pa.string())
+
+    tagged = docs.withColumn("__hash", F.hash(F.coalesce(F.col(text_col), F.lit(""))))
+    joined = tagged.join(runs, (F.col(id_col) == F.col("__id")) & (F.col("__hash") == F.col("__tag")), "left")
+    changed = joined.withColumn(text_col, F.when(F.col("__runs").isNull(), F.col(text_col)).otherwise(without(F.col(text_col), F.col("__runs"))))
+    if chars_col in docs.columns:
+        kind = docs.schema[chars_col].dataType
+        changed = changed.withColumn(chars_col, F.when(F.col("__runs").isNull(), F.col(chars_col)).otherwise(F.length(text_col).cast(kind)))
+    return changed.select(*docs.columns)
