@@ -233,7 +233,7 @@ RUN = f"""WITH {LAYER}, run AS (SELECT layer AS slug, CASE WHEN source IN ('src0
     sums AS (SELECT slug, source, count(*) AS n, count(name) AS c1, count(name_fr) AS c2, count(brand) AS c3, count(size) AS c4,
         count(adm1_pcode) AS c5, count(adm2_pcode) AS c6 FROM run GROUP BY ALL)"""
 WELL = " + ".join(f"CASE WHEN 100 - round(100e0 * (n - c{i}) / n, 2) >= 50 THEN 1 ELSE 0 END" for i in range(1, 7))
-_PALETTE_ROWS = ", ".join(f"({i}, '{c}')" for i, c in enumerate(R.PALETTE[:7]))
+_PALETTE_ROWS = ", ".join(f"({i}, '{c}')" for i, c in enumerate(R.PALETTE))
 
 
 def category_table(df):
@@ -251,7 +251,7 @@ def category_table(df):
     SELECT slug, source, CAST(position AS INTEGER) AS position, colour, upper(slug[1]) || slug[2:] || CASE source WHEN 'osm' THEN ' (OSM)' ELSE ' (Overture)' END AS label,
         CASE WHEN slug = 'promo' THEN 'n/a' ELSE 'ODbL' END AS license, {comma('n')} AS features,
         CAST(round_even(100 - round(100e0 * (n - c1) / n, 2), 0) AS BIGINT) || '%' AS named, ({WELL}) || '/6' AS populated, 'Point ' || {comma('n')} AS geometry
-    FROM placed JOIN palette ON position % 7 = i""",
+    FROM placed JOIN palette ON position % {len(R.PALETTE)} = i""",
 )
 def landing_layers(spark, d):
     df = run_layers(spark, d)
@@ -259,7 +259,7 @@ def landing_layers(spark, d):
     rows = P.row_count(df, by).join(category_table(df), "slug").withColumn(
         "license", F.when(F.col("slug") != "promo", F.lit("ODbL"))
     )
-    return R.landing_rows(rows, P.null_stats(df, by), P.geometry_types(df, by), R.PALETTE[:7])
+    return R.landing_rows(rows, P.null_stats(df, by), P.geometry_types(df, by))
 
 
 @query("landing_bounds", f"{RUN} SELECT min(x) AS xmin, min(y) AS ymin, max(x) AS xmax, max(y) AS ymax FROM run")

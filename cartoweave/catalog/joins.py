@@ -347,8 +347,6 @@ def layer_semi_join(spark, d):
     "QUALIFY row_number() OVER (PARTITION BY name ORDER BY ord) = 1",
 )
 def metadata_prefix_join(spark, d):
-    from pyspark.sql import Window
-
     part = V.table(spark, d, "part")
     names = part.selectExpr(
         "concat('exp_npl_', lower(replace(p_name, ' ', '_')), '_', lower(p_type), '_osm_metadata.json') AS name"
@@ -356,7 +354,8 @@ def metadata_prefix_join(spark, d):
     slugs = part.selectExpr("lower(replace(p_name, ' ', '_')) AS slug").union(
         part.where("p_size < 10").selectExpr("split_part(lower(p_name), ' ', 1)")
     ).distinct()
-    specs = slugs.withColumn("ord", F.row_number().over(Window.orderBy(F.length("slug"), "slug")))
+    # Shorter slugs come first, equal ones by name: no numbering of all of them is needed.
+    specs = slugs.withColumn("ord", F.length("slug"))
     return L.match_slug(names, specs, F.lit("exp_npl_"))
 
 

@@ -189,12 +189,13 @@ def geom_from_text(spark, d):
 
 @query(
     "mercator_xy",
-    f"{V.with_('pts')} SELECT id, round(6378137e0 * radians(x), 3) AS mx, round(6378137e0 * ln(tan(pi() / 4 + radians(y) / 2)), 3) AS my, "
-    "round(x, 6) AS lon, round(y, 6) AS lat FROM pts WHERE abs(y) < 85",
+    f"{V.with_('pts')} SELECT id, round(6378137e0 * radians(x), 3) AS mx, CASE WHEN y > -90 THEN round(6378137e0 * ln(tan(pi() / 4 + radians(y) / 2)), 3) END AS my, "
+    "round(x, 6) AS lon, CASE WHEN y > -90 THEN round(y, 6) END AS lat FROM pts",
 )
 def mercator_xy(spark, d):
-    p = V.pts(spark, d).where("abs(y) < 85")
-    mx, my = grid.mercator_x(F.col("x")), grid.mercator_y(F.col("y"))
+    p = V.pts(spark, d)
+    # The pole itself lies at infinity.
+    mx, my = grid.mercator_x(F.col("x")), F.when(F.col("y") > -90, grid.mercator_y(F.col("y")))
     return p.select(
         "id", F.round(mx, 3).alias("mx"), F.round(my, 3).alias("my"),
         F.round(grid.lon_of(mx), 6).alias("lon"), F.round(grid.lat_of(my), 6).alias("lat"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from xml.sax.saxutils import quoteattr
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -186,7 +188,7 @@ def to_placemark(geom: Column | str, properties: list[str], name: str | None = "
         pieces.append(F.coalesce(tag, F.lit("")))
     pieces.append(F.lit("<ExtendedData>"))
     for column in properties:
-        opening = f'<Data name="{column}"><value>'
+        opening = f'<Data name={quoteattr(column)}><value>'
         data = F.concat(F.lit(opening), xml_escape(F.col(column).cast("string")), F.lit("</value></Data>"))
         pieces.append(F.coalesce(data, F.lit("")))
     pieces.append(F.lit("</ExtendedData>"))

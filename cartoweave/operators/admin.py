@@ -190,6 +190,18 @@ def build_lookup(
     return AdminLookup(grid, tuple(levels), wide, blocks, index, crowded)
 
 
+def lookup_for(
+    admin: DataFrame, levels: Sequence[int] = LEVELS, mode: str = "geos", step: float = DEFAULT_STEP
+) -> AdminLookup | None:
+    """The lookup that ``tag_admin`` would build for itself, to be shared by several
+    calls; None where no level has codes. The caller releases it."""
+    wanted = set(levels)
+    coded = sorted(r["level"] for r in level_summary(admin).collect() if r["level"] in wanted and r["coded"] > 0)
+    if not coded:
+        return None
+    return build_lookup(admin.where(F.col("level").isin(*coded)), coded, mode, step)
+
+
 def _fold(wide: DataFrame, grid: Grid, levels: Sequence[int]) -> tuple[DataFrame, DataFrame]:
     """The cells that differ within their block, and the blocks of equal cells."""
     owners = F.struct(*[F.col(f"L{n}.owner").alias(f"O{n}") for n in levels])
@@ -285,10 +297,9 @@ def tag_admin(
     lookup: AdminLookup | None = None,
 ) -> DataFrame:
     """Adds ``adm0_*`` and ``adm<level>_*``; attributes keep their order, ``geom``
-    and then the codes come last. Levels without codes become typed NULLs.
-
-    ``id_col`` is only needed where a cell is too crowded with edges to be listed
-    in the lookup; the features there are matched by a count per id.
+    and then the codes come last. Levels without codes become typed NULLs. Features in
+    cells too crowded with edges to be listed are matched by their place; ``id_col`` is
+    not needed for it.
     """
     levels = sorted(set(levels))
     if not levels:
@@ -316,9 +327,7 @@ def tag_admin(
         found = {n: F.coalesce(F.col(f"owners.O{n}"), c) for n, c in found.items()}
     tagged = tagged.withColumns({f"_t{n}": c for n, c in found.items()})
     if lookup.crowded:
-        if id_col is None:
-            raise ValueError("crowded admin cells: tag_admin needs id_col")
-        tagged = _settle_crowded(tagged, lookup, id_col, cx, cy)
+        tagged = _settle_crowded(tagged, lookup, cx, cy)
     codes = {}
     for n in lookup.levels:
         codes[f"adm{n}_pcode"], codes[f"adm{n}_name"] = F.col(f"_t{n}.pcode"), F.col(f"_t{n}.name")
@@ -339,19 +348,19 @@ def _settle(lookup: AdminLookup, level: int, cx: Column, cy: Column) -> Column:
     return F.coalesce(here["owner"], F.get(named, 0))
 
 
-def _settle_crowded(tagged: DataFrame, lookup: AdminLookup, id_col: str, cx: Column, cy: Column) -> DataFrame:
+def _settle_crowded(tagged: DataFrame, lookup: AdminLookup, cx: Column, cy: Column) -> DataFrame:
     any_busy = F.lit(False)
     for n in lookup.levels:
         any_busy = any_busy | F.coalesce(F.col(f"L{n}.busy"), F.lit(False))
-    points = tagged.where(any_busy).select(id_col, cx.alias("x"), cy.alias("y"))
-    pairs = S.pip_pairs(points, lookup.index, [id_col])
-    found = pairs.groupBy(id_col).agg(
+    places = tagged.where(any_busy).select(cx.alias("_x"), cy.alias("_y")).distinct()
+    pairs = S.pip_pairs(places, lookup.index, ["_x", "_y"], "_x", "_y")
+    found = pairs.groupBy("_x", "_y").agg(
         *[
             F.min(F.when(F.col("level") == n, F.struct("pcode", "name"))).alias(f"_f{n}")
             for n in lookup.levels
         ]
     )
-    tagged = tagged.join(found, id_col, "left")
+    tagged = tagged.join(found, (cx == F.col("_x")) & (cy == F.col("_y")), "left")
     for n in lookup.levels:
         tagged = tagged.withColumn(f"_t{n}", F.coalesce(f"_t{n}", f"_f{n}"))
     return tagged

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartoweave.functions import geom as G
 from cartoweave.functions.grid import DEFAULT_STEP
 from cartoweave.operators import spatial as S
 from cartoweave.operators.filters import tag_predicate
+from cartoweave.session import staged
 
 # Tag keys that make a closed way an area.
 AREA_KEYS = (
     "building", "landuse", "natural", "leisure", "amenity", "boundary", "place", "shop", "tourism",
     "water", "aeroway", "office", "historic", "military", "area:highway", "building:part",
 )
+# Types of relations that are areas.
+RING_TYPES = ("multipolygon", "boundary")
 STRATEGIES = ("simple", "complete_ways", "smart")
 
 
@@ -47,12 +52,16 @@ def assemble_features(
     step: float = DEFAULT_STEP,
 ) -> DataFrame:
     """``(feature_id, tags, geom)`` with *all* tags of every element the filter lets
-    through. nodes: (id, tags, x, y); ways: (id, tags, refs); relations of type
-    multipolygon: (id, tags, members<ref, role>), their members being closed ways.
+    through, and ``status``. nodes: (id, tags, x, y); ways: (id, tags, refs); relations:
+    (id, tags, members<ref, role[, type]>). Of relations whose ``type`` tag is missing,
+    multipolygon or boundary, the member ways are joined to rings at their end nodes.
+    ``status`` is ``open`` for relations some of whose ways close no ring; those ways
+    add nothing to the geometry.
     """
     wanted = tag_predicate(tag_filter or {})
     points = nodes.where(F.size("tags") > 0).where(wanted).select(
-        F.concat(F.lit("node/"), F.col("id").cast("string")).alias("feature_id"), "tags", G.point("x", "y").alias("geom")
+        F.concat(F.lit("node/"), F.col("id").cast("string")).alias("feature_id"), "tags", G.point("x", "y").alias("geom"),
+        F.lit("whole").alias("status"),
     )
     kept = ways.where(wanted)
     shaped = kept.select("id", "tags").join(way_vertices(kept, nodes), "id")
@@ -61,23 +70,100 @@ def assemble_features(
     lines = shaped.where(F.size(v) >= 2).select(
         F.concat(F.lit("way/"), F.col("id").cast("string")).alias("feature_id"), "tags",
         F.when(closed_way & is_area(F.col("tags")), G.polygon(v)).otherwise(G.line(v)).alias("geom"),
+        F.lit("whole").alias("status"),
     )
     out = points.unionByName(lines)
     if relations is not None:
-        out = out.unionByName(_multipolygons(relations.where(wanted), ways, nodes, step))
+        kind = F.coalesce(F.col("tags")["type"], F.lit(RING_TYPES[0]))
+        out = out.unionByName(_multipolygons(relations.where(wanted).where(kind.isin(*RING_TYPES)), ways, nodes, step))
     return out
 
 
-def _multipolygons(relations: DataFrame, ways: DataFrame, nodes: DataFrame, step: float) -> DataFrame:
-    """Closed outer ways become shells; an inner way is a hole of the outer ring that
-    contains its first vertex."""
-    members = relations.select("id", F.explode("members").alias("m")).select(
-        F.col("id").alias("rel"), F.col("m.ref").alias("id"), F.col("m.role").alias("role")
-    )
+def member_ways(relations: DataFrame) -> DataFrame:
+    """``(rel, id, role)`` of the members that are ways; inner or outer, the latter also
+    where the role is left out."""
+    fields = relations.schema["members"].dataType.elementType.names
+    members = relations.select(F.col("id").alias("rel"), F.explode("members").alias("m"))
+    if "type" in fields:
+        members = members.where(F.coalesce(F.lower("m.type"), F.lit("way")).isin("way", "w"))
+    role = F.when(F.col("m.role") == "inner", "inner").when(F.coalesce(F.col("m.role"), F.lit("")).isin("outer", ""), "outer")
+    return members.select("rel", F.col("m.ref").alias("id"), role.alias("role")).where("role IS NOT NULL").distinct()
+
+
+def close_rings(members: DataFrame, ways: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(rel, role, way, ring)``, the ring named by its least way, and ``(rel)`` of the
+    relations with ways left over.
+
+    Ways of one relation and role that end in the same node follow each other; where
+    more than two end, they pair off in the order of their ids. Each open way is walked
+    in both directions. Pointers double every round, so the rounds grow with the log of
+    the ways in the largest ring: first they find the least way that each walk comes by,
+    or that it ends, then how far each way is from there, which orders the ring.
+    """
     used = ways.join(members.select("id").distinct(), "id", "left_semi")
-    rings = members.join(way_vertices(used, nodes), "id").where(F.size("vertices") >= 4)
-    rings = rings.select("rel", F.col("id").alias("way"), "role", G.closed(F.col("vertices")).alias("ring"))
-    outer = rings.where(F.coalesce("role", F.lit("")).isin("outer", "")).select("rel", F.col("way").alias("shell"), F.col("ring").alias("outer"))
+    ends = used.where(F.size("refs") >= 2).select(
+        "id", F.element_at("refs", 1).alias("first"), F.element_at("refs", -1).alias("last"), F.size("refs").alias("n")
+    )
+    shaped = way_vertices(used, nodes)
+    placed = members.join(ends, "id")
+    whole = placed.where("first = last AND n >= 4").join(shaped, "id").where(F.size("vertices") >= 3).select(
+        "rel", "role", F.col("id").alias("way"), G.closed(F.col("vertices")).alias("ring")
+    )
+    loose = staged(placed.where("first <> last").select("rel", "role", "id", "first", "last"))
+    odd = placed.where("first = last AND n < 4").select("rel")
+    most = loose.groupBy("rel", "role").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    if not most:
+        return whole, odd.distinct()
+    key = ["rel", "role"]
+    # A walk along a way is twice its id, plus one for the way back.
+    walks = loose.select(*key, (F.col("id") * 2).alias("w"), F.col("first").alias("at")).unionByName(
+        loose.select(*key, (F.col("id") * 2 + 1).alias("w"), F.col("last").alias("at"))
+    )
+    order = Window.partitionBy(*key, "at").orderBy("w")
+    number = F.row_number().over(order)
+    partner = F.when(number % 2 == 1, F.lead("w").over(order)).otherwise(F.lag("w").over(order))
+    back = F.col("w").bitwiseXOR(F.lit(1).cast("bigint"))
+    follow = staged(walks.select(*key, back.alias("w"), partner.alias("next")))
+    rounds = max(1, math.ceil(math.log2(2 * most)))
+
+    state = follow.select(*key, "w", F.col("next").alias("jump"), F.least("w", F.coalesce("next", "w")).alias("least"))
+    for _ in range(rounds):
+        ahead = state.select(*key, F.col("w").alias("jump"), F.col("jump").alias("_jump"), F.col("least").alias("_least"))
+        state = staged(
+            state.join(ahead, [*key, "jump"], "left").select(*key, "w", F.col("_jump").alias("jump"), F.least("least", F.coalesce("_least", "least")).alias("least"))
+        )
+    # Of the two directions of a ring, the one that walks its least way forward.
+    walked = state.where("jump IS NOT NULL AND least % 2 = 0").select(*key, "w", "least")
+    chain = walked.join(follow, [*key, "w"]).withColumn("jump", F.when(F.col("next") != F.col("least"), F.col("next")))
+    chain = staged(chain.select(*key, "w", "least", "jump", F.col("jump").isNotNull().cast("int").alias("left")))
+    for _ in range(rounds):
+        ahead = chain.select(*key, F.col("w").alias("jump"), F.col("jump").alias("_jump"), F.col("left").alias("_left"))
+        chain = staged(
+            chain.join(ahead, [*key, "jump"], "left").select(
+                *key, "w", "least", F.col("_jump").alias("jump"), (F.col("left") + F.coalesce("_left", F.lit(0))).alias("left")
+            )
+        )
+    forward = F.col("w") % 2 == 0
+    v = F.when(forward, F.col("vertices")).otherwise(F.reverse("vertices"))
+    # The last vertex of a way is the first of the next.
+    piece = F.slice(v, F.lit(1), F.greatest(F.size(v) - 1, F.lit(0)))
+    joined = (
+        chain.withColumn("id", F.floor(F.col("w") / 2).cast("bigint")).join(shaped, "id")
+        .groupBy(*key, "least")
+        .agg(F.sort_array(F.collect_list(F.struct((-F.col("left")).alias("o"), piece.alias("v")))).alias("p"))
+        .select(*key, F.floor(F.col("least") / 2).cast("bigint").alias("way"), F.flatten(F.transform("p", lambda e: e["v"])).alias("ring"))
+        .where(F.size("ring") >= 3)
+        .select(*key, "way", G.closed(F.col("ring")).alias("ring"))
+    )
+    unclosed = state.where("jump IS NULL").select("rel").unionByName(odd).distinct()
+    return whole.unionByName(joined), unclosed
+
+
+def _multipolygons(relations: DataFrame, ways: DataFrame, nodes: DataFrame, step: float) -> DataFrame:
+    """Outer rings become shells; an inner ring is a hole of the outer ring that contains
+    its first vertex."""
+    rings, unclosed = close_rings(member_ways(relations), ways, nodes)
+    outer = rings.where("role = 'outer'").select("rel", F.col("way").alias("shell"), F.col("ring").alias("outer"))
     inner = rings.where("role = 'inner'").select("rel", F.col("way").alias("hole"), F.col("ring").alias("inner"))
     # Only shells of relations that have holes are indexed; a hole then meets the
     # shells of its own relation in its own cell.
@@ -97,9 +183,11 @@ def _multipolygons(relations: DataFrame, ways: DataFrame, nodes: DataFrame, step
         F.concat(F.array("outer"), F.coalesce(F.transform("hs", lambda h: h["ring"]), F.array())).alias("part"),
     )
     geoms = parts.groupBy("rel").agg(F.sort_array(F.collect_list(F.struct("shell", "part"))).alias("ps"))
-    return relations.select("id", "tags").join(geoms.withColumnRenamed("rel", "id"), "id").select(
+    marked = unclosed.select(F.col("rel").alias("id"), F.lit("open").alias("_open"))
+    return relations.select("id", "tags").join(geoms.withColumnRenamed("rel", "id"), "id").join(marked, "id", "left").select(
         F.concat(F.lit("relation/"), F.col("id").cast("string")).alias("feature_id"), "tags",
         G.make("MULTIPOLYGON", F.transform("ps", lambda p: p["part"])).alias("geom"),
+        F.coalesce("_open", F.lit("whole")).alias("status"),
     )
 
 

@@ -29,14 +29,11 @@ def map_value(m: Column | str, key: str) -> Column:
 
 
 def json_value(m: Column | str, key: str) -> Column:
-    """The map's value as JSON text, in quotes."""
+    """The map's value as JSON text, in quotes, control characters escaped."""
     value = G.as_col(m)[key]
-    return F.when(
-        value.isNotNull(),
-        F.concat(
-            F.lit('"'), F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"')
-        ),
-    )
+    wrapped = F.to_json(F.struct(value.alias("v")))
+    # Between ``{"v":`` and the closing brace.
+    return F.when(value.isNotNull(), F.substring(wrapped, F.lit(6), F.length(wrapped) - 6))
 
 
 def inject_local_names(fields: Sequence[str], languages: Sequence[str]) -> list[str]:

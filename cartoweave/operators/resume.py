@@ -2,12 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartoweave.functions.text import format_count
 
 
+STATE_SCHEMA = (
+    "iso3 string, source string, slug string, snapshot string, built_utc timestamp, uploaded_utc timestamp, "
+    "artifact_present boolean, path string, features bigint"
+)
+
+
+def record_state(spark: SparkSession, path: str, entries: list[dict]) -> None:
+    """Appends the run's entries, one per category at most, to the manifest."""
+    if entries:
+        names = [f.split()[0] for f in STATE_SCHEMA.split(", ")]
+        rows = [tuple(e.get(n) for n in names) for e in entries]
+        spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1).write.mode("append").json(path)
+
+
+def read_state(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest, empty where no run has left one yet."""
+    try:
+        spark.read.text(path)
+    except AnalysisException:
+        return spark.createDataFrame([], STATE_SCHEMA)
+    return spark.read.schema(STATE_SCHEMA).json(path)
+
+
 def latest_state(manifest: DataFrame) -> DataFrame:
     """The newest entry per (iso3, source, slug) of an append-only manifest."""
     entry = F.struct("built_utc", "uploaded_utc", "snapshot", "artifact_present")

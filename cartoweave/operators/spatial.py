@@ -220,23 +220,31 @@ def pip_pairs(
     names keys the points carry too: only polygons of equal keys are looked at."""
     keys = [k for k in index.keys if k not in same]
     ids = [c for c in id_cols if c not in same]
-    located = points.select(*same, *ids, x, y, index.grid.cell(F.col(x), F.col(y)).alias("cell"))
-    hit = located.join(index.rows, ["cell", *same]).withColumn("_p", index.parity(F.col(x), F.col(y)))
+    place = [c for c in (x, y) if c not in ids]
+    located = points.select(*same, *ids, *place, index.grid.cell(F.col(x), F.col(y)).alias("cell"))
     out = [*same, *ids, *keys]
-    whole = hit.where("pieces = 1 AND _p = 1").select(*out)
+    holds = index.parity(F.col(x), F.col(y)) == 1
+    whole = located.join(index.rows.where("pieces = 1"), ["cell", *same]).where(holds).select(*out)
     if index.rows.where("pieces > 1").isEmpty():
         return whole
-    spread = (
-        hit.where("pieces > 1")
-        # Once per piece first: the same point may come in more than once.
-        .groupBy(*out, x, y, "piece")
-        .agg(F.max("_p").alias("_p"))
-        .groupBy(*out, x, y)
+    spread = crowded_pairs(located.select(*same, x, y), index, x, y, same)
+    return whole.unionByName(located.join(spread, [*same, x, y]).select(*out))
+
+
+def crowded_pairs(points: DataFrame, index: CellIndex, x: str = "x", y: str = "y", same: Sequence[str] = ()) -> DataFrame:
+    """``(same..., x, y, keys...)``: places in crowded cells and the polygons that hold
+    them, each once. Whether a polygon holds a place depends on the place alone, so the
+    parities are added up per place, and every row at it takes part in what was found."""
+    keys = [k for k in index.keys if k not in same]
+    places = points.select(*same, x, y).distinct().withColumn("cell", index.grid.cell(F.col(x), F.col(y)))
+    return (
+        places.join(index.rows.where("pieces > 1"), ["cell", *same])
+        .withColumn("_p", index.parity(F.col(x), F.col(y)))
+        .groupBy(*same, x, y, *keys)
         .agg(F.sum("_p").alias("_n"))
         .where("_n % 2 = 1")
-        .select(*out)
+        .select(*same, x, y, *keys)
     )
-    return whole.unionByName(spread)
 
 
 def pip_join(
@@ -257,17 +265,28 @@ def points_within(
     """Points inside any polygon of the boundary, with all their columns.
 
     The usual boundary needs no shuffle of the points: the semi join carries the
-    exact test. Only cells crowded with edges go through a count per point.
+    exact test. Only rows in cells crowded with edges take another road, by place.
     """
     px, py = F.col(x), F.col(y)
     located = points.withColumn("_cell", boundary.grid.cell(px, py))
-    light = boundary.rows.where("pieces = 1")
+    light = boundary.rows.where("pieces = 1").select("cell", "base", "edges")
     on = (F.col("_cell") == F.col("cell")) & (boundary.parity(px, py) == 1)
-    inside = located.join(light, on, "left_semi").drop("_cell")
-    if boundary.rows.where("pieces > 1").isEmpty():
-        return inside
-    ids = pip_pairs(points, boundary, [id_col], x, y).select(id_col)
-    return points.join(ids, id_col, "left_semi")
+    crowded = crowded_cells(boundary)
+    if crowded.isEmpty():
+        return located.join(light, on, "left_semi").drop("_cell")
+    # A cell may hold light parts as well as crowded ones: its rows are asked about both
+    # at once, so that none comes out twice.
+    inside = located.join(crowded, "_cell", "left_anti").join(light, on, "left_semi").drop("_cell")
+    rest = located.join(crowded, "_cell", "left_semi")
+    places = rest.select(F.col(x).alias("_x"), F.col(y).alias("_y")).distinct()
+    found = pip_pairs(places, boundary, ["_x", "_y"], "_x", "_y").select("_x", "_y").distinct()
+    held = rest.join(found, (px == F.col("_x")) & (py == F.col("_y")), "left_semi")
+    return inside.unionByName(held.select(*inside.columns))
+
+
+def crowded_cells(index: CellIndex) -> DataFrame:
+    """``_cell``: cells in which some polygon has more edges than one row lists."""
+    return index.rows.where("pieces > 1").select(F.col("cell").alias("_cell")).distinct()
 
 
 def intersects_boundary(
@@ -303,12 +322,15 @@ def intersects_boundary(
     )
     single = index.rows.where("pieces = 1").select("cell", "base", "edges")
     on = (F.col("_cell") == F.col("cell")) & _meets_cell(F.col(geom), index)
-    near = located.join(single, on, "left_semi").drop("_cell")
+    crowded = crowded_cells(index)
     far = located.where("_cell IS NULL")
-    crowded = index.rows.where("pieces > 1").select(F.col("cell").alias("_cell")).distinct()
+    settled = located
     if not crowded.isEmpty():
+        # Rows in crowded cells go the far road, and only that one.
+        settled = located.join(crowded, "_cell", "left_anti")
         far = far.unionByName(located.join(crowded, "_cell", "left_semi").select(*far.columns))
-    far = far.drop("_cell")
+    near = settled.join(single, on, "left_semi").drop("_cell").select(*features.columns)
+    far = far.drop("_cell").select(*features.columns)
     ids = _touching_ids(far, rings, index, id_col, geom, coarse_step)
     return near.unionByName(far.join(ids, id_col, "left_semi").select(*near.columns))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark import StorageLevel
@@ -75,6 +76,14 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read again. Loops need it: a plan that
+    refers to itself twice a round would double every time."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def measured(df: DataFrame) -> DataFrame:
     """Keep ``df`` and fill it once, so that the join planner sees its true size.
 

@@ -68,8 +68,15 @@ class Boundary:
             xy = features.withColumn("_x", F.col(geom)["parts"][0][0][0]["x"]).withColumn("_y", F.col(geom)["parts"][0][0][0]["y"])
             return S.within_distance(xy, self.geoms, self.buffer_metres, id_col, step, x="_x", y="_y").drop("_x", "_y")
         if points:
-            xy = features.withColumn("_x", F.col(geom)["parts"][0][0][0]["x"]).withColumn("_y", F.col(geom)["parts"][0][0][0]["y"])
-            return S.points_within(xy, S.boundary_index(self.geoms, step), id_col, "_x", "_y").drop("_x", "_y")
+            # Single points take the short road; whatever else the table holds does not.
+            single = features.where(F.col(geom)["kind"] == "POINT")
+            first = F.col(geom)["parts"][0][0][0]
+            xy = single.withColumn("_x", first["x"]).withColumn("_y", first["y"])
+            inside = S.points_within(xy, S.boundary_index(self.geoms, step), id_col, "_x", "_y").drop("_x", "_y")
+            rest = features.where(F.col(geom)["kind"] != "POINT")
+            if rest.isEmpty():
+                return inside
+            return inside.unionByName(S.intersects_boundary(rest, self.geoms, id_col, step, geom))
         return S.intersects_boundary(features, self.geoms, id_col, step, geom)
 
 

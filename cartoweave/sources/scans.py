@@ -11,12 +11,12 @@ RELEASE = r"(\d{4}-\d{2}-\d{2})\.(\d+)"
 
 def scan_release(spark: SparkSession, root: str, release: str, theme: str, feature_type: str) -> DataFrame:
     """One theme and type of a hive-partitioned release, with a ``filename`` column.
-    Other partitions are pruned before any file is opened."""
+
+    Only that directory is listed, and its own files give the schema: types of one
+    release differ in their columns."""
     base = f"{root.rstrip('/')}/{release}"
-    df = spark.read.option("basePath", base).parquet(base)
-    return df.where((F.col("theme") == theme) & (F.col("type") == feature_type)).withColumn(
-        "filename", F.col("_metadata.file_path")
-    )
+    df = spark.read.option("basePath", base).parquet(f"{base}/theme={theme}/type={feature_type}")
+    return df.withColumn("filename", F.col("_metadata.file_path"))
 
 
 def scan_extract(spark: SparkSession, *paths: str) -> DataFrame:
@@ -116,23 +116,33 @@ def local_languages(countries: DataFrame, dimension: DataFrame) -> DataFrame:
     )
 
 
-# Official languages by country, most used first. Countries beyond
-# these are read from a table of the same shape (``local_languages``).
+# Official languages by country, most used first. A country that is not
+# listed has to be given in a table of the same shape (``local_languages``).
 COUNTRY_LANGUAGES = {
-    "AFG": "ps fa", "AGO": "pt", "ALB": "sq", "ARG": "es", "AUT": "de", "BDI": "rn fr en", "BEL": "nl fr de",
-    "BEN": "fr", "BFA": "fr", "BGD": "bn", "BGR": "bg", "BOL": "es qu ay", "BRA": "pt", "CAF": "fr sg",
-    "CHE": "de fr it rm", "CHL": "es", "CIV": "fr", "CMR": "fr en", "COD": "fr", "COG": "fr", "COL": "es",
-    "CRI": "es", "CUB": "es", "CZE": "cs", "DEU": "de", "DJI": "ar fr", "DNK": "da", "DOM": "es", "DZA": "ar fr",
-    "ECU": "es qu", "EGY": "ar", "ESP": "es", "ETH": "am", "FIN": "fi sv", "FRA": "fr", "GAB": "fr", "GBR": "en",
-    "GIN": "fr", "GRC": "el", "GTM": "es", "HND": "es", "HTI": "fr ht", "HUN": "hu", "IDN": "id", "IND": "hi en",
-    "IRN": "fa", "IRQ": "ar ku", "ISR": "he ar", "ITA": "it", "JOR": "ar", "JPN": "ja", "KEN": "sw en", "KHM": "km",
-    "KOR": "ko", "LAO": "lo", "LBN": "ar", "LBY": "ar", "LKA": "si ta", "MAR": "ar fr", "MDG": "mg fr", "MEX": "es",
-    "MLI": "fr", "MMR": "my", "MNG": "mn", "MOZ": "pt", "MRT": "ar", "NER": "fr", "NGA": "en", "NIC": "es",
-    "NLD": "nl", "NOR": "nb nn", "NPL": "ne", "PAK": "ur en", "PER": "es qu", "PHL": "en fil", "POL": "pl",
-    "PRT": "pt", "PRY": "gn es", "PSE": "ar", "ROU": "ro", "RUS": "ru", "RWA": "rw fr en", "SAU": "ar",
-    "SDN": "ar en", "SEN": "fr", "SLV": "es", "SOM": "so ar", "SRB": "sr", "SSD": "en", "SWE": "sv", "SYR": "ar fr",
-    "TCD": "fr ar", "TGO": "fr", "THA": "th", "TUN": "ar fr", "TUR": "tr", "TZA": "sw en", "UGA": "sw en",
-    "UKR": "uk", "URY": "es", "USA": "en", "UZB": "uz", "VEN": "es", "VNM": "vi", "YEM": "ar", "ZAF": "en zu xh",
+    "AFG": "ps fa", "AGO": "pt", "ALB": "sq", "AND": "ca", "ARE": "ar", "ARG": "es", "ARM": "hy", "AUS": "en",
+    "AUT": "de", "AZE": "az", "BDI": "rn fr en", "BEL": "nl fr de", "BEN": "fr", "BFA": "fr", "BGD": "bn",
+    "BGR": "bg", "BHR": "ar", "BIH": "bs hr sr", "BLR": "be ru", "BLZ": "en", "BOL": "es qu ay", "BRA": "pt",
+    "BRN": "ms", "BTN": "dz", "BWA": "en tn", "CAF": "fr sg", "CAN": "en fr", "CHE": "de fr it rm", "CHL": "es",
+    "CHN": "zh", "CIV": "fr", "CMR": "fr en", "COD": "fr", "COG": "fr", "COL": "es", "COM": "ar fr", "CPV": "pt",
+    "CRI": "es", "CUB": "es", "CYP": "el tr", "CZE": "cs", "DEU": "de", "DJI": "ar fr", "DNK": "da", "DOM": "es",
+    "DZA": "ar fr", "ECU": "es qu", "EGY": "ar", "ERI": "ti ar en", "ESP": "es", "EST": "et", "ETH": "am",
+    "FIN": "fi sv", "FJI": "en fj hif", "FRA": "fr", "GAB": "fr", "GBR": "en", "GEO": "ka", "GHA": "en", "GIN": "fr",
+    "GMB": "en", "GNB": "pt", "GNQ": "es fr pt", "GRC": "el", "GTM": "es", "GUY": "en", "HND": "es", "HRV": "hr",
+    "HTI": "fr ht", "HUN": "hu", "IDN": "id", "IND": "hi en", "IRL": "en ga", "IRN": "fa", "IRQ": "ar ku",
+    "ISL": "is", "ISR": "he ar", "ITA": "it", "JAM": "en", "JOR": "ar", "JPN": "ja", "KAZ": "kk ru", "KEN": "sw en",
+    "KGZ": "ky ru", "KHM": "km", "KIR": "en", "KOR": "ko", "KWT": "ar", "LAO": "lo", "LBN": "ar", "LBR": "en",
+    "LBY": "ar", "LIE": "de", "LKA": "si ta", "LSO": "st en", "LTU": "lt", "LUX": "lb fr de", "LVA": "lv",
+    "MAR": "ar fr", "MCO": "fr", "MDA": "ro", "MDG": "mg fr", "MDV": "dv", "MEX": "es", "MKD": "mk sq", "MLI": "fr",
+    "MLT": "mt en", "MMR": "my", "MNE": "sr", "MNG": "mn", "MOZ": "pt", "MRT": "ar", "MUS": "en fr", "MWI": "en ny",
+    "MYS": "ms", "NAM": "en", "NER": "fr", "NGA": "en", "NIC": "es", "NLD": "nl", "NOR": "nb nn", "NPL": "ne",
+    "NZL": "en mi", "OMN": "ar", "PAK": "ur en", "PAN": "es", "PER": "es qu", "PHL": "en fil", "PNG": "en tpi ho",
+    "POL": "pl", "PRK": "ko", "PRT": "pt", "PRY": "gn es", "PSE": "ar", "QAT": "ar", "ROU": "ro", "RUS": "ru",
+    "RWA": "rw fr en", "SAU": "ar", "SDN": "ar en", "SEN": "fr", "SGP": "en ms zh ta", "SLB": "en", "SLE": "en",
+    "SLV": "es", "SMR": "it", "SOM": "so ar", "SRB": "sr", "SSD": "en", "STP": "pt", "SUR": "nl", "SVK": "sk",
+    "SVN": "sl", "SWE": "sv", "SWZ": "ss en", "SYC": "fr en", "SYR": "ar fr", "TCD": "fr ar", "TGO": "fr",
+    "THA": "th", "TJK": "tg ru", "TKM": "tk", "TLS": "pt tet", "TON": "to en", "TUN": "ar fr", "TUR": "tr",
+    "TWN": "zh", "TZA": "sw en", "UGA": "sw en", "UKR": "uk", "URY": "es", "USA": "en", "UZB": "uz", "VEN": "es",
+    "VNM": "vi", "VUT": "bi en fr", "WSM": "sm en", "YEM": "ar", "ZAF": "en zu xh", "ZMB": "en", "ZWE": "en sn nd",
 }
 
 

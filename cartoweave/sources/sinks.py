@@ -74,6 +74,15 @@ def _kml_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield line(KML_TAIL, opened)
 
 
+def write_by_label(df: DataFrame, path: str, write, geom: str = "geom") -> None:
+    """``write`` once per geometry class (three at most), each into its own folder."""
+    labelled = with_label(df, geom)
+    for label in G.GEOMETRY_LABELS:
+        own = labelled.where(F.col("geometry_label") == label).drop("geometry_label")
+        if not own.isEmpty():
+            write(own, f"{path}/geometry_label={label}", geom)
+
+
 def write_kml(df: DataFrame, path: str, geom: str = "geom") -> None:
     """KML documents, one per output file."""
     properties = [c for c in df.columns if c not in (geom, "bbox")]
@@ -119,14 +128,14 @@ def write_theme_cache(
     df: DataFrame, specs, root: str, snapshot: str, themes: Sequence[str] | None = None,
     existing: Sequence[str] = (),
 ) -> DataFrame:
-    """One partition per category holding all tags; themes already cached are kept.
-    Returns the manifest (theme, path, rows) read back from what was written."""
+    """One partition per category holding all tags; a theme that is written again is
+    replaced, those in ``existing`` and all others are kept. Returns the manifest (theme, path, rows) read back from what was written."""
     wanted = [
         s for s in specs
         if s.osm.enabled and s.osm.filter and (not themes or s.slug in themes) and s.slug not in existing
     ]
     cached = categorise(df, wanted).withColumnRenamed("category", "theme").withColumn("snapshot", F.lit(snapshot))
-    cached.write.mode("append").partitionBy("snapshot", "theme").parquet(root)
+    cached.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot", "theme").parquet(root)
     back = df.sparkSession.read.parquet(root).where(F.col("snapshot") == snapshot)
     path = F.concat_ws("/", F.lit(root), F.concat(F.lit("snapshot="), "snapshot"), F.concat(F.lit("theme="), "theme"))
     return (
@@ -288,15 +297,18 @@ class _Written(WriterCommitMessage):
 
 
 class GeoParquetWriter(DataSourceArrowWriter):
-    """Writes one file per task under a pending name; the commit makes the files of
-    the successful attempts visible, so retried tasks leave no duplicates."""
+    """Writes one file per task into a folder of the job's own; the commit makes the
+    files of the successful attempts visible, so retried tasks leave no duplicates, and
+    removes what was there before when the job overwrites."""
 
-    def __init__(self, path: str, geometry: str):
-        self.path, self.geometry = path.rstrip("/"), geometry
+    def __init__(self, path: str, geometry: str, overwrite: bool = False):
+        self.path, self.geometry, self.overwrite = path.rstrip("/"), geometry, overwrite
+        self.pending = f"_pending-{uuid.uuid4().hex}"
 
     def _fs(self):
         from pyarrow import fs
 
+        # ``write_geoparquet`` hands over paths with a scheme.
         if "://" not in self.path and not self.path.startswith("file:"):
             return fs.LocalFileSystem(), self.path
         return fs.FileSystem.from_uri(self.path)
@@ -319,8 +331,8 @@ class GeoParquetWriter(DataSourceArrowWriter):
                 table = pa.Table.from_arrays([batch.column(n) for n in rest] + [wkb], rest + ["geometry"])
                 if writer is None:
                     name = f"part-{uuid.uuid4().hex}.parquet"
-                    fs.create_dir(f"{root}/_pending", recursive=True)
-                    writer = pq.ParquetWriter(f"{root}/_pending/{name}", table.schema, filesystem=fs, compression="zstd", store_schema=False)
+                    fs.create_dir(f"{root}/{self.pending}", recursive=True)
+                    writer = pq.ParquetWriter(f"{root}/{self.pending}/{name}", table.schema, filesystem=fs, compression="zstd", store_schema=False)
                 writer.write_table(table, row_group_size=ROW_GROUP_ROWS)
         finally:
             if writer is not None:
@@ -329,19 +341,25 @@ class GeoParquetWriter(DataSourceArrowWriter):
         return _Written(name)
 
     def commit(self, messages) -> None:
+        from pyarrow.fs import FileSelector, FileType
+
         fs, root = self._fs()
         fs.create_dir(root, recursive=True)
+        if self.overwrite:
+            for info in fs.get_file_info(FileSelector(root)):
+                if info.type == FileType.File:
+                    fs.delete_file(info.path)
         for m in messages:
             if m is not None and m.name:
-                fs.move(f"{root}/_pending/{m.name}", f"{root}/{m.name}")
+                fs.move(f"{root}/{self.pending}/{m.name}", f"{root}/{m.name}")
         self.abort(messages)
 
     def abort(self, messages) -> None:
         from pyarrow.fs import FileType
 
         fs, root = self._fs()
-        if fs.get_file_info(f"{root}/_pending").type == FileType.Directory:
-            fs.delete_dir(f"{root}/_pending")
+        if fs.get_file_info(f"{root}/{self.pending}").type == FileType.Directory:
+            fs.delete_dir(f"{root}/{self.pending}")
 
 
 def geo_metadata(kinds: set[str], bounds: list[float] | None) -> dict:
@@ -360,11 +378,18 @@ class GeoParquetDataSource(DataSource):
         return "cartoweave_geoparquet"
 
     def writer(self, schema, overwrite: bool) -> GeoParquetWriter:
-        return GeoParquetWriter(self.options["path"], self.options.get("geometry", "geom"))
+        return GeoParquetWriter(self.options["path"], self.options.get("geometry", "geom"), overwrite)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark itself would give it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
 
 
-def write_geoparquet(df: DataFrame, path: str, geom: str = "geom") -> None:
+def write_geoparquet(df: DataFrame, path: str, geom: str = "geom", mode: str = "overwrite") -> None:
     """GeoParquet files: WKB ``geometry`` and the ``geo`` footer key."""
     ship_package(df.sparkSession)
     df.sparkSession.dataSource.register(GeoParquetDataSource)
-    df.write.format("cartoweave_geoparquet").mode("append").option("geometry", geom).save(path)
+    target = qualified(df.sparkSession, path)
+    df.write.format("cartoweave_geoparquet").mode(mode).option("geometry", geom).save(target.replace("file:/", "file:///") if target.startswith("file:/") and not target.startswith("file:///") else target)

@@ -10,22 +10,34 @@ from cartoweave.functions import wkt
 from cartoweave.operators import admin as A
 from cartoweave.operators import spatial as S
 
-LEVEL1 = [
-    ("NPL", "NP01", "Province 1", "NPL", "Nepal", "POLYGON((0 5, 5 5, 5 10, 0 10, 0 5))"),
-    ("NPL", "NP02", "Province 2", "NPL", "Nepal", "POLYGON((5 0, 10 0, 10 5, 5 5, 5 0))"),
-]
-LEVEL2 = [
-    ("NPL", "NP0101", "District 1", "NPL", "Nepal", "POLYGON((0 7, 5 7, 5 10, 0 10, 0 7))"),
-    ("NPL", "NP0102", "District 2", "NPL", "Nepal", "POLYGON((0 5, 5 5, 5 7, 0 7, 0 5))"),
-    ("NPL", "NP0201", "District 3", "NPL", "Nepal", "POLYGON((5 0, 10 0, 10 5, 5 5, 5 0))"),
-]
-FEATURES = [
-    (1, "a", "POINT(2.5 8)"),
-    (2, "b", "POINT(2.5 6)"),
-    (3, "c", "POINT(7.5 2.5)"),
-    (4, "d", "POINT(20 20)"),
-    (5, "e", "POLYGON((1 8, 2 8, 2 9, 1 9, 1 8))"),
-]
+COUNTRY = ("QQA", "Quadria")
+# An L-shaped region around a square one, a sliver east of both; districts cut them up.
+OUTLINES = {
+    1: {
+        "QA.W": [(20, -30), (32, -30), (32, -26), (26, -26), (26, -18), (20, -18)],
+        "QA.M": [(26, -26), (32, -26), (32, -18), (26, -18)],
+        "QA.E": [(32, -30), (35, -24), (32, -18)],
+    },
+    2: {
+        "QA.W1": [(20, -30), (26, -30), (26, -18), (20, -18)],
+        "QA.W2": [(26, -30), (32, -30), (32, -26), (26, -26)],
+        "QA.M1": [(26, -26), (32, -26), (26, -18)],
+        "QA.E1": [(32, -30), (35, -24), (32, -24)],
+    },
+}
+PLACES = [(11, 22.3, -20.1), (12, 28.4, -28.7), (13, 27.1, -24.9), (14, 31.2, -19.3), (15, 33.1, -25.2), (16, 33.0, -21.4), (17, 40.5, -20.5), (18, 21.0, -33.3)]
+
+
+def ring_text(ring):
+    return "POLYGON((" + ", ".join(f"{x} {y}" for x, y in [*ring, ring[0]]) + "))"
+
+
+def level_rows(n):
+    return [(COUNTRY[0], code, f"Area {code}", *COUNTRY, ring_text(ring)) for code, ring in OUTLINES[n].items()]
+
+
+def code_at(n, x, y):
+    return min((c for c, ring in OUTLINES[n].items() if brute_inside([[*ring, ring[0]]], x, y)), default=None)
 
 
 def admin_table(spark, levels):
@@ -37,49 +49,40 @@ def admin_table(spark, levels):
 
 
 def feature_table(spark):
-    df = spark.createDataFrame(FEATURES, "id int, label string, wkt string")
-    return df.withColumn("geom", wkt.from_wkt("wkt")).drop("wkt")
-
-
-@pytest.mark.parametrize("mode", ["geos", "h3_neighbor", "strict"])
-def test_codes_of_five_features(spark, mode):
-    admin = admin_table(spark, {1: LEVEL1, 2: LEVEL2})
-    out = A.tag_admin(feature_table(spark), admin, "NPL", [1, 2], mode, step=0.25)
-    assert out.columns == [
-        "id", "label", "geom", "adm0_pcode", "adm0_name", "adm1_pcode", "adm1_name", "adm2_pcode", "adm2_name",
-    ]
-    got = {r["id"]: (r["adm1_pcode"], r["adm2_pcode"]) for r in out.collect()}
-    assert got == {
-        1: ("NP01", "NP0101"), 2: ("NP01", "NP0102"), 3: ("NP02", "NP0201"), 4: (None, None), 5: ("NP01", "NP0101"),
-    }
-    assert {(r["adm0_pcode"], r["adm0_name"]) for r in out.collect()} == {("NPL", "Nepal")}
-
-
-def test_missing_levels_become_nulls(spark):
-    admin = admin_table(spark, {1: LEVEL1, 2: LEVEL2})
-    out = A.tag_admin(feature_table(spark), admin, "NPL", [1, 2, 3, 4], "h3_neighbor", step=0.25)
-    row = out.where("id = 1").first()
-    assert row["adm3_pcode"] is None and row["adm4_name"] is None
-    report = {r["level"]: r["state"] for r in A.tag_report(out, [1, 2, 3, 4]).collect()}
-    assert report == {1: "tagged", 2: "tagged", 3: "empty", 4: "empty"}
-
-
-def test_level_of_null_codes_and_no_admin_data(spark):
-    square = [("NPL", "NP", "All", "NPL", "Nepal", "POLYGON((0 0, 10 0, 10 10, 0 10, 0 0))")]
-    nulls = [("NPL", None, "x", "NPL", "Nepal", "POLYGON((0 0, 10 0, 10 10, 0 10, 0 0))")]
-    out = A.tag_admin(feature_table(spark), admin_table(spark, {1: square, 2: nulls}), "NPL", [1, 2], step=0.5)
-    row = out.where("id = 1").first()
-    assert (row["adm1_pcode"], row["adm2_pcode"]) == ("NP", None)
-    none = A.tag_admin(feature_table(spark), admin_table(spark, {1: LEVEL1}).where("false"), "ata", [1, 2])
-    row = none.where("id = 1").first()
-    assert (row["adm0_pcode"], row["adm0_name"], row["adm1_pcode"]) == ("ATA", None, None)
-
-
-def test_hostile_values_are_data(spark):
-    rows = [("CI'V", "CI'01", "O'Name", "CI'V", "Cote d'Ivoire", "POLYGON((0 0, 10 0, 10 10, 0 10, 0 0))")]
-    out = A.tag_admin(feature_table(spark), admin_table(spark, {1: rows}), "CI'V", [1], step=0.5)
-    row = out.where("id = 3").first()
-    assert (row["adm0_name"], row["adm1_pcode"]) == ("Cote d'Ivoire", "CI'01")
+    rows = [(i, f"place {i}", f"POINT({x} {y})") for i, x, y in PLACES]
+    # An area is tagged by its middle.
+    rows.append((19, "field", ring_text([(21, -22), (24, -22), (24, -21), (21, -21)])))
+    return spark.createDataFrame(rows, "id int, label string, wkt string").withColumn("geom", wkt.from_wkt("wkt")).drop("wkt")
+
+
+@pytest.mark.parametrize("mode", ["geos", "strict"])
+def test_codes_of_places(spark, mode):
+    admin = admin_table(spark, {n: level_rows(n) for n in OUTLINES})
+    out = A.tag_admin(feature_table(spark), admin, COUNTRY[0], [1, 2], mode, step=0.5)
+    assert out.columns == ["id", "label", "geom", *A.code_columns([1, 2])]
+    middle = [*PLACES, (19, 22.5, -21.5)]
+    want = {i: (code_at(1, x, y), code_at(2, x, y)) for i, x, y in middle}
+    rows = out.collect()
+    assert {r["id"]: (r["adm1_pcode"], r["adm2_pcode"]) for r in rows} == want
+    assert None in {v[1] for v in want.values() if v[0]} and (None, None) in want.values()
+    assert {(r["adm0_pcode"], r["adm0_name"]) for r in rows} == {COUNTRY}
+    assert all(r["adm1_name"] == (f"Area {r['adm1_pcode']}" if r["adm1_pcode"] else None) for r in rows)
+
+
+def test_levels_without_data(spark):
+    admin = admin_table(spark, {1: level_rows(1)}).unionByName(admin_table(spark, {2: level_rows(2)}).withColumn("pcode", F.lit(None).cast("string")))
+    out = A.tag_admin(feature_table(spark), admin, COUNTRY[0], [1, 2, 3], "geos", step=0.5)
+    states = {r["level"]: r["state"] for r in A.tag_report(out, [1, 2, 3]).collect()}
+    assert states == {1: "tagged", 2: "empty", 3: "empty"}
+    bare = A.tag_admin(feature_table(spark), admin.where("false"), "zzq", [1, 3])
+    assert {tuple(r[c] for c in A.code_columns([1, 3])) for r in bare.collect()} == {("ZZQ", None, None, None, None, None)}
+
+
+def test_quotes_are_data(spark):
+    rows = [("Q'A", "Q'A-\"1\"", "The \"Old\" Town's", "Q'A", "L'Isle", ring_text(OUTLINES[1]["QA.W"]))]
+    out = A.tag_admin(feature_table(spark), admin_table(spark, {1: rows}), "Q'A", [1], step=0.5)
+    row = out.where("id = 11").first()
+    assert (row["adm0_name"], row["adm1_pcode"], row["adm1_name"]) == ("L'Isle", "Q'A-\"1\"", "The \"Old\" Town's")
 
 
 def test_resolution_words():
@@ -155,7 +158,7 @@ def test_crowded_cells_give_the_same_codes(spark):
     assert not loose.crowded
     run = lambda lk: sorted(
         (r["id"], r["adm1_pcode"])
-        for r in A.tag_admin(feats, admin, "XXX", [1], "strict", id_col="id", lookup=lk).collect()
+        for r in A.tag_admin(feats, admin, "XXX", [1], "strict", lookup=lk).collect()
     )
     want = []
     for i, (x, y) in enumerate(points):
@@ -167,16 +170,37 @@ def test_crowded_cells_give_the_same_codes(spark):
 
 @pytest.mark.parametrize("mode", ["geos", "h3_neighbor", "strict"])
 def test_folded_lookups_give_the_same_codes(spark, mode):
-    admin = admin_table(spark, {1: LEVEL1, 2: LEVEL2[:2]})
-    points = [(i, (i * 7 % 220) / 20 - 0.5, (i * 13 % 220) / 20 - 0.5) for i in range(2000)]
+    admin = admin_table(spark, {1: level_rows(1), 2: level_rows(2)[:2]})
+    points = [(i, 19 + (i * 7 % 340) / 20, -31 + (i * 13 % 280) / 20) for i in range(2000)]
     feats = spark.createDataFrame(points, "id int, x double, y double").select("id", G.point("x", "y").alias("geom"))
     plain = A.build_lookup(admin, [1, 2], mode, 0.05)
     folded = A.build_lookup(admin, [1, 2], mode, 0.05, blocks_from=0)
     assert plain.blocks is None and folded.blocks.count() > 10
     assert folded.rows.count() < plain.rows.count() / 2
     run = lambda lk: sorted(
-        tuple(r) for r in A.tag_admin(feats, admin, "NPL", [1, 2], mode, id_col="id", lookup=lk).drop("geom").collect()
+        tuple(r) for r in A.tag_admin(feats, admin, "QQA", [1, 2], mode, lookup=lk).drop("geom").collect()
     )
     assert run(folded) == run(plain)
     folded.release()
     plain.release()
+
+
+def test_crowded_boundaries_keep_rows_as_they_are(spark):
+    """Light and crowded parts in one cell, rows that repeat an id, and no edge limit."""
+    import math
+
+    gear = [(3 + (2 + 0.3 * (i % 2)) * math.cos(2 * math.pi * i / 2400), 3 + (2 + 0.3 * (i % 2)) * math.sin(2 * math.pi * i / 2400)) for i in range(2400)]
+    boxes = [[(0.5, 0.5), (4, 0.5), (4, 4), (0.5, 4)], gear]
+    area = spark.createDataFrame([(ring_text(r),) for r in boxes], "w string").select(wkt.from_wkt("w").alias("geom"))
+    rnd = random.Random(5)
+    points = [(i // 2, rnd.uniform(0, 7), rnd.uniform(0, 7)) for i in range(800)]
+    df = spark.createDataFrame(points, "id int, x double, y double").withColumn("geom", G.point("x", "y"))
+    held = lambda x, y: any(brute_inside([[*r, r[0]]], x, y) for r in boxes)
+    want = sorted((i, x, y) for i, x, y in points if held(x, y))
+    index = S.boundary_index(area, 8.0)
+    assert not S.crowded_cells(index).isEmpty()
+    got = S.points_within(df, index, "id").select("id", "x", "y").collect()
+    assert sorted(tuple(r) for r in got) == want
+    one_each = df.dropDuplicates(["id"])
+    got = sorted(r["id"] for r in S.intersects_boundary(one_each, area, "id", step=8.0).collect())
+    assert got == sorted(r["id"] for r in one_each.collect() if held(r["x"], r["y"]))
