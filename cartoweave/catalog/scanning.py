@@ -369,6 +369,56 @@ def source_plugin(spark, d):
     )
 
 
+INSIDE_TAGGED = f"""{V.with_('tagged', 'edges1')}, inside AS (SELECT DISTINCT feature_id, brand, type FROM (SELECT feature_id, brand, type FROM tagged, edges1
+        WHERE k % 2 = 0 AND {FI.IN_BBOX} AND {V.SQL_PARITY} GROUP BY feature_id, brand, type, k HAVING count(*) % 2 = 1))"""
+TWO_CATEGORIES = RUN_CATEGORIES[:2]
+TWO_COUNTS = "SELECT 'economy' AS slug, count(*) AS features FROM inside WHERE type = 'ECONOMY' UNION ALL SELECT 'branded', count(*) FROM inside WHERE brand IS NOT NULL AND type <> 'PROMO'"
+
+
+def tagged_source(spark, d, name="osm", keep="true"):
+    source = ExtractSource(spark, V.tagged_features(spark, d).select("feature_id", "tags", "geometry").where(keep), "2026-04-15")
+    source.name = name
+    return source
+
+
+def nations_area(spark, d):
+    return Boundary("NPL", FI.BBOX, FI.some_nations(spark, d), "nations")
+
+
+@query("format_failure", f"{INSIDE_TAGGED} SELECT slug, 'partial' AS status, features, 'ok' AS geojson, 'unsupported format: gpkg' AS gpkg FROM ({TWO_COUNTS})")
+def format_failure(spark, d):
+    run = RunSpec(iso3="NPL", formats=("gpkg", "geojson"), categories=TWO_CATEGORIES)
+    statuses, _ = X.run_export(spark, run, tagged_source(spark, d), nations_area(spark, d), V.scratch(spark, "run"), points=True, step=V.STEP)
+    rows = [(s["slug"], s["status"], s["features"], s["formats"]["geojson"], s["formats"]["gpkg"]) for s in statuses]
+    return spark.createDataFrame(rows, "slug string, status string, features bigint, geojson string, gpkg string")
+
+
+@query(
+    "resume_round_trip",
+    f"{INSIDE_TAGGED}, counted AS ({TWO_COUNTS}) SELECT 1 AS run, slug, 'ok' AS status, features FROM counted UNION ALL SELECT 2, slug, 'resumed', features FROM counted",
+)
+def resume_round_trip(spark, d):
+    run, root, rows = RunSpec(iso3="NPL", formats=("geojson",), categories=TWO_CATEGORIES), V.scratch(spark, "run"), []
+    for number in (1, 2):
+        statuses, _ = X.run_export(spark, run, tagged_source(spark, d), nations_area(spark, d), root, points=True, step=V.STEP)
+        rows += [(number, s["slug"], s["status"], s["features"]) for s in statuses]
+    return spark.createDataFrame(rows, "run int, slug string, status string, features bigint")
+
+
+@query(
+    "run_combined",
+    f"""{INSIDE_TAGGED}, both_sources AS (SELECT 'osm' AS source, * FROM inside UNION ALL SELECT 'overture', * FROM inside WHERE feature_id LIKE '%7'),
+    merged AS (SELECT 'economy' AS category, source FROM both_sources WHERE type = 'ECONOMY' UNION ALL SELECT 'branded', source FROM both_sources WHERE brand IS NOT NULL AND type <> 'PROMO')
+    SELECT category, source, count(*) AS features, 3 * count(*) AS tiles FROM merged GROUP BY category, source""",
+)
+def run_combined(spark, d):
+    run = RunSpec(iso3="NPL", formats=("geojson",), categories=TWO_CATEGORIES, tiles=True, min_zoom=0, max_zoom=2)
+    sources = [tagged_source(spark, d, "overture", "feature_id LIKE '%7'"), tagged_source(spark, d)]
+    found = X.run_combined(spark, run, sources, nations_area(spark, d), V.scratch(spark, "run"), points=True, step=V.STEP)
+    tiles = found.tiles.groupBy("category", "source").agg(F.count("*").alias("tiles"))
+    return found.metadata.select("category", "source", F.col("feature_count").alias("features")).join(tiles, ["category", "source"])
+
+
 @query(
     "export_release_layer",
     "SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_brand END AS source FROM part "
