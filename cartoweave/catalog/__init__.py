@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def _load():
     from cartoweave.catalog import registry
-    from cartoweave.catalog import aggregates, filtering, joins, scalars, scanning  # noqa: F401
+    from cartoweave.catalog import aggregates, crowded, filtering, joins, scalars, scanning  # noqa: F401
 
     return registry
 
