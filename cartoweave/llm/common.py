@@ -62,3 +62,13 @@ def slices(batch: pa.RecordBatch, text_index: int, most: int = 4 << 20) -> Itera
         size += n
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+def gaps(parts: list) -> list[int]:
+    """Places of ``None`` in ``parts``."""
+    out: list[int] = []
+    at = -1
+    for _ in range(parts.count(None)):
+        at = parts.index(None, at + 1)
+        out.append(at)
+    return out

@@ -15,6 +15,8 @@ are not read.
 from __future__ import annotations
 
 import re
+import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,14 +25,16 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from cartoweave.llm.common import prepare, slices, staged, texts
-from cartoweave.llm.vocabularies import default_path
+from cartoweave.llm.common import gaps, prepare, slices, staged, texts
+from cartoweave.llm.vocabularies import byte_symbols, default_path
 
 VOCABULARY = "byte_bpe_50k.json"
 LENGTH = 2048
 END_ID = 1
 DIMENSIONS, BITS = 4, 8
-REMEMBER = 250_000
+REMEMBER = 400_000
+# How byte-level vocabularies of this family cut texts into words.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # A space inside a run of white space: there words cannot be cut at single spaces.
 RUNS = re.compile(r"\s (?=\s|\Z)")
 
@@ -39,12 +43,20 @@ class Encoder:
     """Ids of whole texts, words remembered; one per worker and vocabulary.
 
     The vocabulary joins at most one space to the word after it, so texts are cut before
-    single spaces and each word is encoded by the library once."""
+    single spaces and each word is encoded once. Its merges are ranked by their ids, so a
+    new word goes through the quicker of two libraries, built from the same file; words
+    with characters that the two may class differently, and texts that cannot be cut,
+    go through the vocabulary's own."""
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        symbols = byte_symbols()
+        special_texts = {t.content for t in self.library.get_added_tokens_decoder().values()}
+        ranks = {bytes(symbols[c] for c in token): i for token, i in self.library.get_vocab().items() if token not in special_texts}
+        self.quick = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         if self.library.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary do not fit 16 bits")
         special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
@@ -53,33 +65,34 @@ class Encoder:
         self.seen: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint16).tobytes() for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+    def _encode_whole(self, texts_: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint16).tobytes() for e in self.library.encode_batch_fast(texts_, add_special_tokens=False)]
 
-    def encode_all(self, texts_: list[str]) -> list[bytes]:
-        """Ids of each text as 16-bit numbers."""
+    def _word(self, word: str) -> bytes:
+        if word.isascii() or "Cn" not in map(unicodedata.category, word):
+            return array("H", self.quick.encode_ordinary(word)).tobytes()
+        return self._encode_whole([word])[0]
+
+    def encode(self, text: str) -> bytes:
+        """Ids of one text as 16-bit numbers."""
+        if RUNS.search(text) or self.special.search(text):
+            return self._encode_whole([text])[0]
         if len(self.seen) + len(self.first) > REMEMBER:
             self.seen.clear()
             self.first.clear()
-        seen, first = self.seen, self.first
-        split, need, begin, whole = [], set(), set(), []
-        for t in texts_:
-            if RUNS.search(t) or self.special.search(t):
-                split.append(None)
-                whole.append(t)
-                continue
-            head, *words = t.split(" ")
-            split.append((head, words))
-            begin.add(head)
-            need.update(words)
-        new = [w for w in need if w not in seen]
-        if new:
-            seen.update(zip(new, self._encode([" " + w for w in new])))
-        new = [w for w in begin if w not in first]
-        if new:
-            first.update(zip(new, self._encode(new)))
-        rest = iter(self._encode(whole) if whole else ())
-        return [next(rest) if parts is None else first[parts[0]] + b"".join([seen[w] for w in parts[1]]) for parts in split]
+        head, *words = text.split(" ")
+        seen = self.seen
+        parts = list(map(seen.get, words))
+        for k in gaps(parts):
+            word = words[k]
+            found = seen.get(word)
+            if found is None:
+                found = seen[word] = self._word(" " + word)
+            parts[k] = found
+        begin = self.first.get(head)
+        if begin is None:
+            begin = self.first[head] = self._word(head)
+        return begin + b"".join(parts)
 
 
 @lru_cache(maxsize=2)
@@ -127,7 +140,8 @@ def _directions(dimensions: int) -> np.ndarray:
 def curve_keys(ids: list[np.ndarray], dimensions: int = DIMENSIONS, bits: int = BITS) -> np.ndarray:
     """Hilbert key of each document from its 16-bit ids."""
     table = _directions(dimensions)
-    spread = np.array([table[x].sum(axis=0) / np.sqrt(len(x)) for x in ids]).reshape(-1, dimensions)
+    begin = np.cumsum([0, *(len(x) for x in ids)])[:-1]
+    spread = np.add.reduceat(table[np.concatenate(ids)], begin, axis=0).astype(float) if ids else np.zeros((0, dimensions))
     # Sums of similar words point one way and grow with length: only the direction counts.
     spread /= np.maximum(np.linalg.norm(spread, axis=1, keepdims=True), 1e-9)
     return hilbert_keys(np.clip(((spread + 1) / 2 * (1 << bits)).astype(np.int64), 0, (1 << bits) - 1), bits)
@@ -142,7 +156,7 @@ def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
         end = np.array([end_id], np.uint16).tobytes()
         for whole in batches:
             for batch in slices(whole, 1):
-                ids = [x + end for x in own.encode_all(batch.column(1).to_pylist())]
+                ids = [own.encode(t) + end for t in batch.column(1).to_pylist()]
                 keys = curve_keys([np.frombuffer(x, np.uint16) for x in ids])
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "curve", "ids"])
 
