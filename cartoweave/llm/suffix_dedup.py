@@ -34,7 +34,8 @@ LENGTH = 200
 GRAM = 32
 WORD = 8
 SHALLOW = 3
-CROWD = 512
+# About as many regions as fill one batch of SORT_BYTES.
+CROWD = 8192
 SORT_BYTES = 2 << 20
 BLOCK = 1 << 20
 _BYTES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
