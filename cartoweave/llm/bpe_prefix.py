@@ -173,7 +173,8 @@ class PrefixTable:
             return starts, sizes, last, count
         begin, end, token = np.concatenate(begins), np.concatenate(ends), np.concatenate(tokens)
         step = end - begin_of[begin]
-        order = np.argsort(step, kind="stable")
+        # Small numbers sort by counting.
+        order = np.argsort(step.astype(np.uint16) if step.max() < 1 << 16 else step, kind="stable")
         begin, end, token = begin[order], end[order], token[order]
         bounds = np.searchsorted(step[order], np.arange(1, int(step.max()) + 2))
         for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
@@ -222,32 +223,40 @@ class PrefixTable:
                 out[i] = self._fill_one(w)[1][-1]
         return out
 
+    def encode_flat(self, words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``ids, bounds``: word ``i`` has the ids from ``bounds[i]`` to ``bounds[i + 1]``,
+        recovered from its end."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        short = np.flatnonzero(sizes <= LONG)
+        starts, lengths, last, count = self.fill([words[i] for i in short.tolist()])
+        many = np.zeros(len(words), np.int64)
+        many[short] = count[starts + lengths]
+        long = {}
+        for i in np.flatnonzero(sizes > LONG).tolist():
+            tokens, _, _ = self._fill_one(words[i])
+            at, back = len(words[i]), []
+            while at:
+                back.append(tokens[at])
+                at -= len(self.strings[tokens[at]])
+            long[i] = back[::-1]
+            many[i] = len(back)
+        bounds = np.concatenate([[0], np.cumsum(many)]).astype(np.int64)
+        ids = np.zeros(int(bounds[-1]), np.int64)
+        put = bounds[1:][short].copy()
+        at = starts + lengths
+        rows = np.flatnonzero(lengths > 0)
+        while len(rows):
+            token = last[at[rows]]
+            put[rows] -= 1
+            ids[put[rows]] = token
+            at[rows] -= self.length[token]
+            rows = rows[at[rows] > starts[rows]]
+        for i, found in long.items():
+            ids[bounds[i] : bounds[i + 1]] = found
+        return ids, bounds
+
     def encode(self, words: Sequence[bytes]) -> list[list[int]]:
-        """Ids of every word, recovered from its end."""
-        out: list[list[int]] = [[] for _ in words]
-        short = [i for i, w in enumerate(words) if 0 < len(w) <= LONG]
-        starts, sizes, last, count = self.fill([words[i] for i in short])
-        if len(short):
-            at = starts + sizes
-            many = count[at]
-            offsets = np.concatenate([[0], np.cumsum(many)])
-            ids = np.zeros(int(offsets[-1]), np.int64)
-            rows, put = np.arange(len(short)), offsets[1:].copy()
-            while len(rows):
-                token = last[at[rows]]
-                put[rows] -= 1
-                ids[put[rows]] = token
-                at[rows] -= self.length[token]
-                rows = rows[at[rows] > starts[rows]]
-            flat, bounds = ids.tolist(), offsets.tolist()
-            for k, i in enumerate(short):
-                out[i] = flat[bounds[k] : bounds[k + 1]]
-        for i, w in enumerate(words):
-            if len(w) > LONG:
-                last, _, _ = self._fill_one(w)
-                at, back = len(w), []
-                while at:
-                    back.append(last[at])
-                    at -= len(self.strings[last[at]])
-                out[i] = back[::-1]
-        return out
+        """Ids of every word."""
+        ids, bounds = self.encode_flat(words)
+        flat, at = ids.tolist(), bounds.tolist()
+        return [flat[a:b] for a, b in zip(at, at[1:])]

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cartoweave.llm.common import prepare, slices, texts
+from cartoweave.llm.common import gaps, prepare, slices, texts
 from cartoweave.llm.vocabularies import PieceVocabulary, default_path, piece_vocabulary
 
 MODEL = "piece_bpe_32k.model"
@@ -42,44 +42,52 @@ class Coder:
         self.bytes_of = [b.replace(mark, b" ") for b in self.vocabulary.bytes_of]
 
     def learn(self, words: set[str]) -> None:
-        if len(self.seen) > REMEMBER:
-            self.seen.clear()
-            self.alone.clear()
         new = [w for w in words if w not in self.seen]
-        segments = [self.unknown.split(PieceVocabulary.SPACE + w) for w in new]
+        mark = PieceVocabulary.SPACE
         # Odd places hold the unknown characters.
-        plain = list({s for parts in segments for s in parts[::2] if s})
-        ids = dict(zip(plain, self.vocabulary.table.encode([s.encode() for s in plain])))
-        of_byte = self.vocabulary.byte_id
-        for word, parts in zip(new, segments):
-            out: list[int] = []
-            for k, s in enumerate(parts):
-                if k % 2:
-                    out += [of_byte[b] for b in s.encode()]
-                elif s:
-                    out += ids[s]
-            self.seen[word] = np.array(out, np.int32).tobytes()
-            if out[0] == self.space:
-                self.alone.add(word)
+        cut = {w: self.unknown.split(mark + w) for w in new if self.unknown.search(w)}
+        plain = [mark + w for w in new if w not in cut]
+        rest = list({s for parts in cut.values() for s in parts[::2] if s})
+        flat, bounds = self.vocabulary.table.encode_flat([s.encode() for s in [*plain, *rest]])
+        data, at = flat.astype(np.int32).tobytes(), (4 * bounds).tolist()
+        coded = [data[a:b] for a, b in zip(at, at[1:])]
+        self.seen.update(zip((w for w in new if w not in cut), coded))
+        ids = dict(zip([*plain, *rest], coded))
+        of_byte = [np.int32(i).tobytes() for i in self.vocabulary.byte_id]
+        for word, parts in cut.items():
+            out = [b"".join([of_byte[b] for b in s.encode()]) if k % 2 else ids[s] if s else b"" for k, s in enumerate(parts)]
+            self.seen[word] = b"".join(out)
+        single = np.int32(self.space).tobytes()
+        self.alone.update(w for w in new if self.seen[w][:4] == single)
 
     def encode_all(self, texts_: Sequence[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
+        if len(self.seen) > REMEMBER:
+            self.seen.clear()
+            self.alone.clear()
         mark = PieceVocabulary.SPACE
-        split = [(t.replace(mark, " ") if mark in t else t).split(" ") if t else None for t in texts_]
+        seen = self.seen
+        found = []
         need: set[str] = set()
-        for words in split:
-            need.update(words or ())
-        need.discard("")
+        for t in texts_:
+            if not t:
+                found.append(([], (), False))
+                continue
+            words = (t.replace(mark, " ") if mark in t else t).split(" ")
+            parts = list(map(seen.get, words))
+            runs = "" in words
+            new = [(k, words[k]) for k in gaps(parts)]
+            need.update([w for _, w in new if w])
+            found.append((words if runs else parts, new, runs))
         self.learn(need)
-        seen = self.seen
         out = []
-        for words in split:
-            if words is None:
-                out.append(b"")
-            elif "" in words:
-                out.append(self._with_runs(words))
-            else:
-                out.append(b"".join([seen[w] for w in words]))
+        for parts, new, runs in found:
+            if runs:
+                out.append(self._with_runs(parts))
+                continue
+            for k, w in new:
+                parts[k] = seen[w]
+            out.append(b"".join(parts))
         return out
 
     def _with_runs(self, words: list[str]) -> bytes:
