@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cartoweave.functions import geom as G
 from cartoweave.functions.grid import DEFAULT_STEP, Grid, lonlat
 from cartoweave.operators import spatial as S
-from cartoweave.session import measured
+from cartoweave.session import measured, measured_with
 
 LEVELS = (1, 2, 3, 4)
 
@@ -144,7 +144,7 @@ def build_lookup(
     grid = lonlat(step)
     keys = ["level", "pcode", "name"]
     polys = admin.where("pcode IS NOT NULL").select(*keys, "geom")
-    index, crowded = None, False
+    index = None
     if mode == "h3_neighbor":
         cover = measured(S.cell_cover(polys, keys, step))
         per_level = cell_owners(cover).withColumn("near", F.lit(None).cast("struct<pcode:string,name:string>"))
@@ -176,17 +176,17 @@ def build_lookup(
     wide = per_level.groupBy("cell").agg(
         *[F.first(F.when(F.col("level") == n, found), ignorenulls=True).alias(f"L{n}") for n in levels]
     )
-    wide = measured(wide)
+    busy = F.lit(False)
+    if index is not None:
+        for n in levels:
+            busy = busy | F.coalesce(F.col(f"L{n}.busy"), F.lit(False))
+    wide, facts = measured_with(wide, F.max(busy).alias("busy"))
     if mode == "h3_neighbor":
         cover.unpersist()
     blocks = None
-    if wide.count() >= blocks_from:
+    if facts["rows"] >= blocks_from:
         wide, blocks = _fold(wide, grid, levels)
-    if index is not None:
-        any_busy = F.lit(False)
-        for n in levels:
-            any_busy = any_busy | F.coalesce(F.col(f"L{n}.busy"), F.lit(False))
-        crowded = not wide.where(any_busy).isEmpty()
+    crowded = bool(facts["busy"])
     return AdminLookup(grid, tuple(levels), wide, blocks, index, crowded)
 
 

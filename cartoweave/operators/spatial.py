@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from cartoweave.functions import geom as G
 from cartoweave.functions.grid import DEFAULT_STEP, Grid, lat_of, lonlat, lon_of, mercator_x, mercator_y, metres
-from cartoweave.session import measured
+from cartoweave.session import measured, measured_with
 
 # Most edges one index row carries. A cell holding more of one polygon is spread
 # over several rows, whose parities are added up per point.
@@ -130,11 +130,13 @@ class CellIndex:
 
     ``owned`` says the cell centre is inside. ``base`` is the parity before the
     listed edges are counted. ``edges`` is NULL where no edge touches the cell.
+    ``crowded`` says that some cell takes more than one row of a polygon.
     """
 
     grid: Grid
     keys: tuple[str, ...]
     rows: DataFrame
+    crowded: bool
 
     def release(self) -> None:
         self.rows.unpersist()
@@ -194,7 +196,8 @@ def build_index(
             "edges",
         )
     )
-    return CellIndex(grid, tuple(keys), measured(rows))
+    kept, facts = measured_with(rows, F.max("pieces").alias("pieces"))
+    return CellIndex(grid, tuple(keys), kept, (facts["pieces"] or 1) > 1)
 
 
 def boundary_index(boundary: DataFrame, step: float = DEFAULT_STEP, geom: str = "geom") -> CellIndex:
@@ -225,7 +228,7 @@ def pip_pairs(
     out = [*same, *ids, *keys]
     holds = index.parity(F.col(x), F.col(y)) == 1
     whole = located.join(index.rows.where("pieces = 1"), ["cell", *same]).where(holds).select(*out)
-    if index.rows.where("pieces > 1").isEmpty():
+    if not index.crowded:
         return whole
     spread = crowded_pairs(located.select(*same, x, y), index, x, y, same)
     return whole.unionByName(located.join(spread, [*same, x, y]).select(*out))
@@ -271,11 +274,11 @@ def points_within(
     located = points.withColumn("_cell", boundary.grid.cell(px, py))
     light = boundary.rows.where("pieces = 1").select("cell", "base", "edges")
     on = (F.col("_cell") == F.col("cell")) & (boundary.parity(px, py) == 1)
-    crowded = crowded_cells(boundary)
-    if crowded.isEmpty():
+    if not boundary.crowded:
         return located.join(light, on, "left_semi").drop("_cell")
     # A cell may hold light parts as well as crowded ones: its rows are asked about both
     # at once, so that none comes out twice.
+    crowded = crowded_cells(boundary)
     inside = located.join(crowded, "_cell", "left_anti").join(light, on, "left_semi").drop("_cell")
     rest = located.join(crowded, "_cell", "left_semi")
     places = rest.select(F.col(x).alias("_x"), F.col(y).alias("_y")).distinct()
@@ -322,10 +325,10 @@ def intersects_boundary(
     )
     single = index.rows.where("pieces = 1").select("cell", "base", "edges")
     on = (F.col("_cell") == F.col("cell")) & _meets_cell(F.col(geom), index)
-    crowded = crowded_cells(index)
     far = located.where("_cell IS NULL")
     settled = located
-    if not crowded.isEmpty():
+    if index.crowded:
+        crowded = crowded_cells(index)
         # Rows in crowded cells go the far road, and only that one.
         settled = located.join(crowded, "_cell", "left_anti")
         far = far.unionByName(located.join(crowded, "_cell", "left_semi").select(*far.columns))

@@ -8,7 +8,8 @@ import uuid
 from pathlib import Path
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings that suit every job in this package. They are ordinary SQL
 # settings, so a cluster session keeps whatever else it was started with.
@@ -92,6 +93,10 @@ def measured(df: DataFrame) -> DataFrame:
     measured bytes: below the broadcast threshold they are broadcast, above it
     they are shuffled on the join key. Lost blocks are rebuilt from lineage.
     """
+    return measured_with(df)[0]
+
+
+def measured_with(df: DataFrame, *aggregates) -> tuple[DataFrame, Row]:
+    """``measured``, and the aggregates of the table from the same job."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    kept.count()
-    return kept
+    return kept, kept.agg(F.count(F.lit(1)).alias("rows"), *aggregates).first()
