@@ -3,7 +3,7 @@
 A word is its hashed subwords (runs of two to four bytes, borders marked); a text is the
 average of the embeddings of all of them, and a linear softmax over that average gives
 the languages. Embeddings and softmax are trained together by stochastic gradient descent
-in numpy, on at most ``sample`` documents per language that Spark draws by hash and turns
+in numpy, on at most ``sample`` documents per language, ``total`` in all, that Spark draws by hash and turns
 into subword counts. A fifth of them sets the temperature of the scores and the score
 below which a prediction is not to be trusted.
 
@@ -31,6 +31,7 @@ BUCKETS = 1 << 16
 WIDTH = 16
 SAMPLE = 400
 LANGUAGES = 200
+TOTAL = 4000
 PRECISION = 0.99
 REMEMBER = 150_000
 SIZES = (2, 3, 4)
@@ -138,14 +139,16 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], labels: list[str], epochs: in
     return model
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, languages: int = LANGUAGES) -> Model | None:
-    """A model from the documents with a language: about ``sample`` of each, drawn by a
-    hash of the id, for the ``languages`` most frequent; ``None`` if there are none."""
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, languages: int = LANGUAGES, total: int = TOTAL) -> Model | None:
+    """A model from the documents with a language: about ``sample`` of each and ``total``
+    at most, drawn by a hash of the id, for the ``languages`` most frequent; ``None`` if
+    there are none."""
     prepare(docs.sparkSession)
     known = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), F.col(lang_col).alias("__lang")).where("__lang IS NOT NULL AND __text IS NOT NULL")
     counts = known.groupBy("__lang").count().orderBy(F.desc("count"), "__lang").limit(languages).collect()
     if not counts:
         return None
+    sample = max(1, min(sample, total // len(counts)))
     chance = F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(1_000_000))
     wanted = None
     for c in counts:
