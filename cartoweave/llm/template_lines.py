@@ -2,15 +2,16 @@ r"""Dropping lines that recur across documents, by a log-template tree.
 
 A line's tokens go down a tree of fixed depth: first by how many there are, then by the
 leading ``DEPTH`` tokens, where a token with a digit is a field (``<*>``). In a leaf that
-lines of two documents reach, a later token stays in the template if at
+lines of at least ``min_docs`` documents reach, a later token stays in the template if at
 least ``min_docs`` lines (counted once per document) have it at that place; all others
 are fields. A template recurs if at least ``min_docs`` documents have a line of it and at
 least ``similarity`` of its tokens are not fields. Lines of recurring templates go.
 
-All steps are built-in expressions. Lines travel once, and only counts and hashes of
-leaves before that; what is joined afterwards are the distinct lines of shared leaves, so
-a line that a third of all documents hold is one row there. Joins are on hashes of leaf,
-line and template, which Spark can split where one is frequent.
+All steps are built-in expressions. First only hashes of leaves travel, to find the shared
+ones; then lines travel once. Templates are worked out on the distinct lines of shared
+leaves, so a line that a third of all documents hold is one row there, and on hashes of
+their tokens. Joins are on hashes of leaf, line and template, which Spark can split where
+one is frequent.
 
 Defined results: null text is empty; lines end at ``\n``; white space around and between
 tokens does not count; blank lines stay; rows that repeat a ``doc_id`` count as one
@@ -33,42 +34,54 @@ BLANK = r"[\x20\x09-\x0D]+"
 
 
 def _tokens(line: Column) -> Column:
-    """Tokens of a line; fields masked."""
-    return F.transform(F.filter(F.split(line, BLANK), lambda t: t != ""), lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))
+    """Tokens of a line that is not blank; most lines are cut at single spaces."""
+    odd = line.rlike(r"[\x09-\x0D]|\x20\x20|^\x20|\x20$")
+    return F.when(odd, F.filter(F.split(line, BLANK), lambda t: t != "")).otherwise(F.split(line, " "))
+
+
+def _masked(token: Column) -> Column:
+    return F.when(token.rlike("[0-9]"), F.lit(FIELD)).otherwise(token)
 
 
 def _leaf(tokens: Column, depth: int) -> Column:
-    return F.xxhash64(F.size(tokens), F.array_join(F.slice(tokens, 1, depth), " "))
+    return F.xxhash64(F.size(tokens), F.array_join(F.transform(F.slice(tokens, 1, depth), _masked), " "))
 
 
 def recurring_lines(source: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, tag, dropped``: the places (from 0) of the lines to drop in the texts of
     ``source(doc_id, tag, lines)`` that have any."""
+    full = F.filter("lines", lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    leaves = F.transform(F.transform(full, _tokens), lambda tokens: _leaf(tokens, depth))
+    # Rows, not documents, are counted here: no leaf is missed, the documents come later.
+    shared = source.select(F.explode(F.array_distinct(leaves)).alias("leaf")).groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf")
+
     lines = source.select("doc_id", "tag", F.posexplode("lines").alias("place", "line")).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-    tokens = lines.select("doc_id", "tag", "place", _tokens(F.col("line")).alias("tokens")).withColumn("leaf", _leaf(F.col("tokens"), depth))
-    shared = tokens.groupBy("leaf").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("leaf")
-    held = tokens.join(shared, "leaf").withColumn("line", F.xxhash64("leaf", F.array_join("tokens", " ")))
-    held = staged(held)
-    distinct = staged(
-        held.groupBy("leaf", "line", "doc_id").agg(F.first("tokens").alias("tokens")).groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
-    )
-    at = distinct.select("leaf", "line", "docs", F.posexplode("tokens").alias("at", "token"))
-    constant = at.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("seen")).where((F.col("seen") >= min_docs) | (F.col("at") < depth)).select("leaf", "at", "token", F.lit(True).alias("stays"))
-    stays = F.col("stays").isNotNull() & (F.col("token") != FIELD)
-    templates = (
-        at.join(constant, ["leaf", "at", "token"], "left")
-        .groupBy("leaf", "line")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("at", F.when(stays, F.col("token")).otherwise(F.lit(FIELD)).alias("token")))).alias("parts"),
-            F.avg(stays.cast("int")).alias("share"),
-        )
-        .where(F.col("share") >= similarity)
-        .select("line", F.xxhash64("leaf", F.array_join("parts.token", " ")).alias("template"))
-    )
-    templates = staged(templates)
-    recurring = (
-        held.select("line", "doc_id").join(templates, "line").groupBy("template", "doc_id").agg(F.lit(1).alias("one")).groupBy("template").count().where(F.col("count") >= min_docs).select("template")
+    cut = lines.select("doc_id", "tag", "place", _tokens(F.col("line")).alias("tokens"))
+    plain = F.array_join("tokens", " ")
+    masked = F.when(plain.rlike("[0-9]"), F.array_join(F.transform("tokens", _masked), " ")).otherwise(plain)
+    spread = cut.select("doc_id", "tag", "place", _leaf(F.col("tokens"), depth).alias("leaf"), masked.alias("body"))
+    # Leaves and drops grow with the corpus: they are never broadcast, whatever their size.
+    held = staged(spread.join(shared.hint("merge"), "leaf").select("doc_id", "tag", "place", "leaf", F.xxhash64("leaf", "body").alias("line"), "body"))
+
+    # One row per distinct line, with the number of documents that hold it.
+    docs = held.select("line", "doc_id").distinct().groupBy("line").agg(F.count(F.lit(1)).alias("docs"))
+    bodies = held.groupBy("line").agg(F.first("leaf").alias("leaf"), F.first("body").alias("body"))
+    distinct = staged(bodies.join(docs, "line").select("line", "leaf", "docs", F.split("body", " ").alias("tokens")))
+
+    # Tokens behind the leading ones, as hashes of leaf, place and token.
+    later = distinct.select("line", "leaf", "docs", F.posexplode("tokens").alias("at", "token")).where((F.col("at") >= depth) & (F.col("token") != FIELD))
+    later = later.select("line", "docs", "at", F.xxhash64("leaf", "at", "token").alias("key"))
+    constant = later.groupBy("key").agg(F.sum("docs").alias("seen")).where(F.col("seen") >= min_docs).select("key")
+    stays = later.join(constant, "key").groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("at", "key"))).alias("rest"))
+    leading = F.size(F.filter(F.slice("tokens", 1, depth), lambda t: t != FIELD))
+    templates = staged(
+        distinct.select("line", "leaf", F.size("tokens").alias("size"), leading.alias("leading"))
+        .join(stays, "line", "left")
+        .where((F.col("leading") + F.coalesce("n", F.lit(0))) / F.col("size") >= similarity)
+        # The leaf holds the leading tokens and the length, so this is the template.
+        .select("line", F.xxhash64("leaf", "rest").alias("template"))
     )
+    recurring = held.select("line", "doc_id").join(templates, "line").select("template", "doc_id").distinct().groupBy("template").count().where(F.col("count") >= min_docs).select("template")
     gone = templates.join(recurring, "template").select("line")
     return held.select("doc_id", "tag", "place", "line").join(gone, "line").groupBy("doc_id", "tag").agg(F.collect_set("place").alias("dropped"))
 
@@ -79,7 +92,7 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     source = texts(docs, id_col, text_col).select(F.col("__id").alias("doc_id"), F.hash("__text").alias("tag"), F.split("__text", "\n").alias("lines"))
     dropped = staged(recurring_lines(source, depth, min_docs, similarity))
     kept = F.when(F.col("dropped").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda line, i: ~F.array_contains(F.col("dropped"), i)))
-    return source.join(dropped, ["doc_id", "tag"], "left").select(
+    return source.join(dropped.hint("merge"), ["doc_id", "tag"], "left").select(
         "doc_id",
         F.size("lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
