@@ -17,14 +17,13 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartoweave.llm.common import prepare, slices, texts
+from cartoweave.llm.common import gaps, prepare, slices, texts
 from cartoweave.llm.vocabularies import byte_symbols, default_path, word_end_table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -76,8 +75,6 @@ class Counter:
 
     def learn(self, runs: set[str]) -> None:
         """Count runs not yet seen, all words of all of them at once."""
-        if len(self.seen) > REMEMBER:
-            self.seen.clear()
         new = [r for r in runs if r not in self.seen]
         words = [self.words(r) for r in new]
         distinct = list({w for ws in words for w in ws})
@@ -86,15 +83,19 @@ class Counter:
             self.seen[r] = sum(count[w] for w in ws)
 
     def counts(self, texts_: list[str]) -> list[int]:
-        split = [self.runs(t) for t in texts_]
         if len(self.seen) > REMEMBER:
             self.seen.clear()
+        found = []
         need: set[str] = set()
-        for runs, _ in split:
-            need.update(runs)
+        for t in texts_:
+            runs, special = self.runs(t)
+            each = list(map(self.seen.get, runs))
+            new = [runs[k] for k in gaps(each)]
+            need.update(new)
+            found.append((sum(filter(None, each)) + special, new))
         self.learn(need)
         seen = self.seen.__getitem__
-        return [sum(map(seen, runs)) + special for runs, special in split]
+        return [known + sum(map(seen, new)) for known, new in found]
 
     def run_prefixes(self, run: str) -> list[int]:
         """Tokens of every prefix of one run, by characters."""
@@ -110,30 +111,41 @@ class Counter:
         self.learn(set(ends))
         return [self.seen[e] for e in ends]
 
+    def marks(self, text: str) -> Iterator[tuple[int, str, bool]]:
+        """``start, run, special`` of each run and special string, as they come."""
+        special = self.special is not None and self.special.search(text) is not None
+        if not special and not ODD_SPACE.search(text):
+            for m in re.finditer(r"\S+", text):
+                yield m.start(), m.group(), False
+            return
+        at = 0
+        for k, part in enumerate(re.split(f"({self.special.pattern})", text) if special else [text]):
+            if k % 2:
+                yield at, part, True
+            else:
+                for m in regex.finditer(r"\P{White_Space}+", part):
+                    yield at + m.start(), m.group(), False
+            at += len(part)
+
     def fit(self, text: str, limit: int) -> int:
-        """Characters of the longest prefix of ``text`` with at most ``limit`` tokens."""
-        marks = [(m.start(), m.group()) for m in re.finditer(r"\S+" if not ODD_SPACE.search(text) else r"[^\s]+|[\x1c-\x1f]+", text)]
-        if self.special and self.special.search(text) or ODD_SPACE.search(text):
-            # Rare texts: runs are found by the slow way, character counts stay exact.
-            marks = []
-            at = 0
-            for part in regex.split("(" + (self.special.pattern if self.special else r"(?!)") + ")", text):
-                if self.special and self.special.fullmatch(part):
-                    marks.append((at, part))
-                else:
-                    marks += [(at + m.start(), m.group()) for m in regex.finditer(r"\P{White_Space}+", part)]
-                at += len(part)
-        is_special = self.special.fullmatch if self.special else (lambda _: None)
-        self.learn({r for _, r in marks if not is_special(r)})
-        each = [1 if is_special(r) else self.seen[r] for _, r in marks]
-        for k, total in enumerate(accumulate(each)):
-            if total > limit:
-                begin, run = marks[k]
-                if is_special(run):
+        """Characters of the longest prefix of ``text`` with at most ``limit`` tokens. The
+        runs are added up until the limit is passed; what follows is not looked at."""
+        if len(self.seen) > 2 * REMEMBER:
+            self.seen.clear()
+        total = 0
+        for begin, run, special in self.marks(text):
+            if special:
+                count = 1
+            else:
+                if run not in self.seen:
+                    self.learn({run})
+                count = self.seen[run]
+            if total + count > limit:
+                if special:
                     return begin
-                room = limit - (total - each[k])
                 inside = self.run_prefixes(run)
-                return begin + max(i for i, c in enumerate(inside) if c <= room)
+                return begin + max(i for i, c in enumerate(inside) if c <= limit - total)
+            total += count
         return len(text)
 
 
