@@ -6,8 +6,9 @@ exactly (a partial count per task), and the verified winners, at most ``counters
 of 64 bytes, are broadcast: their rows are settled where they are read. The rest is
 shuffled on the digest, where by the guarantee no group exceeds that share.
 
-Defined results: null text equals the empty text; rows that repeat a ``doc_id`` are one
-document and share its fate; an empty table gives an empty result; other columns of the
+Defined results: null text equals the empty text; rows that repeat a ``doc_id`` are each
+judged by their own text, and ``drop_copies`` keeps one row of each text; rows without id
+come after the others; an empty table gives an empty result; other columns of the
 input are not read.
 """
 
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartoweave.llm.common import prepare, staged, texts
+from cartoweave.llm.common import one_of_each, prepare, staged, texts
 
 COUNTERS = 1024
 SPACES = r"[\x20\x09-\x0D]+"
@@ -99,6 +100,5 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
-    """``docs`` without the later copies, all columns kept."""
-    gone = staged(exact_dedup(docs, id_col, text_col, counters).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    """``docs`` with one row of each text, the one of least id, all columns kept."""
+    return one_of_each(docs, id_col, text_col, lambda rows: exact_dedup(rows, "row", "text", counters))

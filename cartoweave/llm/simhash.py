@@ -17,7 +17,7 @@ the chain test still runs before the Hamming check: pairs that share no band are
 (two in a hundred at a similarity of 0.8 with 8 x 4).
 
 Defined results: null or blank text has fingerprint 0, which links like any other; rows
-that repeat a ``doc_id`` share a component; an empty table gives an empty result; other
+that repeat a ``doc_id`` are each judged by their own text; an empty table gives an empty result; other
 columns of the input are not read.
 """
 
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartoweave.llm.common import as_bytes, prepare, staged, texts
+from cartoweave.llm.common import as_bytes, one_of_each, prepare, staged, texts
 from cartoweave.llm.components import components
 
 SEGMENTS = 8
@@ -293,7 +293,9 @@ def near_components(
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component, the one of least ``doc_id``."""
-    found = near_components(docs, id_col, text_col, **options)
-    gone = staged(found.where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    """``docs`` with one row of each component, the one of least id, all columns kept."""
+
+    def find(rows: DataFrame) -> DataFrame:
+        return near_components(rows, "row", "text", **options).withColumnRenamed("component_id", "keep_id")
+
+    return one_of_each(docs, id_col, text_col, find)
