@@ -14,8 +14,8 @@ A key with more than ``CROWD`` distinct regions (a passage with many surrounding
 sorted in one task: its strings are counted by a 128-bit digest, with partial counts.
 
 Defined results: null text is empty; texts below 200 bytes lose nothing; rows that repeat
-a ``doc_id`` are each a text of their own, and equal rows lose what they share; an empty
-table gives an empty result; other columns of the input are not read.
+a ``doc_id`` are each a text of their own, and equal rows lose what they share; rows
+without id lose and take away like all others; an empty table gives an empty result; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -299,11 +299,17 @@ def _crowded_spans(bodies: DataFrame, length: int) -> DataFrame:
     return marked.select("key", "print", F.transform("at", lambda a: F.struct(a.alias("from"), (a + 1).alias("to"))).alias("spans"))
 
 
+def _by_row(source: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """``source`` with what was ``found`` for its rows; a null ``doc_id`` equals another."""
+    right = found.withColumnsRenamed({"doc_id": "__id", "tag": "__tag"})
+    return source.join(right, source["doc_id"].eqNullSafe(right["__id"]) & (source["tag"] == right["__tag"]), how).drop("__id", "__tag")
+
+
 def repeated_regions(source: DataFrame, length: int = LENGTH, crowd: int = CROWD) -> DataFrame:
     """``doc_id, tag, runs`` of ``source(doc_id, tag, text)``: starts of repeated strings,
     as runs, for every document that has any."""
     kind = source.schema["doc_id"].dataType.simpleString()
-    rows = staged(source.mapInArrow(_region_rows(length), f"doc_id {kind}, tag int, key long, print long, start int, strings int, seen int"))
+    rows = staged(source.mapInArrow(_region_rows(length), f"doc_id {kind}, tag long, key long, print long, start int, strings int, seen int"))
     shared = rows.groupBy("key").agg(F.sum("seen").alias("all")).where("all > 1").select("key")
     found = staged(rows.drop("seen").join(shared, "key"))
     distinct = staged(found.groupBy("key", "print").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "tag", "start", "strings")).alias("at")))
@@ -318,7 +324,7 @@ def repeated_regions(source: DataFrame, length: int = LENGTH, crowd: int = CROWD
         .groupBy("doc_id", "tag")
         .agg(F.collect_list("region").alias("wanted"))
     )
-    bodies = source.join(wanted, ["doc_id", "tag"]).select("text", "wanted").mapInArrow(_region_texts(length), "key long, print long, copies long, crowded boolean, body binary")
+    bodies = _by_row(source, wanted, "inner").select("text", "wanted").mapInArrow(_region_texts(length), "key long, print long, copies long, crowded boolean, body binary")
     bodies = staged(bodies)
     sorted_spans = (
         bodies.where(~F.col("crowded"))
@@ -367,11 +373,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``doc_id, n_bytes, n_removed, n_spans, kept`` of every row: ``kept`` are the bytes
     outside every ``length``-byte string that starts anywhere else as well."""
     prepare(docs.sparkSession)
-    source = texts(docs, id_col, text_col).select(F.col("__id").alias("doc_id"), F.hash("__text").alias("tag"), F.col("__text").alias("text"))
+    source = texts(docs, id_col, text_col).select(F.col("__id").alias("doc_id"), F.xxhash64("__text").alias("tag"), F.col("__text").alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     runs = staged(repeated_regions(source, length, crowd))
     return (
-        source.join(runs, ["doc_id", "tag"], "left")
+        _by_row(source, runs, "left")
         .select("doc_id", "text", "runs")
         .mapInArrow(_remover(length), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
     )
@@ -382,7 +388,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole. Texts that lose nothing stay as they are, null ones too. All columns are kept
     in place, and ``chars_col``, where there is one, follows the text."""
     prepare(docs.sparkSession)
-    source = texts(docs, id_col, text_col).select(F.col("__id").alias("doc_id"), F.hash("__text").alias("tag"), F.col("__text").alias("text"))
+    source = texts(docs, id_col, text_col).select(F.col("__id").alias("doc_id"), F.xxhash64("__text").alias("tag"), F.col("__text").alias("text"))
     runs = staged(repeated_regions(source, length)).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"), F.col("runs").alias("__runs"))
 
     @F.arrow_udf("string")
@@ -402,8 +408,8 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             out.append("".join(kept))
         return pa.array(out, pa.string())
 
-    tagged = docs.withColumn("__hash", F.hash(F.coalesce(F.col(text_col), F.lit(""))))
-    joined = tagged.join(runs, (F.col(id_col) == F.col("__id")) & (F.col("__hash") == F.col("__tag")), "left")
+    tagged = docs.withColumn("__hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    joined = tagged.join(runs, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__tag")), "left")
     changed = joined.withColumn(text_col, F.when(F.col("__runs").isNull(), F.col(text_col)).otherwise(without(F.col(text_col), F.col("__runs"))))
     if chars_col in docs.columns:
         kind = docs.schema[chars_col].dataType
