@@ -3,10 +3,11 @@
 A document is the set of its words, hashed. The model adds a weight per term and, through
 short factors, one per pair of terms, so that two words that are harmless apart can count
 together. It is fitted on the driver by AdaGrad in numpy, on a sample of labelled rows
-bounded by ``sample`` per label; only their hashed terms get there. Terms in fewer than
-``least_docs`` sampled documents, or no more frequent under one label than chance explains
-(chi-squared up to ``least_chi``), are left out, so the model that travels to the tasks is
-at most ``buckets`` rows of ``1 + factors`` floats.
+bounded by ``sample`` per label; only their hashed terms get there. All terms in
+at least ``least_docs`` sampled documents get a weight and factors, whatever they tell
+alone. A normal prior pulls them to zero: weights the more, the less their term goes with
+one label (chi-squared), factors alike, so that only pairs can lift them. The model that
+travels to the tasks is at most ``buckets`` rows of ``1 + factors`` floats.
 
 Defined results: null and empty texts have no terms and get the base rate; labels that are
 null are not learned from; without labels of both kinds every score is the base rate (0.5
@@ -32,7 +33,8 @@ BUCKETS = 1 << 18
 FACTORS = 8
 SAMPLE = 4000
 LEAST_DOCS = 4
-LEAST_CHI = 12.0
+# Strength of the pull on weights, chi-squared at which it has doubled, and pull on factors.
+PRIOR = (0.2, 1000.0, 100.0)
 REMEMBER = 400_000
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -74,10 +76,11 @@ def _zero_row(weight: np.ndarray, factor: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.append(weight, 0.0), np.vstack([factor, np.zeros((1, factor.shape[1]))])
 
 
-def _telling_terms(features: list[np.ndarray], labels: np.ndarray, least_docs: int, least_chi: float) -> np.ndarray:
-    """Buckets whose presence goes with one label beyond chance."""
+def _evidence(features: list[np.ndarray], labels: np.ndarray, least_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets in at least ``least_docs`` documents, in how many they are, and the
+    chi-squared by which their presence goes with one label."""
     if not len(labels) or labels.min() == labels.max():
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
     used, place = np.unique(np.concatenate(features), return_inverse=True)
     ones = np.bincount(place, np.repeat(labels, [len(f) for f in features]), minlength=len(used))
     docs = np.bincount(place, minlength=len(used))
@@ -85,47 +88,62 @@ def _telling_terms(features: list[np.ndarray], labels: np.ndarray, least_docs: i
     a, b, c, d = ones, docs - ones, positive - ones, n - positive - (docs - ones)
     gap = np.maximum(np.abs(a * d - b * c) - n / 2, 0)
     chi = n * gap**2 / np.maximum((a + b) * (c + d) * (a + c) * (b + d), 1e-9)
-    return used[(docs >= least_docs) & (chi > least_chi)].astype(np.int64)
+    enough = docs >= least_docs
+    return used[enough].astype(np.int64), docs[enough].astype(float), chi[enough]
+
+
+def _rows(features: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Places of a document's buckets among the kept ones."""
+    if not len(slots):
+        return np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(slots, features), len(slots) - 1)
+    return at[slots[at] == features]
 
 
 def _fit_once(
-    features: list[np.ndarray], labels: np.ndarray, buckets: int = BUCKETS, factors: int = FACTORS, least_docs: int = LEAST_DOCS, least_chi: float = LEAST_CHI, rate: float | None = None, epochs: int = 12, step: float = 0.05, decay: float = 5e-4
+    features: list[np.ndarray], labels: np.ndarray, buckets: int = BUCKETS, factors: int = FACTORS, least_docs: int = LEAST_DOCS, prior: tuple[float, float, float] = PRIOR, rate: float | None = None, epochs: int = 12, step: float = 0.05
 ) -> Model:
     labels = np.asarray(labels, float)
     share = labels.mean() if len(labels) else 0.5
     rate = share if rate is None else rate
     odds = lambda p: float(np.log(p / (1 - p)))
-    slots = _telling_terms(features, labels, least_docs, least_chi)
+    slots, docs, chi = _evidence(features, labels, least_docs)
     if not len(labels) or share in (0.0, 1.0) or not len(slots):
         weight, factor = _zero_row(np.zeros(len(slots)), np.zeros((len(slots), factors)))
         return Model(buckets, odds(min(max(rate, 1e-3), 1 - 1e-3)), slots, weight, factor)
-    rows = [np.searchsorted(slots, f[np.isin(f, slots)]) for f in features]
+    rows = [_rows(f, slots) for f in features]
     r = np.random.default_rng(0)
     weight, factor = _zero_row(np.zeros(len(slots)), r.normal(0, 0.02, (len(slots), factors)))
     model = Model(buckets, 0.0, slots, weight, factor)
     # Both labels weigh the same while fitting.
     importance = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
+    # The pull to zero is that of a normal prior, dealt over a term's documents.
+    pull_w = prior[0] * (1 + prior[1] / (chi + 0.1)) / docs
+    pull_v = prior[2] / docs
     seen_w, seen_v, seen_b = np.full(len(weight), 1e-6), np.full(factor.shape, 1e-6), 1e-6
+    held, place = np.zeros(len(slots), bool), np.zeros(len(slots), np.int64)
     for _ in range(epochs):
         order = r.permutation(len(rows))
         for lo in range(0, len(order), 32):
             some = order[lo : lo + 32]
+            some = some[[len(rows[i]) > 0 for i in some]]
+            if not len(some):
+                continue
             sizes = np.array([len(rows[i]) for i in some])
             at = np.concatenate([rows[i] for i in some])
-            offsets = np.concatenate([[0], np.cumsum(sizes)])
-            error = (1 / (1 + np.exp(-np.clip(model.logits(at, offsets), -30, 30))) - labels[some]) * importance[some]
-            doc = np.repeat(np.arange(len(some)), sizes)
-            if not len(at):
-                continue
-            own = factor[at]
-            total = np.zeros((len(some), factors))
-            np.add.at(total, doc, own)
-            slot, place = np.unique(at, return_inverse=True)
-            grad_w, grad_v = np.zeros(len(slot)), np.zeros((len(slot), factors))
-            np.add.at(grad_w, place, error[doc])
-            np.add.at(grad_v, place, error[doc, None] * (total[doc] - own))
-            grad_w += decay * len(some) * weight[slot]
-            grad_v += decay * len(some) * factor[slot]
+            # The batch as a matrix of its documents and of the terms it has.
+            held[at] = True
+            slot = np.flatnonzero(held)
+            held[slot], place[slot] = False, np.arange(len(slot))
+            has = np.zeros((len(some), len(slot)))
+            has[np.repeat(np.arange(len(some)), sizes), place[at]] = 1
+            own = factor[slot]
+            total = has @ own
+            logits = model.base + has @ weight[slot] + 0.5 * ((total * total).sum(axis=1) - has @ (own * own).sum(axis=1))
+            error = (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels[some]) * importance[some]
+            back, times = error @ has, has.sum(axis=0)
+            grad_w = back + times * pull_w[slot] * weight[slot]
+            grad_v = has.T @ (error[:, None] * total) - back[:, None] * own + (times * pull_v[slot])[:, None] * own
             seen_w[slot] += grad_w**2
             seen_v[slot] += grad_v**2
             weight[slot] -= step * grad_w / np.sqrt(seen_w[slot])
@@ -179,7 +197,7 @@ def fit(features: list[np.ndarray], labels: np.ndarray, rate: float | None = Non
     rest = _fit_once([f for f, k in zip(features, fifth) if not k], labels[~fifth], rate=rate, **options)
     if not len(rest.slots):
         return model
-    rows = [np.searchsorted(rest.slots, f[np.isin(f, rest.slots)]) for f, k in zip(features, fifth) if k]
+    rows = [_rows(f, rest.slots) for f, k in zip(features, fifth) if k]
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int64)
     kept = labels[fifth]
     weight = np.where(kept == 1, rate / share, (1 - rate) / (1 - share))
