@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartoweave.catalog import views as V
@@ -21,23 +22,36 @@ COMB = f"""{V.with_('pts')}, v AS (SELECT o_orderkey AS i, -2 + CAST(o_orderkey
     held AS (SELECT id, k FROM spots, sides WHERE (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 GROUP BY id, k HAVING count(*) % 2 = 1)"""
 
 
-def comb(spark, d):
-    """``(k, geom)``: the comb and the box."""
+#: Order keys of one polygon, so that no row grows with the table.
+SPAN = 1 << 16
+
+
+def comb(spark, d, span=None):
+    """``(k, geom)``: the comb, cut upright at the first tooth of every ``span`` keys, and
+    the box. The cuts are in two polygons each, so every place is in one of them."""
     orders = V.table(spark, d, "orders")
     last = orders.agg((F.max("o_orderkey") + 1).alias("n"))
     teeth = orders.join(last).selectExpr(
         "o_orderkey AS i", "-2 + cast(o_orderkey AS double) * 4 / n AS x", "1 + cast(o_orderkey * 7919 % 1000 AS double) / 1000 AS y"
-    )
-    ring = teeth.agg(F.sort_array(F.collect_list(F.struct("i", "x", "y"))).alias("t")).select(
-        F.transform("t", lambda e: F.struct(e["x"].alias("x"), e["y"].alias("y"))).alias("t")
+    ).withColumn("part", F.floor(F.col("i") / (span or SPAN)))
+    # One row per polygon: where it begins, and where the next one does.
+    along = Window.orderBy("part")
+    begins = teeth.groupBy("part").agg(F.min(F.struct("i", "x", "y")).alias("first")).select(
+        "part", F.lag("first").over(along).isNull().alias("leftmost"), "first", F.lead("first").over(along).alias("next")
     )
 
     def corner(x, y):
-        return F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y"))
+        return F.struct(F.lit(x).cast("double").alias("x"), F.lit(y).cast("double").alias("y"))
+
+    def point(tooth):
+        return F.struct(tooth["x"].alias("x"), tooth["y"].alias("y"))
 
+    left = F.when(F.col("leftmost"), F.array(corner(-2, -1))).otherwise(F.array(corner(F.col("first.x"), -1)))
+    right = F.when(F.col("next").isNull(), F.array(corner(2, -1))).otherwise(F.array(point(F.col("next")), corner(F.col("next.x"), -1)))
+    rings = teeth.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("i", "x", "y"))).alias("t")).join(begins, "part")
+    outline = F.concat(left, F.transform("t", point), right)
     box = F.array(corner(-0.5, -2), corner(0.5, -2), corner(0.5, 0.25), corner(-0.5, 0.25))
-    outline = F.concat(F.array(corner(-2, -1)), F.col("t"), F.array(corner(2, -1)))
-    return ring.select(F.lit(1).alias("k"), G.polygon(outline).alias("geom")).unionByName(ring.select(F.lit(2).alias("k"), G.polygon(box).alias("geom")))
+    return rings.select(F.lit(1).alias("k"), G.polygon(outline).alias("geom")).unionByName(spark.range(1).select(F.lit(2).alias("k"), G.polygon(box).alias("geom")))
 
 
 def spots(spark, d):
