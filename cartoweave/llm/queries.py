@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartoweave.llm import exact_dedup, language, packing, pieces, simhash, suffix_dedup, template_lines, token_counts, topk_search, toxicity
+from cartoweave.llm import exact_dedup, language, packing, pair_index, pieces, simhash, suffix_dedup, template_lines, token_counts, topk_search, toxicity
 from cartoweave.llm.common import table
 
 
@@ -68,6 +68,16 @@ def op10_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pair_index.encode(table(spark, sf_dir, "documents"), decoded=True)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -81,6 +91,7 @@ QUERIES = {
         op8_pigeonring_simhash,
         op9_factorization_toxicity,
         op10_piece_round_trip,
+        op12_pair_index_bpe,
     )
 }
 
