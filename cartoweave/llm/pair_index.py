@@ -23,8 +23,10 @@ from __future__ import annotations
 
 import heapq
 import json
+import unicodedata
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,8 @@ from cartoweave.llm.vocabularies import byte_symbols, default_path
 
 VOCABULARY = "word_bpe_49k.json"
 REMEMBER = 300_000
+#: Bytes of text that are indexed together; a longer text is a part of its own.
+PART = 8 << 20
 #: Stands between words; no token has this number.
 BORDER = (1 << 20) - 1
 #: Model settings that the encoder relies on.
@@ -67,6 +71,7 @@ class PairIndex:
         word = np.cumsum(now == BORDER)
         held = np.full(len(now), NONE, np.int64)
         held[:-1] = self.ranks(now[:-1], now[1:])
+        merged = np.zeros(len(now), bool)
         places: dict[int, list[np.ndarray]] = {}
         active: list[int] = []
 
@@ -90,8 +95,9 @@ class PairIndex:
         while active:
             rank = heapq.heappop(active)
             lists = places.pop(rank)
-            at = lists[0] if len(lists) == 1 else np.unique(np.concatenate(lists))
-            at = at[held[at] == rank]
+            # A pair that a position lost does not come back there: no place is listed twice.
+            at = lists[0] if len(lists) == 1 else np.concatenate(lists)
+            at = np.sort(at[held[at] == rank])
             if not len(at):
                 continue
             if self.one_by_one[rank]:
@@ -113,9 +119,11 @@ class PairIndex:
             follow[at] = follow[gone]
             before[follow[at]] = at
             left = before[at]
+            merged[at] = True
+            at = np.concatenate([at, left[~merged[left]]])
+            merged[at] = False
             held[at] = self.ranks(now[at], now[follow[at]])
-            held[left] = self.ranks(now[left], now[at])
-            enter(np.unique(np.concatenate([left, at])))
+            enter(at)
         return now[now != NONE]
 
 
@@ -148,6 +156,7 @@ class Coder:
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
         self.library = Tokenizer.from_file(path)
         self.seen: dict[str, bytes] = {}
+        self.assigned: set[str] = set()
 
     def runs(self, text: str) -> list[str]:
         """Special strings, and the runs between white space around them, in order."""
@@ -164,7 +173,11 @@ class Coder:
     def words(self, run: str) -> list[bytes]:
         """The words of one run, normalised. Characters newer than this Python's tables
         may be classed otherwise by the library, so it cuts the runs that hold any."""
-        if not run.isascii() and any(map(_unassigned, run)):
+        if run.isascii():
+            return [run.lower().encode()] if run.isalpha() else [w.encode() for w in WORDS.findall(run.lower())]
+        if not self.assigned.issuperset(run):
+            self.assigned.update(c for c in run if unicodedata.category(c) != "Cn")
+        if not self.assigned.issuperset(run):
             cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(run))
             return [bytes(self.symbols[c] for c in word) for word, _ in cut]
         return [w.encode() for w in WORDS.findall(normalised(run))]
@@ -186,14 +199,15 @@ class Coder:
             done = done.astype("<i4")
             coded = {w: done[a + 1 : b].tobytes() for w, a, b in zip(distinct, ends, ends[1:])}
             for r, ws in words.items():
-                self.seen[r] = b"".join([coded[w] for w in ws])
+                self.seen[r] = coded[ws[0]] if len(ws) == 1 else b"".join([coded[w] for w in ws])
         else:
             self.seen |= dict.fromkeys(new, b"")
 
     def encode_all(self, texts_: Sequence[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
         if len(self.seen) > REMEMBER:
-            self.seen.clear()
+            # Frequent runs come early.
+            self.seen = dict(islice(self.seen.items(), REMEMBER // 3))
         if not self.seen:
             self.seen = {s: np.int32(i).tobytes() for s, i in self.special.items()}
         found, need = [], set()
@@ -218,12 +232,6 @@ class Coder:
             return " ".join([self.names[i] for i in ids if i < len(self.names)])
 
 
-def _unassigned(char: str) -> bool:
-    import unicodedata
-
-    return unicodedata.category(char) == "Cn"
-
-
 @lru_cache(maxsize=2)
 def coder(path: str) -> Coder:
     return Coder(path)
@@ -237,7 +245,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path)
         for whole in batches:
-            for batch in slices(whole, 1):
+            for batch in slices(whole, 1, PART):
                 each = own.encode_all(batch.column(1).to_pylist())
                 offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in each])]).astype(np.int32)
                 flat = np.frombuffer(b"".join(each), "<i4")
