@@ -12,9 +12,7 @@ differing bit, so all but one of them are equal), which leaves at most 2^16
 fingerprints to a key. Within a key, only the edges of a spanning forest are returned.
 
 Larger distances (``max_distance`` above ``SEGMENTS // 2 - 1``) leave no selective key on
-the ring. There the key is ``bands`` of ``band_rows`` least shingle hashes instead, and
-the chain test still runs before the Hamming check: pairs that share no band are missed
-(two in a hundred at a similarity of 0.8 with 8 x 4).
+the ring and are refused.
 
 Defined results: null or blank text has fingerprint 0, which links like any other; rows
 that repeat a ``doc_id`` are each judged by their own text; an empty table gives an empty result; other
@@ -24,7 +22,6 @@ columns of the input are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -71,41 +68,17 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-@lru_cache(maxsize=4)
-def _permutations(count: int) -> list[tuple[np.uint64, np.uint64]]:
-    drawn = np.random.default_rng(SEED).integers(1, 1 << 63, size=(count, 2), dtype=np.uint64)
-    return [(mul | np.uint64(1), add) for mul, add in drawn]
-
-
-def band_keys(hashes: np.ndarray, bands: int, rows: int) -> list[int]:
-    """One key per band: a hash of the ``rows`` least values under as many permutations."""
-    if not len(hashes):
-        return [0] * bands
-    least = np.array([((hashes ^ add) * mul).min() for mul, add in _permutations(bands * rows)], np.uint64)
-    return [xxhash.xxh64_intdigest(least[i * rows : (i + 1) * rows].tobytes(), i) - (1 << 63) for i in range(bands)]
-
-
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, bands: int = 0, band_rows: int = 4) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long) and, with bands, ``band_keys``."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
+    """``doc_id, fp`` (the fingerprint as a signed long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, keys = [], []
-            for text in as_bytes(batch.column(1)):
-                hashes = shingle_hashes(text, words)
-                prints.append(fingerprint(hashes))
-                if bands:
-                    keys.append(band_keys(hashes, bands, band_rows))
-            columns = [batch.column(0), pa.array(np.array(prints, np.uint64).view(np.int64))]
-            names = ["doc_id", "fp"]
-            if bands:
-                columns.append(pa.array(keys, pa.list_(pa.int64())))
-                names.append("band_keys")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            prints = [fingerprint(shingle_hashes(text, words)) for text in as_bytes(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(prints, np.uint64).view(np.int64))], names=["doc_id", "fp"])
 
     source = texts(docs, id_col, text_col)
     kind = source.schema["__id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, fp long" + ", band_keys array<long>" * bool(bands))
+    return source.mapInArrow(run, f"doc_id {kind}, fp long")
 
 
 def _mask(start: int, count: int) -> int:
@@ -148,13 +121,6 @@ def chain_passes(diff: np.ndarray, start: np.ndarray, max_distance: int) -> np.n
     return ok
 
 
-def any_chain(diff: np.ndarray, max_distance: int) -> np.ndarray:
-    ok = np.zeros(len(diff), bool)
-    for i in range(SEGMENTS):
-        ok |= chain_passes(diff, np.full(len(diff), i), max_distance)
-    return ok
-
-
 class _Forest:
     def __init__(self):
         self.up: dict[int, int] = {}
@@ -187,11 +153,8 @@ def _forest_edges(starts: np.ndarray, bits: np.ndarray, prints: np.ndarray, max_
             break
         diff = values[rows] ^ values[rows + step]
         begin = starts[rows]
-        if max_distance < SEGMENTS // 2:
-            begin = np.where(begin < 0, -1 - begin, np.where(begin >= SEGMENTS, begin // SEGMENTS - 1, begin))
-            near = chain_passes(diff, begin, max_distance)
-        else:
-            near = any_chain(diff, max_distance)
+        begin = np.where(begin < 0, -1 - begin, np.where(begin >= SEGMENTS, begin // SEGMENTS - 1, begin))
+        near = chain_passes(diff, begin, max_distance)
         near[near] = np.bitwise_count(diff[near]) <= max_distance
         for at in rows[near].tolist():
             a, b = int(prints[at]), int(prints[at + step])
@@ -252,10 +215,9 @@ def _in_block_pairs(keyed: DataFrame, crowd: int) -> DataFrame:
 
 def links(prints: DataFrame, max_distance: int = 2, crowd: int = CROWD) -> DataFrame:
     """Edges ``a, b`` between distinct fingerprints that join all within ``max_distance``."""
-    if max_distance < SEGMENTS // 2:
-        keyed = prints.select("fp", F.explode(chain_keys(F.col("fp"), max_distance)).alias("key")).select("fp", "key.start", "key.bits")
-    else:
-        keyed = prints.select("fp", F.posexplode("band_keys").alias("start", "bits")).distinct()
+    if max_distance >= SEGMENTS // 2:
+        raise ValueError(f"the ring has no selective keys at {max_distance} bits")
+    keyed = prints.select("fp", F.explode(chain_keys(F.col("fp"), max_distance)).alias("key")).select("fp", "key.start", "key.bits")
     if max_distance < 2:
         # Keys of 56 bits and more: at most 256 fingerprints share one.
         return _edges_of(keyed, max_distance)
@@ -272,17 +234,13 @@ def links(prints: DataFrame, max_distance: int = 2, crowd: int = CROWD) -> DataF
     return few.unionByName(_edges_of(many, max_distance))
 
 
-def near_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, max_distance: int = 2, bands: int = 0, band_rows: int = 4, crowd: int = CROWD
-) -> DataFrame:
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, max_distance: int = 2, crowd: int = CROWD) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every document: the component is the
     smallest ``doc_id`` reachable over links of at most ``max_distance`` bits."""
     prepare(docs.sparkSession)
-    if max_distance >= SEGMENTS // 2 and not bands:
-        raise ValueError("distances beyond the ring's selective keys need bands")
-    prints = staged(fingerprints(docs, id_col, text_col, words, bands, band_rows))
+    prints = staged(fingerprints(docs, id_col, text_col, words))
     own = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    linked = staged(links(prints.drop("doc_id") if bands else prints.select("fp").distinct(), max_distance, crowd))
+    linked = staged(links(prints.select("fp").distinct(), max_distance, crowd))
     rooted = components(linked)
     whole = own.join(rooted.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     whole = staged(whole)

@@ -131,23 +131,6 @@ def test_links_miss_no_pair(spark, distance, crowd):
                 assert root(a) == root(b)
 
 
-def test_banded_near_copies(spark):
-    r = random.Random(4)
-    rows, pairs = [], []
-    vocabulary = ["".join(r.choices("abcdefghiklmnoprstu", k=5)) for _ in range(3000)]
-    for k in range(150):
-        words = r.choices(vocabulary, k=300)
-        near = list(words)
-        near[r.randrange(300)] = "other"
-        far = r.choices(vocabulary, k=300)
-        rows += [(3 * k, " ".join(words)), (3 * k + 1, " ".join(near)), (3 * k + 2, " ".join(far))]
-        pairs.append((3 * k, 3 * k + 1))
-    for crowd in (512, 2):
-        got = {x.doc_id: x.component_id for x in simhash.near_components(documents_only(spark, rows), words=5, max_distance=12, bands=8, crowd=crowd).collect()}
-        assert sum(got[b] == a for a, b in pairs) >= 0.95 * len(pairs)
-        assert all(got[3 * k + 2] == 3 * k + 2 for k in range(150))
-
-
 def test_components_of_paths_and_stars(spark):
     r = random.Random(9)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(r.randrange(200, 260), r.randrange(200, 260)) for _ in range(70)]
