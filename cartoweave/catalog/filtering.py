@@ -10,9 +10,11 @@ from cartoweave.functions import geom as G
 from cartoweave.operators import admin as A
 from cartoweave.operators import filters as FL
 from cartoweave.operators import spatial as S
+from cartoweave.plans.many import export_many
 from cartoweave.sources import scans
+from cartoweave.sources.base import ExtractSource
 from cartoweave.sources.boundary import WORLD_BBOX, Boundary, boundary_bbox
-from cartoweave.spec import CategorySpec, OsmBlock
+from cartoweave.spec import CategorySpec, OsmBlock, RunSpec
 
 BBOX = (-100.0, -40.0, 60.0, 50.0)
 IN_BBOX = "x <= 60 AND x >= -100 AND y <= 50 AND y >= -40"
@@ -270,7 +272,7 @@ def categorise_one_pass(spark, d):
 
 @query("select_category", f"{V.with_('tagged')}, {CATEGORISED} SELECT feature_id, category FROM categorised WHERE category = 'two_brands'")
 def select_category(spark, d):
-    from cartoweave.spec import RunSpec, select_category as pick
+    from cartoweave.spec import select_category as pick
 
     run = pick(RunSpec(iso3="NPL", categories=CATEGORIES), "two-brands")
     return FL.categorise(V.tagged_features(spark, d), run.categories).select("feature_id", "category")
@@ -293,6 +295,36 @@ def within_distance(spark, d):
     return S.within_distance(V.pts(spark, d), some_nations(spark, d), 150_000.0, "id", V.STEP).select("id")
 
 
+def _apart(px: str, py: str, s: str) -> str:
+    """Squared distance of a point from the segment ``s`` in SQL."""
+    dx, dy = f"({s}.x2 - {s}.x1)", f"({s}.y2 - {s}.y1)"
+    t = f"CASE WHEN {dx} * {dx} + {dy} * {dy} > 0 THEN greatest(0e0, least(1e0, (({px} - {s}.x1) * {dx} + ({py} - {s}.y1) * {dy}) / ({dx} * {dx} + {dy} * {dy}))) ELSE 0e0 END"
+    return f"(({px} - {s}.x1 - {t} * {dx}) ** 2 + ({py} - {s}.y1 - {t} * {dy}) ** 2)"
+
+
+def in_metres(table: str) -> str:
+    return f"SELECT * REPLACE ({', '.join(f'{m.format(c)} AS {c}' for m, c in ((MX, 'x1'), (MY, 'y1'), (MX, 'x2'), (MY, 'y2')))}) FROM {table}"
+
+
+@query(
+    "within_distance_mixed",
+    f"""{V.with_('lines', 'square_edges', 'edges1', 'pts')},
+    bound AS (SELECT * FROM edges1 WHERE k % 2 = 0),
+    segs AS (SELECT 'way/' || id AS id, x1, y1, x2, y2 FROM lines UNION ALL SELECT 'area/' || id, x1, y1, x2, y2 FROM square_edges UNION ALL SELECT 'node/' || id, x, y, x, y FROM pts),
+    starts AS (SELECT 'node/' || id AS id, x, y FROM pts UNION ALL SELECT 'way/' || id, x1, y1 FROM lines UNION ALL SELECT 'area/' || id, x, y FROM squares),
+    inside AS (SELECT id FROM starts, bound WHERE {V.SQL_PARITY} GROUP BY id, k HAVING count(*) % 2 = 1),
+    crossing AS (SELECT f.id FROM segs f, bound b WHERE f.id NOT LIKE 'node/%' AND {MEET}),
+    corners AS (SELECT DISTINCT x1 AS x, y1 AS y FROM bound),
+    holding AS (SELECT 'area/' || e.id AS id FROM square_edges e, corners WHERE {V.SQL_PARITY} GROUP BY e.id, x, y HAVING count(*) % 2 = 1),
+    near AS (SELECT f.id FROM ({in_metres('segs')}) f, ({in_metres('bound')}) b
+        WHERE sqrt(least({_apart('f.x1', 'f.y1', 'b')}, {_apart('f.x2', 'f.y2', 'b')}, {_apart('b.x1', 'b.y1', 'f')}, {_apart('b.x2', 'b.y2', 'f')})) <= 80000 OR ({MEET}))
+    SELECT id FROM inside UNION SELECT id FROM crossing UNION SELECT id FROM holding UNION SELECT id FROM near""",
+)
+def within_distance_mixed(spark, d):
+    area = Boundary("NPL", WORLD_BBOX, some_nations(spark, d), "nations", 80_000.0)
+    return area.keep(V.stored(V.mixed_features(spark, d)), "id", step=V.STEP).select("id")
+
+
 @query("boundary_bbox", f"{V.with_('edges1')} SELECT k, min(x1) AS xmin, min(y1) AS ymin, max(x1) AS xmax, max(y1) AS ymax FROM edges1 GROUP BY k")
 def bbox_of_boundary(spark, d):
     return boundary_bbox(V.admin1(spark, d), by=["k"])
@@ -300,7 +332,37 @@ def bbox_of_boundary(spark, d):
 
 @query("multi_country", f"{V.with_('pts', 'region_edges')} SELECT id, iso3 FROM pts, region_edges WHERE {V.SQL_PARITY} GROUP BY id, iso3 HAVING count(*) % 2 = 1")
 def multi_country(spark, d):
-    return S.pip_join(V.pts(spark, d), V.regions(spark, d), ["id"], ["iso3"], V.STEP)
+    """All regions exported in one job: written by area, and read back."""
+    points = V.pts(spark, d).select(F.col("id").alias("feature_id"), F.create_map(F.lit("segment"), "segment").alias("tags"), G.point("x", "y").alias("geometry"))
+    run = RunSpec(categories=(CategorySpec("Customers", osm=OsmBlock(filter={"segment": True}, select=("feature_id AS id",))),))
+    many = export_many(spark, run, ExtractSource(spark, points, "2026-04-15"), V.regions(spark, d).select("iso3", "geom"), V.scratch(spark, "many"), V.STEP)
+    return many.layers["customers"].select("id", "iso3")
+
+
+@query(
+    "multi_country_status",
+    f"""{V.with_('lines', 'squares', 'square_edges', 'edges1', 'pts')},
+    bound AS (SELECT *, 'N' || (k % 5) AS iso3 FROM edges1 WHERE k % 2 = 0),
+    segs AS (SELECT 'way/' || id AS id, x1, y1, x2, y2 FROM lines UNION ALL SELECT 'area/' || id, x1, y1, x2, y2 FROM square_edges),
+    starts AS (SELECT 'node/' || id AS id, x, y FROM pts UNION ALL SELECT 'way/' || id, x1, y1 FROM lines UNION ALL SELECT 'area/' || id, x, y FROM squares),
+    inside AS (SELECT id, iso3 FROM starts, bound WHERE {V.SQL_PARITY} GROUP BY id, iso3, k HAVING count(*) % 2 = 1),
+    crossing AS (SELECT f.id, iso3 FROM segs f, bound b WHERE {MEET}),
+    corners AS (SELECT DISTINCT iso3, x1 AS x, y1 AS y FROM bound),
+    holding AS (SELECT 'area/' || e.id AS id, iso3 FROM square_edges e, corners WHERE {V.SQL_PARITY} GROUP BY e.id, iso3, x, y HAVING count(*) % 2 = 1),
+    pairs AS (SELECT id, iso3 FROM inside UNION SELECT id, iso3 FROM crossing UNION SELECT id, iso3 FROM holding),
+    every AS (SELECT DISTINCT iso3 FROM bound),
+    beyond AS (SELECT id FROM segs WHERE least(x1, x2) < -180 OR greatest(x1, x2) > 180 OR least(y1, y2) < -90 OR greatest(y1, y2) > 90),
+    counted AS (SELECT iso3, split_part(id, '/', 1) AS slug, count(*) AS features FROM pairs WHERE id NOT IN (SELECT id FROM beyond) GROUP BY ALL)
+    SELECT e.iso3, s.slug, CASE WHEN s.slug = 'off' THEN 'skipped' WHEN coalesce(features, 0) = 0 THEN 'empty' ELSE 'ok' END AS status, coalesce(features, 0) AS features
+    FROM every e CROSS JOIN (VALUES ('node'), ('way'), ('area'), ('off'), ('none')) AS s(slug) LEFT JOIN counted c ON c.iso3 = e.iso3 AND c.slug = s.slug""",
+)
+def multi_country_status(spark, d):
+    """Points, lines and areas against five areas of several polygons each: a status of each."""
+    mixed = V.stored(V.mixed_features(spark, d)).select(F.col("id").alias("feature_id"), F.create_map(F.lit("kind"), F.split("id", "/")[0]).alias("tags"), F.col("geom").alias("geometry"))
+    slugs = [CategorySpec(k, osm=OsmBlock(filter={"kind": k}, select=("feature_id AS id",), enabled=k != "off")) for k in ("node", "way", "area", "off", "none")]
+    areas = V.admin1(spark, d).where("k % 2 = 0").select(F.expr("concat('n', cast(k % 5 as string))").alias("iso3"), "geom")
+    many = export_many(spark, RunSpec(categories=tuple(slugs)), ExtractSource(spark, mixed, "2026-04-15"), areas, V.scratch(spark, "many"), V.STEP)
+    return many.statuses.select("iso3", "slug", "status", "features")
 
 
 @query(

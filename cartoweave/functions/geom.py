@@ -297,6 +297,12 @@ def segment_point_distance(e: Column, x: Column, y: Column) -> Column:
     return F.sqrt(F.pow(x - px, 2) + F.pow(y - py, 2))
 
 
+def segment_distance(a: Column, b: Column) -> Column:
+    """Distance between two segments: none if they meet, else from one of the four ends."""
+    ends = [segment_point_distance(s, o[f"x{i}"], o[f"y{i}"]) for s, o in ((a, b), (b, a)) for i in (1, 2)]
+    return F.when(segments_meet(a, b), F.lit(0.0)).otherwise(F.least(*ends))
+
+
 def thin(geom: Column | str, tolerance: float) -> Column:
     """Drop ring vertices closer than ``tolerance`` to the chord of their two
     neighbours. Ends stay, and a ring is left alone if under four would remain.

@@ -200,15 +200,16 @@ def build_index(
     return CellIndex(grid, tuple(keys), kept, (facts["pieces"] or 1) > 1)
 
 
-def boundary_index(boundary: DataFrame, step: float = DEFAULT_STEP, geom: str = "geom") -> CellIndex:
+def boundary_index(boundary: DataFrame, step: float = DEFAULT_STEP, geom: str = "geom", keys: Sequence[str] = ()) -> CellIndex:
     """Index of a boundary of any number of polygons, each part on its own key, so
-    that overlapping or repeated parts do not cancel out."""
+    that overlapping or repeated parts do not cancel out. ``keys`` tell several
+    boundaries in one table apart."""
     parts = (
-        boundary.select(F.explode(G.dump(geom)).alias("geom"))
+        boundary.select(*keys, F.explode(G.dump(geom)).alias("geom"))
         .withColumn("_b", F.xxhash64(F.col("geom.parts")))
-        .dropDuplicates(["_b"])
+        .dropDuplicates([*keys, "_b"])
     )
-    return build_index(parts, ["_b"], step)
+    return build_index(parts, [*keys, "_b"], step)
 
 
 def pip_pairs(
@@ -311,20 +312,9 @@ def intersects_boundary(
     """
     index = boundary_index(boundary, step, boundary_geom)
     rings = boundary.select(F.explode(F.flatten(G.as_col(boundary_geom)["parts"])).alias("r"))
-    grid = index.grid
-    located = features.withColumn(
-        "_cell",
-        G.once(
-            G.extent(geom),
-            lambda b: F.when(
-                (grid.col(b["xmin"] - PAD) == grid.col(b["xmax"] + PAD))
-                & (grid.row(b["ymin"] - PAD) == grid.row(b["ymax"] + PAD)),
-                grid.cell(b["xmin"], b["ymin"]),
-            ),
-        ),
-    )
+    located = features.withColumn("_cell", _single_cell(geom, index.grid))
     single = index.rows.where("pieces = 1").select("cell", "base", "edges")
-    on = (F.col("_cell") == F.col("cell")) & _meets_cell(F.col(geom), index)
+    on = (F.col("_cell") == F.col("cell")) & _meets_cell(F.col(geom), index, F.col("edges"), F.col("base"))
     far = located.where("_cell IS NULL")
     settled = located
     if index.crowded:
@@ -334,52 +324,99 @@ def intersects_boundary(
         far = far.unionByName(located.join(crowded, "_cell", "left_semi").select(*far.columns))
     near = settled.join(single, on, "left_semi").drop("_cell").select(*features.columns)
     far = far.drop("_cell").select(*features.columns)
-    ids = _touching_ids(far, rings, index, id_col, geom, coarse_step)
+    ids = _touching(far, rings, index, (), id_col, geom, coarse_step)
     return near.unionByName(far.join(ids, id_col, "left_semi").select(*near.columns))
 
 
-def _meets_cell(geom: Column, index: CellIndex) -> Column:
+def assign_areas(
+    features: DataFrame, areas: DataFrame, keys: Sequence[str], id_col: str, step: float = DEFAULT_STEP, geom: str = "geom",
+    coarse_step: float = 5.0,
+) -> DataFrame:
+    """The features with ``keys`` of every area they share a point with, a row for each:
+    many boundaries in one join on the cell. ``areas`` has the keys and ``geom``; areas
+    may overlap, and a key may have several rows."""
+    index = boundary_index(areas, step, "geom", keys)
+    rings = areas.select(*keys, F.explode(F.flatten(F.col("geom")["parts"])).alias("r"))
+    located = features.withColumn("_cell", _single_cell(geom, index.grid))
+    # What areas have in a cell is bounded by their number and the edges a row lists.
+    listed = index.rows.where("pieces = 1").groupBy(F.col("cell").alias("_cell")).agg(
+        F.collect_list(F.struct(F.struct(*keys).alias("area"), "base", "edges")).alias("_areas")
+    )
+    far = located.where("_cell IS NULL")
+    settled = located
+    if index.crowded:
+        crowded = crowded_cells(index)
+        settled = located.join(crowded, "_cell", "left_anti")
+        far = far.unionByName(located.join(crowded, "_cell", "left_semi").select(*far.columns))
+    held = F.filter("_areas", lambda a: _meets_cell(F.col(geom), index, a["edges"], a["base"]))
+    near = settled.join(listed, "_cell").withColumn("_area", F.explode(F.array_distinct(F.transform(held, lambda a: a["area"]))))
+    columns = [*features.columns, *keys]
+    near = near.select(*features.columns, *[F.col(f"_area.{k}").alias(k) for k in keys])
+    far = far.select(*features.columns)
+    pairs = _touching(far, rings, index, keys, id_col, geom, coarse_step)
+    return near.unionByName(far.join(pairs, id_col).select(*columns))
+
+
+def _single_cell(geom: str, grid: Grid) -> Column:
+    """The cell a feature lies in, NULL if it reaches into several."""
+    return G.once(
+        G.extent(geom),
+        lambda b: F.when(
+            (grid.col(b["xmin"] - PAD) == grid.col(b["xmax"] + PAD))
+            & (grid.row(b["ymin"] - PAD) == grid.row(b["ymax"] + PAD)),
+            grid.cell(b["xmin"], b["ymin"]),
+        ),
+    )
+
+
+def _meets_cell(geom: Column, index: CellIndex, edges: Column, base: Column) -> Column:
     """The whole test for a feature that lies in the joined cell: all that the
     boundary can do to it is listed there."""
-    starts_inside = F.exists(G.part_starts(geom), lambda v: index.parity(v["x"], v["y"]) == 1)
+    starts_inside = F.exists(G.part_starts(geom), lambda v: index.parity(v["x"], v["y"], edges, base) == 1)
     crosses = F.exists(
-        G.edges(geom), lambda own: F.exists(F.col("edges"), lambda b: G.segments_meet(own, b))
+        G.edges(geom), lambda own: F.exists(edges, lambda b: G.segments_meet(own, b))
     )
     holds_ring = F.endswith(geom["kind"], F.lit("POLYGON")) & F.exists(
-        F.col("edges"), lambda b: G.contains_xy(geom, b["x1"], b["y1"])
+        edges, lambda b: G.contains_xy(geom, b["x1"], b["y1"])
     )
     apart = F.endswith(geom["kind"], F.lit("POINT"))
-    more = F.when(F.col("edges").isNotNull() & ~apart, crosses | holds_ring).otherwise(F.lit(False))
+    more = F.when(edges.isNotNull() & ~apart, crosses | holds_ring).otherwise(F.lit(False))
     return F.coalesce(starts_inside, F.lit(False)) | more
 
 
-def _touching_ids(features, rings, index, id_col, geom, coarse_step):
-    starts = features.select(id_col, F.explode(G.part_starts(geom)).alias("v")).select(
-        id_col, "v.x", "v.y"
-    )
-    begins = pip_pairs(starts, index, [id_col]).select(id_col)
+def _touching(features, rings, index, keys, id_col, geom, coarse_step):
+    """``(id, keys...)``, each pair once. Features are taken apart once, into segments and
+    the starts of their parts, which meet the index in one join; geometries stay behind."""
 
-    segments = features.where(~F.endswith(G.kind(geom), F.lit("POINT"))).select(
-        id_col, F.explode(G.edges(geom)).alias("e")
-    ).select(id_col, "e.*")
-    border = index.rows.where("edges IS NOT NULL").select("cell", "edges")
-    own = F.struct("x1", "y1", "x2", "y2")
-    meets = F.exists("edges", lambda b: G.segments_meet(own, b))
-    crossing = edge_cells(segments, index.grid).join(border, "cell").where(meets).select(id_col)
+    def piece(x1, y1, x2, y2, start):
+        return F.struct(x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"), F.lit(start).alias("start"))
 
+    apart = F.endswith(G.kind(geom), F.lit("POINT"))
+    begins = F.transform(G.part_starts(geom), lambda v: piece(v["x"], v["y"], v["x"], v["y"], True))
+    segments = F.transform(G.edges(geom), lambda e: piece(e["x1"], e["y1"], e["x2"], e["y2"], False))
+    parts = features.select(id_col, F.explode(F.when(apart, begins).otherwise(F.concat(begins, segments))).alias("e")).select(id_col, "e.*")
+    grid = index.grid
+    own = F.struct("x1", "y1", "x2", "y2")
+    inside = (F.col("pieces") == 1) & (F.col("cell") == grid.cell(F.col("x1"), F.col("y1"))) & (index.parity(F.col("x1"), F.col("y1")) == 1)
+    meets = F.coalesce(F.exists("edges", lambda b: G.segments_meet(own, b)), F.lit(False))
+    hits = edge_cells(parts, grid).join(index.rows, "cell").where(F.when(F.col("start"), inside).otherwise(meets)).select(id_col, *keys)
+    if index.crowded:
+        starts = parts.where("start").select(id_col, F.col("x1").alias("_x"), F.col("y1").alias("_y"))
+        places = crowded_pairs(starts, index, "_x", "_y")
+        hits = hits.unionByName(starts.join(places, ["_x", "_y"]).select(id_col, *keys))
     areas = features.where(F.endswith(G.kind(geom), F.lit("POLYGON"))).select(id_col, F.col(geom).alias("geom"))
-    holding = _holding_ids(areas, rings, index.grid.step, id_col, coarse_step)
-    return begins.unionByName(crossing).unionByName(holding).distinct()
+    holding = _holding(areas, rings, grid.step, keys, id_col, coarse_step)
+    return hits.unionByName(holding).distinct()
 
 
-def _holding_ids(areas, rings, step, id_col, coarse_step):
+def _holding(areas, rings, step, keys, id_col, coarse_step):
     """Polygon features that contain a boundary ring outright, told by its start.
 
     A first look compares each feature's box with one box of ring starts per coarse
     cell; the few left are indexed and meet the starts cell by cell.
     """
     coarse = lonlat(coarse_step)
-    starts = rings.select(F.col("r")[0]["x"].alias("x"), F.col("r")[0]["y"].alias("y")).distinct()
+    starts = rings.select(*keys, F.col("r")[0]["x"].alias("x"), F.col("r")[0]["y"].alias("y")).distinct()
     boxes = starts.groupBy(coarse.cell(F.col("x"), F.col("y")).alias("_c")).agg(
         F.min("x").alias("x1"), F.min("y").alias("y1"), F.max("x").alias("x2"), F.max("y").alias("y2")
     )
@@ -394,7 +431,45 @@ def _holding_ids(areas, rings, step, id_col, coarse_step):
     likely = spread.join(boxes, "_c").where(overlap).select(id_col).distinct()
     parts = areas.join(likely, id_col, "left_semi").select(id_col, F.posexplode(G.dump("geom")).alias("_part", "geom"))
     index = build_index(parts, [id_col, "_part"], step)
-    return pip_pairs(starts, index, []).select(id_col)
+    return pip_pairs(starts, index, keys).select(id_col, *keys)
+
+
+def near_boundary(
+    features: DataFrame, boundary: DataFrame, distance: float, id_col: str, step: float = DEFAULT_STEP, geom: str = "geom"
+) -> DataFrame:
+    """Whole features of any kind that share a point with the boundary or come within
+    ``distance`` metres (EPSG:3857) of it. Whatever lies inside, crosses an edge or
+    holds a ring shares a point; the rest is near by one of its segments."""
+    if distance < 0:
+        raise ValueError(f"the distance must be >= 0; got {distance}")
+    if distance == 0:
+        return intersects_boundary(features, boundary, id_col, step, geom)
+    sharing = intersects_boundary(features.select(id_col, geom), boundary, id_col, step, geom).select(id_col)
+    near = near_segments(features, polygon_edges(boundary, [], "geom"), distance, id_col, geom)
+    return features.join(sharing.unionByName(near).distinct(), id_col, "left_semi")
+
+
+def near_segments(features: DataFrame, edges: DataFrame, distance: float, id_col: str, geom: str = "geom") -> DataFrame:
+    """Ids of features with a segment or point within ``distance`` metres of an edge.
+
+    Two segments are that close when some point of the one lies in a cell that the other
+    comes within ``distance`` of: edges are listed in all of those, segments in the cells
+    they pass. The cell grows with the distance, so an edge is listed a few times."""
+    grid = metres(max(2 * distance, 2_000.0))
+    listed = measured(edge_cells(_in_metres(edges), grid, distance).withColumnRenamed("cell", "_cell").select(
+        "_cell", F.struct("x1", "y1", "x2", "y2").alias("_edge")
+    ))
+    own = features.select(id_col, F.explode(G.edges(geom)).alias("e")).select(id_col, "e.*")
+    spread = edge_cells(_in_metres(own, id_col), grid, 1e-3)
+    close = G.segment_distance(F.struct("x1", "y1", "x2", "y2"), F.col("_edge")) <= distance
+    return spread.join(listed, (F.col("cell") == F.col("_cell")) & close, "left_semi").select(id_col)
+
+
+def _in_metres(edges: DataFrame, *keep: str) -> DataFrame:
+    return edges.select(
+        *keep, mercator_x(F.col("x1")).alias("x1"), mercator_y(_clamped("y1")).alias("y1"),
+        mercator_x(F.col("x2")).alias("x2"), mercator_y(_clamped("y2")).alias("y2"),
+    )
 
 
 def within_distance(
@@ -427,11 +502,7 @@ def near_edges(
     a point only looks at its own cell.
     """
     grid = metres(max(2 * distance, 2_000.0))
-    planar = edges.select(
-        mercator_x(F.col("x1")).alias("x1"), mercator_y(_clamped("y1")).alias("y1"),
-        mercator_x(F.col("x2")).alias("x2"), mercator_y(_clamped("y2")).alias("y2"),
-    )
-    listed = measured(edge_cells(planar, grid, distance))
+    listed = measured(edge_cells(_in_metres(edges), grid, distance))
     located = points.select(
         id_col, mercator_x(F.col(x)).alias("_mx"), mercator_y(_clamped(y)).alias("_my")
     ).withColumn("_cell", grid.cell(F.col("_mx"), F.col("_my")))

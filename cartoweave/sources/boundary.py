@@ -63,10 +63,7 @@ class Boundary:
         if self.geoms is None:
             return features
         if self.buffer_metres > 0:
-            if not points:
-                raise ValueError("a buffered boundary keeps points only; pass points=True")
-            xy = features.withColumn("_x", F.col(geom)["parts"][0][0][0]["x"]).withColumn("_y", F.col(geom)["parts"][0][0][0]["y"])
-            return S.within_distance(xy, self.geoms, self.buffer_metres, id_col, step, x="_x", y="_y").drop("_x", "_y")
+            return S.near_boundary(features, self.geoms, self.buffer_metres, id_col, step, geom)
         if points:
             # Single points take the short road; whatever else the table holds does not.
             single = features.where(F.col(geom)["kind"] == "POINT")

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.types import StructType
 
 from cartoweave.functions import geom as G
 from cartoweave.functions import wkt
@@ -48,6 +49,19 @@ def write_layer(df: DataFrame, path: str, geom: str = "geom", mode: str = "overw
     with_bbox(df, geom).write.mode(mode).option("compression", "zstd").parquet(path)
 
 
+def write_areas(df: DataFrame, path: str, geom: str = "geom") -> None:
+    """A layer of several areas, a folder each. Areas of ``df`` replace those of the same
+    name; others stay. Rows are not gathered by area, so a large one is many files."""
+    boxed = with_bbox(df, geom)
+    boxed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("iso3").parquet(path)
+
+
+def read_areas(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A layer of several areas as ``write_areas`` left it; ``iso3`` is text whatever it
+    looks like."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def write_geojson(df: DataFrame, path: str, geom: str = "geom") -> None:
     """Newline-delimited GeoJSON Features."""
     properties = [c for c in df.columns if c not in (geom, "bbox")]
