@@ -13,7 +13,7 @@ from cartoweave.operators import layers as L
 from cartoweave.operators import report as R
 from cartoweave.operators import resume as RS
 from cartoweave.operators import spatial as S
-from cartoweave.sources import scans
+from cartoweave.sources import scans, sinks
 
 CELL = (
     "(greatest(0, least(CAST(floor((y + 90) / 2e0) AS BIGINT), 89)) * 180"
@@ -187,13 +187,21 @@ def tag_neighbor(spark, d):
 
 @query(
     "tag_level_report",
-    f"{tagged_sql('pts')} SELECT level, total, matched, round(100e0 * (total - matched) / total, 2) AS null_percent, "
-    "CASE WHEN matched > 0 THEN 'tagged' ELSE 'empty' END AS state FROM ("
-    "SELECT CAST(1 AS INTEGER) AS level, count(*) AS total, count(adm1_pcode) AS matched FROM tagged UNION ALL "
-    "SELECT 2, count(*), count(adm2_pcode) FROM tagged UNION ALL SELECT 3, count(*), 0 FROM tagged)",
+    f"{tagged_sql('pts')}, placed AS (SELECT *, {CELL} AS cell FROM pts), "
+    "held AS (SELECT CAST(1 AS INTEGER) AS level, count(*) AS by_cell FROM placed WHERE cell IN (SELECT cell FROM owners1) "
+    "UNION ALL SELECT 2, count(*) FROM placed WHERE cell IN (SELECT cell FROM owners2) UNION ALL SELECT 3, 0), "
+    "final AS (SELECT 1 AS level, count(*) AS total, count(adm1_pcode) AS matched FROM tagged UNION ALL "
+    "SELECT 2, count(*), count(adm2_pcode) FROM tagged UNION ALL SELECT 3, count(*), 0 FROM tagged) "
+    "SELECT level, total, by_cell, total - by_cell AS residual, matched, round(100e0 * (total - matched) / total, 2) AS null_percent, "
+    "CASE WHEN matched > 0 THEN 'tagged' ELSE 'empty' END AS state FROM held JOIN final USING (level)",
 )
 def tag_level_report(spark, d):
-    return A.tag_report(tag_points(spark, d, "geos", (1, 2, 3)), (1, 2, 3))
+    """Counted while the tagged layer is written."""
+    points, levels = V.pts(spark, d).select("id", G.point("x", "y").alias("geom")), (1, 2, 3)
+    tagged = A.tag_admin(points, V.admin_levels(spark, d), "WLD", levels, "geos", V.STEP, by_cell=True)
+    layer, seen = A.observe_tags(tagged, levels)
+    sinks.write_layer(layer, V.scratch(spark, "tagged"))
+    return A.observed_report(spark, seen.get, levels)
 
 
 @query(

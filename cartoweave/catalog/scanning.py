@@ -395,14 +395,24 @@ def format_failure(spark, d):
 
 @query(
     "resume_round_trip",
-    f"{INSIDE_TAGGED}, counted AS ({TWO_COUNTS}) SELECT 1 AS run, slug, 'ok' AS status, features FROM counted UNION ALL SELECT 2, slug, 'resumed', features FROM counted",
+    f"""{INSIDE_TAGGED}, counted AS ({TWO_COUNTS}),
+    runs AS (SELECT 1 AS run, 'geojson' AS formats, 'id,name,name_ne' AS columns UNION ALL SELECT 2, 'geojson', 'id,name,name_ne' UNION ALL SELECT 3, 'geojson,kml', 'id,name,name_ne' UNION ALL SELECT 4, 'geojson,kml', 'id,kind,name_ne')
+    SELECT CAST(run AS INTEGER) AS run, slug, CASE WHEN run = 1 OR (run = 4 AND slug = 'economy') THEN 'ok' ELSE 'resumed' END AS status, features, formats,
+        CASE WHEN slug = 'economy' THEN columns ELSE 'id,brand,name_ne' END AS columns
+    FROM counted, runs""",
 )
 def resume_round_trip(spark, d):
-    run, root, rows = RunSpec(iso3="NPL", formats=("geojson",), categories=TWO_CATEGORIES), V.scratch(spark, "run"), []
-    for number in (1, 2):
-        statuses, _ = X.run_export(spark, run, tagged_source(spark, d), nations_area(spark, d), root, points=True, step=V.STEP)
-        rows += [(number, s["slug"], s["status"], s["features"]) for s in statuses]
-    return spark.createDataFrame(rows, "run int, slug string, status string, features bigint")
+    """The same run again, then with another format, then with another select list."""
+    root, rows = V.scratch(spark, "run"), []
+    other = X.replace(TWO_CATEGORIES[0], osm=X.replace(TWO_CATEGORIES[0].osm, select=("feature_id AS id", "tags['type'] AS kind")))
+    runs = [(("geojson",), TWO_CATEGORIES), (("geojson",), TWO_CATEGORIES), (("geojson", "kml"), TWO_CATEGORIES), (("geojson", "kml"), (other, TWO_CATEGORIES[1]))]
+    for number, (formats, categories) in enumerate(runs, 1):
+        run = RunSpec(iso3="NPL", formats=formats, categories=categories)
+        statuses, layers = X.run_export(spark, run, tagged_source(spark, d), nations_area(spark, d), root, points=True, step=V.STEP)
+        for s in statuses:
+            written = ",".join(sorted(f for f, how in s["formats"].items() if how == "ok"))
+            rows.append((number, s["slug"], s["status"], s["features"], written, ",".join(c for c in layers[s["slug"]].columns if c != "geom")))
+    return spark.createDataFrame(rows, "run int, slug string, status string, features bigint, formats string, columns string")
 
 
 @query(

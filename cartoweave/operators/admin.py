@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from cartoweave.functions import geom as G
@@ -295,25 +295,31 @@ def tag_admin(
     geom: str = "geom",
     id_col: str | None = None,
     lookup: AdminLookup | None = None,
+    by_cell: bool = False,
 ) -> DataFrame:
     """Adds ``adm0_*`` and ``adm<level>_*``; attributes keep their order, ``geom``
     and then the codes come last. Levels without codes become typed NULLs. Features in
     cells too crowded with edges to be listed are matched by their place; ``id_col`` is
-    not needed for it.
+    not needed for it. ``by_cell`` adds ``adm<level>_by_cell``: whether the cell alone
+    gave the code, before any fallback.
     """
     levels = sorted(set(levels))
     if not levels:
         raise ValueError("levels must be non-empty")
     attributes = [c for c in features.columns if c != geom]
     order = [*attributes, geom, *code_columns(levels)]
+    told = [f"adm{n}_by_cell" for n in levels] if by_cell else []
+
+    def untold(df: DataFrame) -> DataFrame:
+        return df.select(*order, *[F.lit(False).alias(c) for c in told])
 
     summary = {r["level"]: r for r in level_summary(admin).collect()}
     if not any(n in summary for n in levels):
-        return ensure_levels(features, levels, None, iso3).select(*order)
+        return untold(ensure_levels(features, levels, None, iso3))
     adm0 = next((summary[n]["adm0"] for n in levels if n in summary and summary[n]["adm0"]), None)
     coded = [n for n in levels if n in summary and summary[n]["coded"] > 0]
     if not coded:
-        return ensure_levels(features, levels, adm0, iso3).select(*order)
+        return untold(ensure_levels(features, levels, adm0, iso3))
 
     if lookup is None:
         lookup = build_lookup(admin.where(F.col("level").isin(*coded)), coded, mode, step)
@@ -331,8 +337,10 @@ def tag_admin(
     codes = {}
     for n in lookup.levels:
         codes[f"adm{n}_pcode"], codes[f"adm{n}_name"] = F.col(f"_t{n}.pcode"), F.col(f"_t{n}.name")
+    for n in levels if by_cell else ():
+        codes[f"adm{n}_by_cell"] = _owned(lookup, n) if n in lookup.levels else F.lit(False)
     tagged = tagged.withColumns(codes)
-    return ensure_levels(tagged, levels, adm0, iso3).select(*order)
+    return ensure_levels(tagged, levels, adm0, iso3).select(*order, *told)
 
 
 def _settle(lookup: AdminLookup, level: int, cx: Column, cy: Column) -> Column:
@@ -348,6 +356,14 @@ def _settle(lookup: AdminLookup, level: int, cx: Column, cy: Column) -> Column:
     return F.coalesce(here["owner"], F.get(named, 0))
 
 
+def _owned(lookup: AdminLookup, level: int) -> Column:
+    """Whether the feature's cell, or the block of cells around it, has an owner."""
+    owner = F.col(f"L{level}.owner")
+    if lookup.blocks is not None:
+        owner = F.coalesce(F.col(f"owners.O{level}"), owner)
+    return owner.isNotNull()
+
+
 def _settle_crowded(tagged: DataFrame, lookup: AdminLookup, cx: Column, cy: Column) -> DataFrame:
     any_busy = F.lit(False)
     for n in lookup.levels:
@@ -382,3 +398,27 @@ def tag_report(tagged: DataFrame, levels: Sequence[int]) -> DataFrame:
         F.round(F.coalesce(share, F.lit(0.0)), 2).alias("null_percent"),
         F.when(F.col("r.matched") > 0, "tagged").otherwise("empty").alias("state"),
     )
+
+
+def observe_tags(tagged: DataFrame, levels: Sequence[int]) -> tuple[DataFrame, Observation]:
+    """The layer without its ``by_cell`` columns, and an observation that fills while the
+    layer is written: nothing is read a second time for the report."""
+    metrics = [F.count(F.lit(1)).alias("total")]
+    for n in levels:
+        metrics += [F.count_if(F.col(f"adm{n}_by_cell")).alias(f"cell{n}"), F.count(f"adm{n}_pcode").alias(f"final{n}")]
+    seen = Observation()
+    return tagged.observe(seen, *metrics).drop(*[f"adm{n}_by_cell" for n in levels]), seen
+
+
+def observed_report(spark: SparkSession, seen: dict, levels: Sequence[int]) -> DataFrame:
+    """Per level what was counted while a layer was written: features, those matched by
+    their cell, the residual that went to the fallback, those matched in the end, the
+    share without a code and the state of the level."""
+    total = seen["total"]
+    rows = []
+    for n in levels:
+        cell, final = seen[f"cell{n}"], seen[f"final{n}"]
+        rows.append((n, total, cell, total - cell, final, total, "tagged" if final else "empty"))
+    table = spark.createDataFrame(rows, "level int, total long, by_cell long, residual long, matched long, of long, state string")
+    share = F.when(F.col("of") > 0, 100.0 * (F.col("of") - F.col("matched")) / F.col("of")).otherwise(0.0)
+    return table.select("level", "total", "by_cell", "residual", "matched", F.round(share, 2).alias("null_percent"), "state")

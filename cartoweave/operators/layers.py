@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartoweave.functions import geom as G
-from cartoweave.functions.grid import tile_x, tile_y
+from cartoweave.functions import tiles as TL
 from cartoweave.operators.report import source_rank
+from cartoweave.session import staged
 
 
 def merge_layers(layers: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
@@ -28,20 +29,98 @@ def merge_layers(layers: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(*layer) for layer in layers])
 
 
-def tile_pyramid(df: DataFrame, min_zoom: int = 0, max_zoom: int = 12, geom: str = "geom") -> DataFrame:
-    """One row per (feature, zoom, tile its box touches): ``z, x, y`` before the
-    feature's columns. Nothing is grouped, so a crowded tile is just many rows;
-    write it partitioned by ``z`` and clustered by tile."""
-    boxed = df.withColumn("_b", G.extent(geom)).where("_b.xmin IS NOT NULL")
-    leveled = boxed.withColumn("z", F.explode(F.sequence(F.lit(min_zoom), F.lit(max_zoom))))
-    zoom = F.col("z")
-    rows = F.sequence(tile_y(F.col("_b.ymax"), zoom), tile_y(F.col("_b.ymin"), zoom))
-    cols = F.sequence(tile_x(F.col("_b.xmin"), zoom), tile_x(F.col("_b.xmax"), zoom))
-    return (
-        leveled.withColumn("y", F.explode(rows))
-        .withColumn("x", F.explode(cols))
-        .select("z", "x", "y", *df.columns)
-    )
+def tile_pyramid(df: DataFrame, min_zoom: int = 0, max_zoom: int = 12, geom: str = "geom", expand: bool = True) -> DataFrame:
+    """``z, x, y, full`` and the feature's columns, a row for each tile that a feature
+    reaches; ``geom`` is what lies in the tile, in units of ``tiles.EXTENT`` from its upper
+    left corner.
+
+    Tiles come from their parents: what a parent holds of a feature is cut to its four
+    children, so nothing is tried where the feature is not. A tile that an area fills is
+    not split: it is ``full``, and stands for all its descendants down to ``max_zoom``, so
+    a large area costs its outline. ``expand`` lists those descendants as rows too. Every
+    level is staged, since the next one starts from it."""
+    columns = [c for c in df.columns if c != geom]
+    located = df.where(F.size(G.as_col(geom)["parts"]) > 0).select(*columns, G.as_col(geom)["kind"].alias("_kind"), TL.unit_parts(G.as_col(geom)).alias("_parts"))
+    apart = F.endswith("_kind", F.lit("POINT"))
+    levels = [_point_tiles(located.where(apart), columns, min_zoom, max_zoom)]
+    now = _cut_to(_first_tiles(located.where(~apart), min_zoom))
+    for zoom in range(min_zoom, max_zoom + 1):
+        now = staged(now)
+        levels.append(now)
+        if zoom == max_zoom or now.where("NOT full").isEmpty():
+            break
+        # Children are numbered from twice their parent's place on.
+        corner = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (0, 1) for dy in (0, 1)]))
+        split = now.where("NOT full").withColumn("_c", corner).withColumn("z", F.col("z") + 1)
+        now = _cut_to(split.withColumn("x", 2 * F.col("x") + F.col("_c.dx")).withColumn("y", 2 * F.col("y") + F.col("_c.dy")).drop("_c", "full"))
+    every = reduce(DataFrame.unionByName, levels)
+    if expand:
+        every = _expanded(every, max_zoom)
+    local = TL.local_parts(F.col("_parts"), F.col("x"), F.col("y"), F.col("z"))
+    whole = F.when(F.startswith("_kind", F.lit("MULTI")) | (F.size("_parts") < 2), F.col("_kind")).otherwise(F.concat(F.lit("MULTI"), F.col("_kind")))
+    shaped = every.withColumn(geom, G.make(whole, local))
+    return shaped.select("z", "x", "y", "full", *df.columns)
+
+
+def _borders(zoom: Column, x: Column, y: Column) -> tuple[Column, Column, Column, Column]:
+    n = F.pow(F.lit(2.0), zoom)
+    return x / n, (x + 1) / n, y / n, (y + 1) / n
+
+
+def _cut_to(rows: DataFrame) -> DataFrame:
+    """Rows whose parts reach their tile, cut to it, with ``full``. The cut is made once:
+    a filter on it would be pushed below and cut again."""
+    x0, x1, y0, y1 = box = _borders(F.col("z"), F.col("x"), F.col("y"))
+    kind = F.col("_kind")
+    cut = F.transform(F.array(TL.cut_parts(kind, F.col("_parts"), *box)), lambda p: F.struct(p.alias("_parts"), TL.fills(kind, p, *box).alias("full")))
+    held = F.filter(cut, lambda c: TL.reaches(c["_parts"], x1, y1))
+    return rows.select(*[c for c in rows.columns if c != "_parts"], F.inline(held))
+
+
+def _first_tiles(rows: DataFrame, zoom: int) -> DataFrame:
+    """Features with the tiles of the first zoom that their boxes touch."""
+    n = F.lit(float(1 << zoom))
+    last = F.lit((1 << zoom) - 1).cast("bigint")
+    box = G.once(F.flatten(F.flatten("_parts")), lambda v: F.struct(
+        F.array_min(F.transform(v, lambda p: p["x"])).alias("x0"), F.array_max(F.transform(v, lambda p: p["x"])).alias("x1"),
+        F.array_min(F.transform(v, lambda p: p["y"])).alias("y0"), F.array_max(F.transform(v, lambda p: p["y"])).alias("y1"),
+    ))
+
+    def place(c: str) -> Column:
+        return F.least(F.floor(F.col(f"_b.{c}") * n).cast("bigint"), last)
+
+    spread = rows.withColumn("_b", box).withColumn("z", F.lit(zoom)).withColumn("x", F.explode(F.sequence(place("x0"), place("x1"))))
+    return spread.withColumn("y", F.explode(F.sequence(place("y0"), place("y1")))).drop("_b")
+
+
+def _point_tiles(rows: DataFrame, columns: Sequence[str], min_zoom: int, max_zoom: int) -> DataFrame:
+    """Points by zoom: each tile with the points that fall into it."""
+    leveled = rows.withColumn("z", F.explode(F.sequence(F.lit(min_zoom), F.lit(max_zoom))))
+    n = F.pow(F.lit(2.0), F.col("z"))
+
+    def place(u: Column) -> Column:
+        return F.least(F.floor(u * n), n - 1).cast("bigint")
+
+    tile = lambda p: F.struct(place(p[0][0]["x"]).alias("x"), place(p[0][0]["y"]).alias("y"))
+    spread = leveled.withColumn("_t", F.explode(F.array_distinct(F.transform("_parts", tile))))
+    own = F.filter("_parts", lambda p: tile(p) == F.col("_t"))
+    return spread.select(*columns, "_kind", own.alias("_parts"), "z", F.col("_t.x").alias("x"), F.col("_t.y").alias("y"), F.lit(False).alias("full"))
+
+
+def _expanded(tiles: DataFrame, max_zoom: int) -> DataFrame:
+    """Full tiles with all their descendants."""
+    deeper = tiles.where("full").withColumn("_d", F.explode(F.sequence(F.lit(0), F.lit(max_zoom) - F.col("z"))))
+    side = F.pow(F.lit(2.0), F.col("_d")).cast("bigint")
+    spread = deeper.withColumn("_x", F.explode(F.sequence(F.col("x") * side, (F.col("x") + 1) * side - 1)))
+    spread = spread.withColumn("_y", F.explode(F.sequence(F.col("y") * side, (F.col("y") + 1) * side - 1)))
+    moved = spread.withColumn("z", F.col("z") + F.col("_d")).withColumn("x", F.col("_x")).withColumn("y", F.col("_y"))
+    x0, x1, y0, y1 = _borders(F.col("z"), F.col("x"), F.col("y"))
+
+    def corner(x: Column, y: Column) -> Column:
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    ring = F.array(corner(x0, y0), corner(x1, y0), corner(x1, y1), corner(x0, y1), corner(x0, y0))
+    return tiles.where("NOT full").unionByName(moved.withColumn("_parts", F.array(F.array(ring))).select(*tiles.columns))
 
 
 def tile_counts(tiles: DataFrame, layer: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +14,7 @@ from cartoweave.functions.text import format_count
 
 STATE_SCHEMA = (
     "iso3 string, source string, slug string, snapshot string, built_utc timestamp, uploaded_utc timestamp, "
-    "artifact_present boolean, path string, features bigint"
+    "artifact_present boolean, path string, features bigint, config string, formats array<string>"
 )
 
 
@@ -34,7 +37,8 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
 
 def latest_state(manifest: DataFrame) -> DataFrame:
     """The newest entry per (iso3, source, slug) of an append-only manifest."""
-    entry = F.struct("built_utc", "uploaded_utc", "snapshot", "artifact_present")
+    more = [c for c in ("config", "formats") if c in manifest.columns]
+    entry = F.struct("built_utc", "uploaded_utc", "snapshot", "artifact_present", *more)
     return (
         manifest.groupBy("iso3", "source", "slug")
         .agg(F.max(entry).alias("e"))
@@ -54,9 +58,16 @@ def pending(specs: DataFrame, manifest: DataFrame, done: str = "uploaded") -> Da
     else:
         raise ValueError(f"done must be 'uploaded' or 'built', got {done!r}")
     keys = ["iso3", "source", "slug", "snapshot"]
+    # A category built with other settings does not count either, where both sides tell.
+    keys += [c for c in ("config",) if c in specs.columns and c in finished.columns]
     return specs.join(finished.select(*keys), keys, "left_anti")
 
 
+def config_key(*settings) -> str:
+    """First 12 hex digits of the SHA-256 of the settings that shape a category's layer."""
+    return hashlib.sha256(json.dumps(settings, sort_keys=True, default=str).encode()).hexdigest()[:12]
+
+
 def stale_levels(remote: DataFrame, local: DataFrame, group: str, levels) -> DataFrame:
     """Admin levels whose local copy is missing or of another date than upstream.
     A requested level that upstream lacks, or lists without a date, is an error."""

@@ -9,7 +9,7 @@ keeps one status row per category.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -51,16 +51,17 @@ def category_features(
 def build_layer(
     query: SourceQuery, category: CategorySpec, boundary: Boundary, run: RunSpec,
     tagging: Tagging | None = None, geometry: str = "geometry", points: bool = False, step: float = DEFAULT_STEP,
-    lookups: Lookups | None = None,
+    lookups: Lookups | None = None, by_cell: bool = False,
 ) -> DataFrame:
-    """One category from scan to named, tagged layer."""
+    """One category from scan to named, tagged layer. ``by_cell`` keeps, per level, whether
+    the cell alone gave the code."""
     rows = category_features(query, boundary, geometry, points, step)
     layer = FL.project(rows, list(query.select), geometry)
     if tagging is not None and not category.skip_pcodes:
         mode = A.resolve_mode(run.boundary_resolution, category.boundary_resolution)
         levels = [n for n in run.pcode_levels if n in tagging.levels]
         lookup = lookups.of(mode) if lookups is not None else None
-        layer = A.tag_admin(layer, tagging.admin, run.iso3, levels, mode, tagging.step, lookup=lookup)
+        layer = A.tag_admin(layer, tagging.admin, run.iso3, levels, mode, tagging.step, lookup=lookup, by_cell=by_cell)
     return text.transliterate(layer, category.transliterate)
 
 
@@ -107,12 +108,33 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def finished_slugs(spark: SparkSession, run: RunSpec, source: Source, root: str) -> dict[str, str]:
-    """Slugs the manifest has as built for the source's snapshot, with their layers' paths."""
-    snapshot = source.peek_snapshot(run)
-    state = RS.latest_state(RS.read_state(spark, f"{root}/_state")).where(F.col("iso3") == run.iso3.upper())
-    rows = state.where((F.col("source") == source.name) & (F.col("snapshot") == snapshot) & F.col("built_utc").isNotNull())
-    return {r["slug"]: f"{root}/{run.identity}/{source.name}/{r['slug']}/{LAYER}" for r in rows.select("slug").collect()}
+def layer_config(run: RunSpec, category: CategorySpec, boundary: Boundary, tagging: Tagging | None) -> str:
+    """Fingerprint of what shapes a category's layer: its blocks with filters and select
+    lists, names, area and tagging. Formats are not part of it: they are written from the
+    layer."""
+    tagged = tagging is not None and not category.skip_pcodes
+    mode = A.resolve_mode(run.boundary_resolution, category.boundary_resolution) if tagged else None
+    levels = [n for n in run.pcode_levels if n in tagging.levels] if tagged else []
+    area = (boundary.bbox, boundary.label, boundary.buffer_metres)
+    blocks = [asdict(category.osm), asdict(category.overture)]
+    for block in blocks:
+        block.pop("tiles")
+    return RS.config_key(blocks, [asdict(t) for t in category.transliterate], area, mode, levels)
+
+
+def finished_layers(spark: SparkSession, run: RunSpec, source: Source, root: str, configs: dict[str, str]) -> dict[str, tuple[str, list[str]]]:
+    """Slugs that the manifest has as built for the source's snapshot with the settings of
+    ``configs``, with their layers' paths and the formats written from them."""
+    snapshot, iso3 = source.peek_snapshot(run), run.iso3.upper()
+    manifest = RS.read_state(spark, f"{root}/_state")
+    specs = spark.createDataFrame(
+        [(iso3, source.name, slug, snapshot, config) for slug, config in configs.items()],
+        "iso3 string, source string, slug string, snapshot string, config string",
+    )
+    todo = RS.pending(specs, manifest, "built").select("iso3", "source", "slug")
+    state = RS.latest_state(manifest).join(specs.select("iso3", "source", "slug"), ["iso3", "source", "slug"], "left_semi")
+    rows = state.join(todo, ["iso3", "source", "slug"], "left_anti").select("slug", "formats").collect()
+    return {r["slug"]: (f"{root}/{run.identity}/{source.name}/{r['slug']}/{LAYER}", list(r["formats"] or [])) for r in rows}
 
 
 # Where a run keeps each layer; no format writes there.
@@ -129,8 +151,10 @@ def run_export(
 
     A failing category does not stop the others, and a failing format costs that format
     alone (``formats`` of the status row). Categories that the manifest under ``root``
-    has as built for this snapshot, or that ``done`` lists, are ``resumed`` when their
-    layer is still there; ``run.resume`` off builds all anew.
+    has as built for this snapshot with the same settings, or that ``done`` lists, are
+    ``resumed`` when their layer is still there: formats they lack are written from it.
+    ``run.resume`` off builds all anew. ``tags`` of a status row has what tagging found,
+    counted while the layer was written.
     """
     ident = run.identity
     source.prepare(run)
@@ -139,11 +163,12 @@ def run_export(
     staged = None
     world = replace(boundary, geoms=None)
     base = f"{root}/{ident}/{source.name}"
+    configs = {c.slug: layer_config(run, c, boundary, tagging) for c in run.categories}
     if done is not None:
-        finished = {slug: f"{base}/{slug}/{LAYER}" for slug in done}
+        finished = {slug: (f"{base}/{slug}/{LAYER}", []) for slug in done}
     else:
-        finished = finished_slugs(spark, run, source, root) if run.resume else {}
-    kept = {slug: df for slug, path in finished.items() if (df := _stored(spark, path)) is not None}
+        finished = finished_layers(spark, run, source, root, configs) if run.resume and configs else {}
+    kept = {slug: (df, have) for slug, (path, have) in finished.items() if (df := _stored(spark, path)) is not None}
     lookups = Lookups(tagging, run)
     entries: list[dict] = []
     snapshot = source.peek_snapshot(run)
@@ -153,14 +178,26 @@ def run_export(
         }
         statuses.append(status)
         wanted = list(category.formats or formats or run.formats)
+        path = f"{base}/{category.slug}"
+
+        def remember(formats: Sequence[str]) -> None:
+            entries.append({
+                "iso3": run.iso3.upper(), "source": source.name, "slug": category.slug, "snapshot": snapshot,
+                "built_utc": datetime.now(timezone.utc), "artifact_present": True, "path": f"{path}/{LAYER}",
+                "features": status["features"], "config": configs[category.slug], "formats": sorted(formats),
+            })
+
         if category.slug in kept:
-            layers[category.slug] = kept[category.slug]
-            status.update(status="resumed", features=kept[category.slug].count())
+            layers[category.slug], have = kept[category.slug]
+            status.update(status="resumed", features=layers[category.slug].count(), formats={f: "ok" for f in have if f in wanted})
+            missing = [f for f in wanted if f not in have] if done is None else []
+            if missing:
+                _write_formats(layers[category.slug], path, missing, run, status)
+                remember([*have, *(f for f in missing if status["formats"][f] == "ok")])
             continue
         if not wanted:
             status.update(status="skipped", error="no output formats configured")
             continue
-        path = f"{base}/{category.slug}"
         try:
             query = source.query_for(run, category)
             area = boundary
@@ -169,8 +206,14 @@ def run_export(
                     staged = stage_extract(source, run, boundary, f"{root}/_stage/{ident}/{source.name}", points, step)
                 query = replace(query, table=staged.where(F.col("category") == category.slug))
                 area = world
-            layer = build_layer(query, category, area, run, tagging, points=points, step=step, lookups=lookups)
+            counted = tagging is not None and not category.skip_pcodes
+            layer = build_layer(query, category, area, run, tagging, points=points, step=step, lookups=lookups, by_cell=counted)
+            if counted:
+                levels = [n for n in run.pcode_levels if n in tagging.levels]
+                layer, seen = A.observe_tags(layer, levels)
             sinks.write_layer(layer, f"{path}/{LAYER}")
+            if counted:
+                status["tags"] = [r.asDict() for r in A.observed_report(spark, seen.get, levels).collect()]
             layer = spark.read.parquet(f"{path}/{LAYER}").drop("bbox")
             count = layer.count()
         except CategorySkipped as skipped:
@@ -184,31 +227,32 @@ def run_export(
             status["status"] = "empty"
             continue
         layers[category.slug] = layer
-        for fmt in wanted:
-            try:
-                write_format(layer, f"{path}/{fmt}", fmt, run.split_by_geometry)
-                status["formats"][fmt] = "ok"
-            except Exception as problem:  # noqa: BLE001 - nor one format the others
-                status["formats"][fmt] = str(problem)
-        failed = {f: e for f, e in status["formats"].items() if e != "ok"}
-        if failed:
-            status["error"] = "; ".join(f"{f}: {e}" for f, e in failed.items())
-            status["status"] = "failed" if len(failed) == len(wanted) else "partial"
+        _write_formats(layer, path, wanted, run, status)
         if metadata:
             period = layer_period(layer, category.temporal_column)
             described = layer_metadata(layer, category.slug, source.name, snapshot or "")
-            sinks.write_layer_metadata(described.crossJoin(period) if period is not None else described, f"{path}/_metadata")
+            sinks.write_layer_metadata(P.pair(described, period, ()) if period is not None else described, f"{path}/_metadata")
         if status["status"] == "ok":
-            now = datetime.now(timezone.utc)
-            entries.append({
-                "iso3": run.iso3.upper(), "source": source.name, "slug": category.slug, "snapshot": snapshot, "built_utc": now,
-                "artifact_present": True, "path": f"{path}/{LAYER}", "features": count,
-            })
+            remember(wanted)
     RS.record_state(spark, f"{root}/_state", entries)
     lookups.release()
     return statuses, layers
 
 
+def _write_formats(layer: DataFrame, path: str, wanted: Sequence[str], run: RunSpec, status: dict) -> None:
+    """Writes the formats, each at its own risk, and notes how it went."""
+    failed = {}
+    for fmt in wanted:
+        try:
+            write_format(layer, f"{path}/{fmt}", fmt, run.split_by_geometry)
+            status["formats"][fmt] = "ok"
+        except Exception as problem:  # noqa: BLE001 - one format must not stop the others
+            status["formats"][fmt] = failed[fmt] = str(problem)
+    if failed:
+        status["error"] = "; ".join(f"{f}: {e}" for f, e in failed.items())
+        status["status"] = "failed" if len(failed) == len(wanted) else "partial"
+
+
 def layer_period(layer: DataFrame, column: str | None) -> DataFrame | None:
     """One row ``min_value, max_value`` of the layer's time column, if it has one."""
     if column is None or column not in layer.columns:
