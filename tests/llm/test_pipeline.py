@@ -118,7 +118,7 @@ def test_empty_documents(spark, corpus, tmp_path):
 
 def test_all_are_registered():
     names = list(entry.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and 4 <= len(corpus_pipeline.STAGES) <= 5
-    assert {"op1_kd_tree_top_k", "op6_template_lines", "op7_heavy_hitter_dedup"} <= set(entry.oracle_sql())
+    assert {"op1_kd_tree_top_k", "op6_template_lines", "op7_heavy_hitter_dedup", "op11_reduced_alphabet_variants", "op13_block_max_maxscore"} <= set(entry.oracle_sql())
