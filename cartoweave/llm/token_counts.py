@@ -21,7 +21,6 @@ from functools import lru_cache
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cartoweave.llm.common import gaps, prepare, slices, texts
 from cartoweave.llm.vocabularies import byte_symbols, default_path, word_end_table
@@ -179,8 +178,19 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def truncated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", path: str | None = None, limit: int = LIMIT) -> DataFrame:
-    """``doc_id, text``: each text cut to the longest prefix within ``limit`` tokens."""
-    counts = count_tokens(docs, id_col, text_col, path, limit).select("doc_id", "fit_bytes")
-    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(counts, "doc_id").select(
-        "doc_id", F.decode(F.substring(F.col("text").cast("binary"), F.lit(1), F.col("fit_bytes").cast("int")), "UTF-8").alias("text")
-    )
+    """``doc_id, text``: each text cut to the longest prefix within ``limit`` tokens, a row
+    for every row: texts are cut where they are counted, whatever their ids."""
+    path = path or default_path(VOCABULARY)
+    prepare(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = counter(path)
+        for whole in batches:
+            for batch in slices(whole, 1):
+                text = batch.column(1).to_pylist()
+                cut = [t if c <= limit else t[: own.fit(t, limit)] for t, c in zip(text, own.counts(text))]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cut, pa.string())], names=["doc_id", "text"])
+
+    source = texts(docs, id_col, text_col)
+    kind = source.schema["__id"].dataType.simpleString()
+    return source.mapInArrow(run, f"doc_id {kind}, text string")

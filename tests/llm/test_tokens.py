@@ -55,6 +55,12 @@ def test_truncation(spark):
     assert got[1].strip() == "one two" and got[2] == "" and got[3] == "tiny"
 
 
+def test_truncation_of_repeated_and_missing_ids(spark):
+    rows = [(1, "one two three four"), (1, "tiny"), (None, "one two three"), (None, None)]
+    got = sorted(((r.doc_id, r.text.strip()) for r in token_counts.truncated(table(spark, rows), limit=2).collect()), key=str)
+    assert got == sorted([(1, "one two"), (1, "tiny"), (None, "one two"), (None, "")], key=str)
+
+
 def test_pieces_equal_the_library(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=public.path("piece_bpe_32k.model"))
     got = {r.doc_id: r for r in pieces.encode(table(spark, enumerate(TEXTS)), decoded=True).collect()}
