@@ -12,6 +12,7 @@ from cartoweave.operators import layers as L
 from cartoweave.operators import profile as P
 from cartoweave.operators import report as R
 from cartoweave.operators import resume as RS
+from cartoweave.session import staged
 from cartoweave.sources import scans
 
 # --- the profiled layer: one row per order line, several columns with NULLs ---
@@ -110,6 +111,47 @@ def profile_top_values(spark, d):
     return P.top_values(layer(spark, d), ["layer"])
 
 
+# Lines of orders by status and return flag: the layers whose profiles are stored.
+KEPT = ("l_partkey", "l_suppkey", "l_orderkey", "l_discount", "l_heavy")
+HEAVY = "CASE WHEN l_quantity > 40 THEN l_shipdate END"
+ROLLED = " UNION ALL ".join(
+    f"SELECT l_linestatus AS status, {i}::INTEGER AS ord, '{c}' AS name, count(*) AS total, count(*) - count({c}) AS null_count, "
+    f"round(100e0 * (count(*) - count({c})) / count(*), 2) AS null_percent, true AS close FROM heavy GROUP BY l_linestatus"
+    for i, c in enumerate(KEPT)
+)
+
+
+def _stored(spark, d):
+    """The lines, and their stored profiles by status and return flag."""
+    lines = V.table(spark, d, "lineitem").withColumn("l_heavy", F.expr(HEAVY))
+    point = G.point(F.expr(V.lon("l_partkey")), F.expr(V.lat("l_partkey")))
+    kept = lines.select("l_linestatus", "l_returnflag", *KEPT, "l_shipdate", point.alias("geom"))
+    return kept, P.stored_profile(kept, ["l_linestatus", "l_returnflag"], KEPT, "l_shipdate")
+
+
+@query("profile_rollup", f"WITH heavy AS (SELECT *, {HEAVY} AS l_heavy FROM lineitem) {ROLLED}")
+def profile_rollup(spark, d):
+    """Columns rolled up from stored profiles; distinct counts are held against the exact
+    ones, four standard errors apart at most."""
+    kept, stored = _stored(spark, d)
+    columns = P.merged_profile(staged(stored).withColumnRenamed("l_linestatus", "status"), ["status"])["columns"]
+    exact = P.distinct_counts(kept, ["l_linestatus"], KEPT).select(F.col("l_linestatus").alias("status"), "name", F.col("distinct_count").alias("exact"))
+    close = F.abs(F.col("distinct_count") - F.col("exact")) <= F.ceil(F.col("exact") * (4 * 1.04 / 2 ** (P.SKETCH_POWER / 2)))
+    return columns.join(exact, ["status", "name"]).select("status", "ord", "name", "total", "null_count", "null_percent", close.alias("close"))
+
+
+@query(
+    "profile_rollup_table",
+    f"""SELECT l_linestatus AS status, count(*) AS feature_count, count(DISTINCT l_returnflag) AS layers, min({V.lon('l_partkey')}) AS xmin, min({V.lat('l_partkey')}) AS ymin,
+        max({V.lon('l_partkey')}) AS xmax, max({V.lat('l_partkey')}) AS ymax, CAST(min(l_shipdate) AS DATE) AS min_value, CAST(max(l_shipdate) AS DATE) AS max_value
+    FROM lineitem GROUP BY l_linestatus""",
+)
+def profile_rollup_table(spark, d):
+    _, stored = _stored(spark, d)
+    table = P.merged_profile(staged(stored).withColumnRenamed("l_linestatus", "status"), ["status"])["table"]
+    return table.withColumn("min_value", F.col("min_value").cast("date")).withColumn("max_value", F.col("max_value").cast("date"))
+
+
 @query(
     "profile_temporal",
     "SELECT 'o_orderdate' AS column_name, min(o_orderdate) AS min_value, max(o_orderdate) AS max_value, count(o_orderdate) AS non_null_count, count(*) AS feature_count FROM orders",

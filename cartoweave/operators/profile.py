@@ -2,8 +2,11 @@
 
 Every function takes ``by``, the columns that name a layer, so that all layers of
 a run are profiled in the same pass. Column statistics come from one aggregate;
-distinct and top values share one table of value counts, whose partial sums are
-formed before the shuffle.
+distinct and top values share one table of value counts (``counts``), whose partial
+sums are formed before the shuffle.
+
+``stored_profile`` keeps what merges: totals, nulls, extents, a time range and a sketch of
+the distinct values. ``merged_profile`` rolls such rows up without reading a layer again.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cartoweave.functions import geom as G
 from cartoweave.functions.text import format_count, percent
+from cartoweave.session import staged
 
 # How many top values are listed, and the most distinct values a
 # column may have to be listed at all.
@@ -23,6 +27,10 @@ MAX_DISTINCT = 1000
 
 GEOMETRY_COLUMNS = ("geom", "geometry", "bbox")
 
+# A sketch has two to the power of this many counters, a byte each: the distinct counts
+# rolled up from it have a standard error below one percent.
+SKETCH_POWER = 14
+
 
 def pair(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
     """Join two per-layer tables; without layer columns both are of a single layer."""
@@ -83,17 +91,17 @@ def null_stats(df: DataFrame, by: Sequence[str] = (), columns: Sequence[str] | N
     )
 
 
+def as_text(df: DataFrame, column: str) -> Column:
+    """A value as it is counted: nested ones as JSON."""
+    nested = dict(df.dtypes)[column].startswith(("array", "map", "struct"))
+    value = F.col(f"`{column}`")
+    return F.to_json(value) if nested else value.cast("string")
+
+
 def value_counts(df: DataFrame, by: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
     """``(by..., name, value, n)`` over all attribute columns, values as text."""
     columns = list(columns) if columns is not None else attributes(df, by)
-    types = dict(df.dtypes)
-
-    def text(c: str) -> Column:
-        nested = types[c].startswith(("array", "map", "struct"))
-        value = F.col(f"`{c}`")
-        return F.to_json(value) if nested else value.cast("string")
-
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), text(c).alias("value")) for c in columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), as_text(df, c).alias("value")) for c in columns])
     return (
         df.select(*by, F.inline(pairs))
         .where("value IS NOT NULL")
@@ -137,11 +145,12 @@ def top_values(
     columns: Sequence[str] | None = None,
     k: int = TOP_VALUES,
     max_distinct: int = MAX_DISTINCT,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """``(by..., name, rank, value, n)`` for columns with 1 to ``max_distinct``
     distinct values, ties in order of the value. The ranking only ever sees those
     columns, so a window holds at most ``max_distinct`` rows."""
-    counts = value_counts(df, by, columns)
+    counts = value_counts(df, by, columns) if counts is None else counts
     listed = (
         counts.groupBy(*by, "name").agg(F.count("*").alias("_d")).where(F.col("_d") <= max_distinct)
     )
@@ -189,13 +198,69 @@ def geometry_labels(df: DataFrame, geom: str = "geom") -> DataFrame:
     )
 
 
-def column_report(df: DataFrame, by: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
+def column_report(
+    df: DataFrame, by: Sequence[str] = (), columns: Sequence[str] | None = None, counts: DataFrame | None = None
+) -> DataFrame:
     """``(by..., ord, name, type, null_count, null_percent, distinct_count)``."""
-    nulls = null_stats(df, by, columns)
-    distinct = distinct_counts(df, by, columns).drop("ord")
-    return nulls.join(distinct, [*by, "name"]).select(
-        *by, "ord", "name", "type", "total", "null_count", "null_percent", "distinct_count"
+    counts = value_counts(df, by, columns) if counts is None else counts
+    distinct = counts.groupBy(*by, "name").agg(F.count("*").alias("distinct_count"))
+    # A column that is NULL throughout has no value rows; it still counts as 0.
+    return null_stats(df, by, columns).join(distinct, [*by, "name"], "left").select(
+        *by, "ord", "name", "type", "total", "null_count", "null_percent",
+        F.coalesce("distinct_count", F.lit(0)).cast("bigint").alias("distinct_count"),
+    )
+
+
+def stored_profile(
+    df: DataFrame, by: Sequence[str], columns: Sequence[str] | None = None, temporal: str | None = None,
+    geom: str = "geom", power: int = SKETCH_POWER,
+) -> DataFrame:
+    """``(by..., total, xmin, ymin, xmax, ymax, first, last, columns)``, one row per layer
+    from one aggregate; ``columns`` is ``array<(ord, name, type, filled, sketch)>``. The
+    row's size does not depend on the number of features."""
+    columns = list(columns) if columns is not None else attributes(df, by)
+    types = dict(df.dtypes)
+    time = F.col(temporal).cast("timestamp") if temporal is not None else F.lit(None).cast("timestamp")
+    read = df.select(
+        *by, G.extent(geom).alias("_b"), time.alias("_time"), *[as_text(df, c).alias(f"_v{i}") for i, c in enumerate(columns)]
+    )
+    measures = [
+        F.count("*").alias("total"), F.min("_b.xmin").alias("xmin"), F.min("_b.ymin").alias("ymin"),
+        F.max("_b.xmax").alias("xmax"), F.max("_b.ymax").alias("ymax"), F.min("_time").alias("first"), F.max("_time").alias("last"),
+    ]
+    for i in range(len(columns)):
+        measures += [F.count(f"_v{i}").alias(f"_n{i}"), F.hll_sketch_agg(f"_v{i}", power).alias(f"_s{i}")]
+    found = read.groupBy(*by).agg(*measures)
+    listed = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("ord"), F.lit(c).alias("name"), F.lit(types[c]).alias("type"),
+                F.col(f"_n{i}").alias("filled"), F.col(f"_s{i}").alias("sketch"),
+            )
+            for i, c in enumerate(columns)
+        ]
+    )
+    return found.select(*by, "total", "xmin", "ymin", "xmax", "ymax", "first", "last", listed.alias("columns"))
+
+
+def merged_profile(stored: DataFrame, by: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """The profile of several layers taken together, from their stored profiles: ``table``
+    has counts, extent and time range, ``columns`` the null shares and the estimated
+    distinct counts. A layer without a column counts as NULL there."""
+    table = stored.groupBy(*by).agg(
+        F.coalesce(F.sum("total"), F.lit(0)).alias("feature_count"), F.count("*").alias("layers"), F.min("xmin").alias("xmin"),
+        F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"),
+        F.min("first").alias("min_value"), F.max("last").alias("max_value"),
+    )
+    # Counts and sketches are merged per task before the shuffle.
+    merged = stored.select(*by, F.inline("columns")).groupBy(*by, "name").agg(
+        F.min("ord").alias("ord"), F.min("type").alias("type"), F.sum("filled").alias("filled"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch", True)).alias("distinct_count"),
     )
+    totals = table.select(*by, F.col("feature_count").alias("total"))
+    columns = pair(merged, totals, by).withColumn("null_count", F.col("total") - F.col("filled"))
+    columns = columns.withColumn("null_percent", percent(F.col("null_count"), F.col("total")))
+    return {"table": table, "columns": columns.select(*by, "ord", "name", "type", "total", "null_count", "null_percent", "distinct_count")}
 
 
 def _plain(number: Column) -> Column:
@@ -231,14 +296,16 @@ def summary(kinds: DataFrame, columns: DataFrame, by: Sequence[str] = ()) -> Dat
 
 
 def profile(df: DataFrame, by: Sequence[str] = (), temporal: str | None = None, geom: str = "geom") -> dict[str, DataFrame]:
-    """All profile tables of the layers in ``df``."""
-    columns = column_report(df, by)
+    """All profile tables of the layers in ``df``. The values are counted once, and
+    written, since distinct and top values both start from the counts."""
+    counts = staged(value_counts(df, by))
+    columns = column_report(df, by, counts=counts)
     kinds = geometry_types(df, by, geom)
     out = {
         "table": pair(row_count(df, by), extent(df, by, geom), by),
         "geometry": kinds,
         "columns": columns,
-        "top_values": top_values(df, by),
+        "top_values": top_values(df, by, counts=counts),
         "summary": summary(kinds, columns, by),
     }
     if temporal is not None:

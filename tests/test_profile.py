@@ -103,3 +103,32 @@ def test_many_rows_on_one_value(spark):
     df = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('v', id % 400) END AS v")
     top = P.top_values(df).where("rank = 1").first()
     assert (top["value"], top["n"]) == ("hot", 1000)
+
+
+def test_profiles_merge_without_the_layers(spark, tmp_path):
+    a, b = layer(spark).withColumn("side", F.lit("a")), layer(spark, ROWS[:3]).withColumn("side", F.lit("b"))
+    b = b.drop("amenity").withColumn("note", F.lit("new"))
+    for part in (a, b):
+        P.stored_profile(part, ["side"]).write.mode("append").parquet(str(tmp_path / "profiles"))
+    merged = P.merged_profile(spark.read.parquet(str(tmp_path / "profiles")))
+    whole = a.unionByName(b, allowMissingColumns=True)
+    table = merged["table"].first()
+    assert (table["feature_count"], table["layers"]) == (8, 2)
+    assert tuple(table[c] for c in ("xmin", "ymin", "xmax", "ymax")) == tuple(P.extent(whole).first())
+    fields = ("name", "total", "null_count", "null_percent", "distinct_count")
+    want = {tuple(r[c] for c in fields) for r in P.column_report(whole, (), ["id", "name", "amenity", "note"]).collect()}
+    assert {tuple(r[c] for c in fields) for r in merged["columns"].collect()} == want
+
+
+def test_stored_profiles_of_nothing(spark):
+    empty = P.stored_profile(layer(spark).where("false").withColumn("side", F.lit("a")), ["side"])
+    merged = P.merged_profile(empty)
+    assert (merged["table"].first()["feature_count"], merged["columns"].count()) == (0, 0)
+
+
+def test_a_profile_counts_values_once(spark, monkeypatch):
+    calls = []
+    counted = P.value_counts
+    monkeypatch.setattr(P, "value_counts", lambda *a, **k: calls.append(1) or counted(*a, **k))
+    P.profile(layer(spark))
+    assert len(calls) == 1
