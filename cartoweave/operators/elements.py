@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,15 +88,34 @@ def member_ways(relations: DataFrame) -> DataFrame:
     return members.select("rel", F.col("m.ref").alias("id"), role.alias("role")).where("role IS NOT NULL").distinct()
 
 
+def _doubled(state: DataFrame, key: list[str], rounds: int, **merged: Column) -> DataFrame:
+    """``state(key..., w, jump, rounds, ...)`` after pointer doubling: each round a walk takes
+    over the pointer of the walk it points at, and merges its own values with ``_name``,
+    those found there. A group stays for its own ``rounds``; then its walks are settled and
+    are neither read nor written again."""
+    settled = []
+    for done in range(rounds):
+        if done:
+            settled.append(state.where(F.col("rounds") == done))
+        open_ = state.where(F.col("rounds") > done)
+        ahead = open_.select(*key, F.col("w").alias("jump"), F.col("jump").alias("_jump"), *[F.col(c).alias(f"_{c}") for c in merged])
+        values = [merged[c].alias(c) if c in merged else F.col("_jump").alias(c) if c == "jump" else F.col(c) for c in state.columns]
+        state = staged(open_.join(ahead, [*key, "jump"], "left").select(*values))
+    for part in settled:
+        state = state.unionByName(part)
+    return state
+
+
 def close_rings(members: DataFrame, ways: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(rel, role, way, ring)``, the ring named by its least way, and ``(rel)`` of the
     relations with ways left over.
 
     Ways of one relation and role that end in the same node follow each other; where
     more than two end, they pair off in the order of their ids. Each open way is walked
-    in both directions. Pointers double every round, so the rounds grow with the log of
-    the ways in the largest ring: first they find the least way that each walk comes by,
-    or that it ends, then how far each way is from there, which orders the ring.
+    in both directions. Pointers double every round, so the rounds of a relation grow with
+    the log of its own ways, and it leaves when they are over, while larger ones go on:
+    first they find the least way that each walk comes by, or that it ends, then how far
+    each way is from there, which orders the ring.
     """
     used = ways.join(members.select("id").distinct(), "id", "left_semi")
     ends = used.where(F.size("refs") >= 2).select(
@@ -111,10 +128,12 @@ def close_rings(members: DataFrame, ways: DataFrame, nodes: DataFrame) -> tuple[
     )
     loose = staged(placed.where("first <> last").select("rel", "role", "id", "first", "last"))
     odd = placed.where("first = last AND n < 4").select("rel")
-    most = loose.groupBy("rel", "role").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-    if not most:
-        return whole, odd.distinct()
     key = ["rel", "role"]
+    # Twice as many walks as ways.
+    sizes = loose.groupBy(*key).agg(F.greatest(F.lit(1), F.ceil(F.log2(2.0 * F.count("*"))).cast("int")).alias("rounds"))
+    rounds = sizes.agg(F.max("rounds")).first()[0]
+    if not rounds:
+        return whole, odd.distinct()
     # A walk along a way is twice its id, plus one for the way back.
     walks = loose.select(*key, (F.col("id") * 2).alias("w"), F.col("first").alias("at")).unionByName(
         loose.select(*key, (F.col("id") * 2 + 1).alias("w"), F.col("last").alias("at"))
@@ -123,26 +142,15 @@ def close_rings(members: DataFrame, ways: DataFrame, nodes: DataFrame) -> tuple[
     number = F.row_number().over(order)
     partner = F.when(number % 2 == 1, F.lead("w").over(order)).otherwise(F.lag("w").over(order))
     back = F.col("w").bitwiseXOR(F.lit(1).cast("bigint"))
-    follow = staged(walks.select(*key, back.alias("w"), partner.alias("next")))
-    rounds = max(1, math.ceil(math.log2(2 * most)))
-
-    state = follow.select(*key, "w", F.col("next").alias("jump"), F.least("w", F.coalesce("next", "w")).alias("least"))
-    for _ in range(rounds):
-        ahead = state.select(*key, F.col("w").alias("jump"), F.col("jump").alias("_jump"), F.col("least").alias("_least"))
-        state = staged(
-            state.join(ahead, [*key, "jump"], "left").select(*key, "w", F.col("_jump").alias("jump"), F.least("least", F.coalesce("_least", "least")).alias("least"))
-        )
+    follow = staged(walks.select(*key, back.alias("w"), partner.alias("next")).join(sizes, key))
+
+    state = follow.select(*key, "w", F.col("next").alias("jump"), F.least("w", F.coalesce("next", "w")).alias("least"), "rounds")
+    state = _doubled(state, key, rounds, least=F.least("least", F.coalesce("_least", "least")))
     # Of the two directions of a ring, the one that walks its least way forward.
     walked = state.where("jump IS NOT NULL AND least % 2 = 0").select(*key, "w", "least")
     chain = walked.join(follow, [*key, "w"]).withColumn("jump", F.when(F.col("next") != F.col("least"), F.col("next")))
-    chain = staged(chain.select(*key, "w", "least", "jump", F.col("jump").isNotNull().cast("int").alias("left")))
-    for _ in range(rounds):
-        ahead = chain.select(*key, F.col("w").alias("jump"), F.col("jump").alias("_jump"), F.col("left").alias("_left"))
-        chain = staged(
-            chain.join(ahead, [*key, "jump"], "left").select(
-                *key, "w", "least", F.col("_jump").alias("jump"), (F.col("left") + F.coalesce("_left", F.lit(0))).alias("left")
-            )
-        )
+    chain = staged(chain.select(*key, "w", "least", "jump", F.col("jump").isNotNull().cast("int").alias("left"), "rounds"))
+    chain = _doubled(chain, key, rounds, left=F.col("left") + F.coalesce("_left", F.lit(0)))
     forward = F.col("w") % 2 == 0
     v = F.when(forward, F.col("vertices")).otherwise(F.reverse("vertices"))
     # The last vertex of a way is the first of the next.

@@ -110,3 +110,26 @@ def test_many_ways_in_one_ring(spark):
     (ring,) = row["geom"]["parts"][0]
     want = [{"x": x, "y": y} for _, _, x, y in nodes]
     assert canonical([v.asDict() for v in ring]) == canonical([*want, want[0]])
+
+
+def test_settled_relations_leave_the_rounds(spark, monkeypatch):
+    outlines = {f"s{k}": square(4 * k, 0, 2) for k in range(10)}
+    nodes, ways, rels, _ = build(spark, outlines, {100 + k: ({"natural": "wood"}, [(f"s{k}", "outer")]) for k in range(10)}, 3)
+    first, n = len(nodes) + 1, 40
+    nodes += [(first + i, {}, 100.0 + i, float(i * (n - i))) for i in range(n)]
+    ways += [(1000 + i, {}, [first + i, first + (i + 1) % n]) for i in range(n)]
+    rels.append((1, {"natural": "wood"}, [(1000 + i, "outer", "way") for i in range(n)]))
+    written = []
+    kept = E.staged
+
+    def noted(df):
+        out = kept(df)
+        if {"jump", "least"} <= set(out.columns):
+            written.append({r["rel"] for r in out.select("rel").distinct().collect()})
+        return out
+
+    monkeypatch.setattr(E, "staged", noted)
+    got = E.assemble_features(*frames(spark, nodes, ways, rels), {"natural": True}, step=2.0).where("feature_id LIKE 'relation/%'").collect()
+    assert {x["feature_id"] for x in got} == {"relation/1", *(f"relation/{100 + k}" for k in range(10))}
+    assert {x["status"] for x in got} == {"whole"}
+    assert len(written[0]) > 1 and written[-1] == {1}
