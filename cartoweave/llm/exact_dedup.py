@@ -77,7 +77,8 @@ def heavy_digests(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
-    """``doc_id, keep_id, group_size, kept, text_sha256`` for every row of ``docs``."""
+    """``doc_id, keep_id, group_size, kept, text_sha256`` for every row of ``docs``. Rows
+    without id stay only where no row with one has their text."""
     prepare(docs.sparkSession)
     digests = staged(
         texts(docs, id_col, text_col).select(
@@ -94,7 +95,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "doc_id",
         "keep_id",
         "group_size",
-        (F.col("doc_id") == F.col("keep_id")).alias("kept"),
+        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 

@@ -25,12 +25,13 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _remainder(parts: int):
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+    """The part of a document; rows without id are in none."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts, F.lit(-1))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = language.train(docs.where(_remainder(4) != 2))
+    model = language.train(docs.where(F.col("doc_id").isNotNull() & (_remainder(4) != 2)))
     found = language.predict(docs, model, reject=False)
     return found.select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score", "trusted")
 
@@ -54,7 +55,7 @@ def op8_pigeonring_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = toxicity.train(docs, labels.where(_remainder(5) != 0))
+    model = toxicity.train(docs, labels.where(F.col("doc_id").isNotNull() & (_remainder(5) != 0)))
     return toxicity.score(docs, model).select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", "predicted")
 
 
@@ -122,7 +123,7 @@ ORACLES = {
     "op7_heavy_hitter_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
-               doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+               doc_id IS NOT DISTINCT FROM min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM n
     """,
     # The checksum goes byte by byte over a table made from its polynomial; words one edit

@@ -2,7 +2,7 @@
 
 import random
 
-from cartoweave.llm import suffix_dedup
+from cartoweave.llm import exact_dedup, queries, suffix_dedup
 from tests.llm.helpers import documents_only, table
 from tests.llm.test_suffix import brute
 
@@ -27,3 +27,16 @@ def test_cut_repeats(spark):
     want = [(i, w[3].decode()) for (i, _), w in zip(given, brute([t.encode() for _, t in given], 200))]
     got = [(x.doc_id, x.text) for x in suffix_dedup.cut_repeats(documents_only(spark, given)).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_exact_dedup_marks_every_row(spark):
+    given = [(None, "a b"), (3, "a  b"), (4, "a b"), (None, "own"), (None, "own"), (5, None)]
+    got = exact_dedup.exact_dedup(table(spark, given)).collect()
+    seen = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got), key=repr)
+    assert seen == sorted([(None, 3, 3, False), (3, 3, 3, True), (4, 3, 3, False), (None, None, 2, True), (None, None, 2, True), (5, 5, 1, True)], key=repr)
+
+
+def test_rows_without_id_are_in_no_part(spark):
+    rows = table(spark, [(None, "x"), (7, "y")])
+    assert {r[0] for r in rows.select(queries._remainder(4).between(-1, 3)).collect()} == {True}
+    assert rows.where(queries._remainder(4) == -1).count() == 1
