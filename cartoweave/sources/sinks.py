@@ -179,43 +179,90 @@ WKB_CODES = {
 }
 
 
+def _before(sizes: np.ndarray) -> np.ndarray:
+    """Sum of all sizes before each one, and of all at the end."""
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
+def _put(out: np.ndarray, data: np.ndarray, at: np.ndarray, values: np.ndarray | int, kind: str) -> None:
+    """Writes ``values`` as little-endian numbers at the bytes ``at``, which hold no vertices."""
+    coded = np.broadcast_to(np.asarray(values, kind), at.shape).copy().view(np.uint8).reshape(len(at), np.dtype(kind).itemsize)
+    places = at[:, None] + np.arange(coded.shape[1])
+    out[places] = coded
+    data[places] = False
+
+
 def encode_wkb(geoms: pa.StructArray) -> tuple[pa.Array, set[str], list[float] | None]:
-    """Little-endian WKB of a batch of geometry structs, with the kinds seen and the
-    bounds. Python only walks rings; vertices are copied as blocks."""
-    kinds = geoms.field("kind").to_pylist()
-    valid = geoms.is_valid().to_pylist()
+    """Little-endian WKB of a batch of geometry structs, with the kinds written and their
+    bounds. Where each header goes follows from the offsets of parts, rings and vertices;
+    the vertices of the whole batch fill what lies between in one piece. Rows of unknown
+    kind or without parts are null; a point without vertex has no numbers."""
+    n = len(geoms)
+    names = geoms.field("kind").to_pylist()
+    code = np.array([WKB_CODES.get(k, 0) for k in names], np.int64)
     parts = geoms.field("parts")
     rings = parts.values
     points = rings.values.values
-    part_at, ring_at = parts.offsets.to_pylist(), rings.offsets.to_pylist()
-    vertex_at = rings.values.offsets.to_pylist()
-    xy = np.column_stack([points.field(c).to_numpy(zero_copy_only=False) for c in ("x", "y")])
-
-    def ring_bytes(r: int) -> bytes:
-        return xy[vertex_at[r] : vertex_at[r + 1]].tobytes()
-
-    def single(name: str, p: int) -> bytes:
-        head = struct.pack("<BI", 1, WKB_CODES[name])
-        first, last = ring_at[p], ring_at[p + 1]
-        if name == "POINT":
-            return head + ring_bytes(first)[:16]
-        if name == "LINESTRING":
-            return head + struct.pack("<I", vertex_at[first + 1] - vertex_at[first]) + ring_bytes(first)
-        body = [struct.pack("<I", vertex_at[r + 1] - vertex_at[r]) + ring_bytes(r) for r in range(first, last)]
-        return head + struct.pack("<I", last - first) + b"".join(body)
-
-    out: list[bytes | None] = []
-    for i, kind in enumerate(kinds):
-        first, last = part_at[i], part_at[i + 1]
-        if not valid[i] or kind not in WKB_CODES or first == last:
-            out.append(None)
-        elif kind.startswith("MULTI"):
-            members = b"".join(single(kind[5:], p) for p in range(first, last))
-            out.append(struct.pack("<BII", 1, WKB_CODES[kind], last - first) + members)
-        else:
-            out.append(single(kind, first))
+    part_at, ring_at, vertex_at = (a.offsets.to_numpy().astype(np.int64) for a in (parts, rings, rings.values))
+    if not n:
+        return pa.array([], type=pa.binary()), set(), None
+    ring_at = ring_at[part_at[0] : part_at[-1] + 1]
+    vertex_at = vertex_at[ring_at[0] : ring_at[-1] + 1]
+    xy = np.column_stack([points.field(c).to_numpy(zero_copy_only=False)[vertex_at[0] : vertex_at[-1]] for c in ("x", "y")]).astype("<f8")
+    part_at, ring_at, vertex_at = part_at - part_at[0], ring_at - ring_at[0], vertex_at - vertex_at[0]
+
+    written = geoms.is_valid().to_numpy(zero_copy_only=False) & (code > 0) & (np.diff(part_at) > 0)
+    multi = code > 3
+    row = np.repeat(np.arange(n), np.diff(part_at))
+    single = np.where(multi, code - 3, code)[row]
+    # A simple kind is its first part; a point or line its first ring, a point its first vertex.
+    own_part = written[row] & (multi[row] | (np.arange(len(row)) == part_at[row]))
+    part = np.repeat(np.arange(len(row)), np.diff(ring_at))
+    area, is_point = single[part] == 3, single[part] == 1
+    own_ring = own_part[part] & (area | (np.arange(len(part)) == ring_at[part]))
+    vertices = np.where(own_ring, np.diff(vertex_at), 0)
+    vertices = np.where(is_point, np.minimum(vertices, 1), vertices)
+    ring = np.repeat(np.arange(len(part)), np.diff(vertex_at))
+    xy = xy[np.arange(len(xy)) - vertex_at[ring] < vertices[ring]]
+
+    has_vertex = np.bincount(part, weights=vertices, minlength=len(row)) > 0
+    bare = own_part & (single == 1) & ~has_vertex
+    head = np.where(single == 1, 5, 9)
+    ring_size = own_ring * np.where(area, 4, 0) + 16 * vertices
+    ring_sum = _before(ring_size)
+    part_size = own_part * (head + ring_sum[ring_at[1:]] - ring_sum[ring_at[:-1]] + 16 * bare)
+    part_sum = _before(part_size)
+    row_size = written * (9 * multi + part_sum[part_at[1:]] - part_sum[part_at[:-1]])
+    row_start = _before(row_size)
+    part_start = row_start[row] + 9 * multi[row] + part_sum[:-1] - part_sum[part_at[row]]
+    ring_start = part_start[part] + head[part] + ring_sum[:-1] - ring_sum[ring_at[part]]
+
+    out = np.zeros(int(row_start[-1]), np.uint8)
+    data = np.ones(len(out), bool)
+    some = np.flatnonzero(written & multi)
+    for starts, codes, counts in (
+        (row_start[some], code[some], np.diff(part_at)[some]),
+        (part_start[own_part], single[own_part], None),
+    ):
+        _put(out, data, starts, 1, "u1")
+        _put(out, data, starts + 1, codes, "<u4")
+        if counts is not None:
+            _put(out, data, starts + 5, counts, "<u4")
+    lines, areas = own_part & (single == 2), own_part & (single == 3)
+    in_part = np.bincount(part, weights=vertices, minlength=len(row)).astype(np.int64)
+    _put(out, data, part_start[lines] + 5, in_part[lines], "<u4")
+    _put(out, data, part_start[areas] + 5, np.diff(ring_at)[areas], "<u4")
+    some = own_ring & area
+    _put(out, data, ring_start[some], vertices[some], "<u4")
+    for shift in (5, 13):
+        _put(out, data, part_start[bare] + shift, np.nan, "<f8")
+    out[data] = xy.reshape(-1).view(np.uint8)
+
+    mask = np.packbits(written, bitorder="little")
+    buffers = [pa.py_buffer(mask), pa.py_buffer(row_start.astype(np.int32)), pa.py_buffer(out)]
     bounds = [*xy.min(axis=0).tolist(), *xy.max(axis=0).tolist()] if len(xy) else None
-    return pa.array(out, type=pa.binary()), {k for k in kinds if k}, bounds
+    kinds = {k for k, w in zip(names, written.tolist()) if w}
+    return pa.Array.from_buffers(pa.binary(), n, buffers), kinds, bounds
 
 
 def read_wkb(data: bytes) -> tuple[str | None, list[list[np.ndarray]]]:
@@ -265,29 +312,122 @@ def read_wkb(data: bytes) -> tuple[str | None, list[list[np.ndarray]]]:
     return kind, parts
 
 
+def _plain_wkb(data: bytes | None) -> bytes | None:
+    """The value in the plain form: little-endian, two numbers a vertex, no SRID."""
+    kind, parts = read_wkb(data) if data else (None, [])
+    if kind is None:
+        return None
+
+    def rings(found: list[np.ndarray]) -> bytes:
+        return b"".join(struct.pack("<I", len(r)) + r.astype("<f8").tobytes() for r in found)
+
+    def single(name: str, part: list[np.ndarray]) -> bytes:
+        start = struct.pack("<BI", 1, WKB_CODES[name])
+        if name == "POINT":
+            return start + part[0].astype("<f8").tobytes()
+        return start + (rings(part) if name == "LINESTRING" else struct.pack("<I", len(part)) + rings(part))
+
+    if not kind.startswith("MULTI"):
+        return single(kind, parts[0])
+    return struct.pack("<BII", 1, WKB_CODES[kind], len(parts)) + b"".join(single(kind[5:], p) for p in parts)
+
+
+def _walk(data: np.ndarray, start: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where the parts of plain values begin, where the vertices of their rings begin, how
+    many these are, and which values have members that are not plain. All values take a
+    step at a time: the head of a part, or a ring of an area."""
+
+    def number(at: np.ndarray) -> np.ndarray:
+        return np.ascontiguousarray(data[at[:, None] + np.arange(4)]).view("<u4").reshape(-1).astype(np.int64)
+
+    multi = code > 3
+    at = np.where(multi, start + 9, start)
+    members, areas = np.ones(len(at), np.int64), np.zeros(len(at), np.int64)
+    members[multi] = number(start[multi] + 5)
+    odd = np.zeros(len(at), bool)
+    empty = np.zeros(0, np.int64)
+    parts, rings, counts = [empty], [empty], [empty]
+
+    def ring(rows: np.ndarray, many: np.ndarray) -> None:
+        rings.append(at[rows])
+        counts.append(many)
+        at[rows] += 16 * many
+
+    while True:
+        rows = np.flatnonzero((areas > 0) & ~odd)
+        if len(rows):
+            many = number(at[rows])
+            at[rows] += 4
+            ring(rows, many)
+            areas[rows] -= 1
+        rows = np.flatnonzero((areas == 0) & (members > 0) & ~odd)
+        if not len(rows):
+            if not ((areas > 0) & ~odd).any():
+                return *map(np.concatenate, (parts, rings, counts)), odd
+            continue
+        kind = np.where(data[at[rows]] == 1, number(at[rows] + 1), 0)
+        odd[rows] = kind != np.where(code[rows] > 3, code[rows] - 3, code[rows])
+        kind, rows = kind[~odd[rows]], rows[~odd[rows]]
+        parts.append(at[rows].copy())
+        at[rows] += 5
+        members[rows] -= 1
+        ring(rows[kind == 1], np.ones(int((kind == 1).sum()), np.int64))
+        many = number(at[rows[kind > 1]])
+        at[rows[kind > 1]] += 4
+        counted = kind[kind > 1]
+        ring(rows[kind > 1][counted == 2], many[counted == 2])
+        areas[rows[kind > 1][counted == 3]] = many[counted == 3]
+
+
 def decode_wkb_array(values: pa.Array) -> pa.StructArray:
-    """A batch of WKB values as geometry structs."""
-    kinds: list[str | None] = []
-    part_at, ring_at, vertex_at = [0], [0], [0]
-    blocks: list[np.ndarray] = []
-    for data in values.to_pylist():
-        kind, parts = read_wkb(data) if data else (None, [])
-        kinds.append(kind)
-        part_at.append(part_at[-1] + len(parts))
-        for part in parts:
-            ring_at.append(ring_at[-1] + len(part))
-            for r in part:
-                vertex_at.append(vertex_at[-1] + len(r))
-                blocks.append(r)
-    xy = np.concatenate(blocks).astype("f8") if blocks else np.empty((0, 2))
-
-    def lists(offsets: list[int], items: pa.Array) -> pa.ListArray:
+    """A batch of WKB values as geometry structs: values are walked together and their
+    vertices taken out in one piece. Values in another form than the plain one (byte order,
+    heights, SRID) are first rewritten one by one; empty and unknown ones are null."""
+    values = pa.concat_arrays([values.cast(pa.binary())])
+    n = len(values)
+    sizes = np.diff(_offsets(values)) * values.is_valid().to_numpy(zero_copy_only=False)
+    data = np.frombuffer(values.buffers()[2] or b"", np.uint8)
+    begin = _offsets(values)[:-1]
+    filled = np.flatnonzero(sizes >= 9)
+    code = np.zeros(n, np.int64)
+    code[filled] = np.ascontiguousarray(data[begin[filled][:, None] + np.arange(1, 5)]).view("<u4").reshape(-1)
+    plain = np.zeros(n, bool)
+    plain[filled] = (data[begin[filled]] == 1) & (code[filled] >= 1) & (code[filled] <= 6)
+    rows = np.flatnonzero(plain)
+    parts, rings, counts, odd = _walk(data, begin[rows], code[rows])
+    strange = np.concatenate([np.flatnonzero(~plain & (sizes > 0)), rows[odd]])
+    if len(strange):
+        rewritten = values.to_pylist()
+        for i in strange.tolist():
+            rewritten[i] = _plain_wkb(rewritten[i])
+        return decode_wkb_array(pa.array(rewritten, pa.binary()))
+
+    # Bytes come in the order of rows, parts and rings.
+    order = np.argsort(rings, kind="stable")
+    rings, counts, parts = rings[order], counts[order], np.sort(parts)
+    edges = np.zeros(len(data) + 1, np.int64)
+    np.add.at(edges, rings, 1)
+    np.add.at(edges, rings + 16 * counts, -1)
+    xy = data[np.cumsum(edges[:-1]) > 0].view("<f8").reshape(-1, 2)
+    part_at = np.searchsorted(parts, np.append(begin, len(data)))
+    # The byte before the vertices is the ring's own even if it has none.
+    ring_at = np.append(np.searchsorted(rings - 1, parts), len(rings))
+
+    def lists(offsets: np.ndarray, items: pa.Array) -> pa.ListArray:
         return pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), items)
 
     vertices = pa.StructArray.from_arrays([pa.array(xy[:, 0].copy()), pa.array(xy[:, 1].copy())], names=["x", "y"])
-    nested = lists(part_at, lists(ring_at, lists(vertex_at, vertices)))
-    missing = pa.array([k is None for k in kinds], type=pa.bool_())
-    return pa.StructArray.from_arrays([pa.array(kinds, type=pa.string()), nested], names=["kind", "parts"], mask=missing)
+    nested = lists(part_at, lists(ring_at, lists(_before(counts), vertices)))
+    names = {v: k for k, v in WKB_CODES.items()}
+    kinds = pa.array([names[c] if p else None for c, p in zip(code.tolist(), plain.tolist())], pa.string())
+    return pa.StructArray.from_arrays([kinds, nested], names=["kind", "parts"], mask=pa.array(~plain))
+
+
+def _offsets(values: pa.Array) -> np.ndarray:
+    """Offsets of a binary array that is no slice."""
+    if not len(values):
+        return np.zeros(1, np.int64)
+    return np.frombuffer(values.buffers()[1], np.int32, len(values) + 1, 4 * values.offset).astype(np.int64)
 
 
 def decode_wkb(df: DataFrame, column: str = "geometry", target: str = "geom") -> DataFrame:
