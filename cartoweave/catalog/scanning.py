@@ -200,6 +200,21 @@ def write_geoparquet(spark, d):
     )
 
 
+@query(
+    "read_geoparquet_box",
+    f"""{V.with_('lines')} SELECT id, x1, y1, x2, y2, least(x1, x2) AS xmin, greatest(y1, y2) AS ymax FROM lines
+    WHERE least(x1, x2) <= 40 AND greatest(x1, x2) >= -60 AND least(y1, y2) <= 35 AND greatest(y1, y2) >= -20""",
+)
+def read_geoparquet_box(spark, d):
+    """Lines whose box meets another, from a clustered layer."""
+    path = V.scratch(spark, "geoparquet_box")
+    sinks.write_geoparquet(V.line_features(spark, d).select("id", "geom"), path, cluster=True)
+    ring = F.col("geom.parts")[0][0]
+    return sinks.read_geoparquet(spark, path, (-60.0, -20.0, 40.0, 35.0)).select(
+        "id", ring[0]["x"].alias("x1"), ring[0]["y"].alias("y1"), ring[1]["x"].alias("x2"), ring[1]["y"].alias("y2"), "bbox.xmin", "bbox.ymax"
+    )
+
+
 @query(
     "write_geojson",
     f"""{V.with_('pts')} SELECT '{{"type":"Feature","properties":{{"id":' || id || ',"name":"' || name || '","segment":' || CASE WHEN id % 4 = 0 THEN 'null' ELSE '"' || segment || '"' END

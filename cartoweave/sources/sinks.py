@@ -20,24 +20,29 @@ from cartoweave.functions.grid import DEFAULT_STEP, lonlat
 from cartoweave.operators.filters import categorise
 from cartoweave.session import ship_package
 
-ROW_GROUP_ROWS = 100_000
+# A row group of a GeoParquet file ends at the first of these.
+ROW_GROUP_ROWS, ROW_GROUP_BYTES = 100_000, 64 << 20
 
 
 def with_bbox(df: DataFrame, geom: str = "geom") -> DataFrame:
     return df.withColumn("bbox", G.extent(geom))
 
 
-def write_clustered(df: DataFrame, path: str, step: float = DEFAULT_STEP, geom: str = "geom", partitions: int | None = None) -> None:
-    """An extract sorted by grid cell, so that a box filter skips row groups. A cell
-    holding much of the data is spread by a second key."""
+def clustered(df: DataFrame, step: float = DEFAULT_STEP, partitions: int | None = None) -> DataFrame:
+    """Rows with a ``bbox`` ranged and sorted by grid cell, so that a box filter skips row
+    groups. A cell holding much of the data is spread by a second key."""
     box = F.col("bbox")
-    boxed = with_bbox(df, geom)
     cell = lonlat(step).cell((box["xmin"] + box["xmax"]) / 2, (box["ymin"] + box["ymax"]) / 2)
-    keyed = boxed.withColumn("_cell", cell).withColumn("_x", box["xmin"])
+    keyed = df.withColumn("_cell", cell).withColumn("_x", box["xmin"])
     keys = ["_cell", "_x"]
     ranged = keyed.repartitionByRange(partitions, *keys) if partitions else keyed.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys).drop(*keys)
+
+
+def write_clustered(df: DataFrame, path: str, step: float = DEFAULT_STEP, geom: str = "geom", partitions: int | None = None) -> None:
+    """An extract sorted by grid cell."""
     (
-        ranged.sortWithinPartitions(*keys).drop(*keys)
+        clustered(with_bbox(df, geom), step, partitions)
         .write.mode("overwrite")
         .option("compression", "zstd").option("parquet.block.size", str(32 * 1024 * 1024))
         .parquet(path)
@@ -472,6 +477,13 @@ class GeoParquetWriter(DataSourceArrowWriter):
 
         fs, root = self._fs()
         name, writer, kinds, bounds = None, None, set(), None
+        held: list[pa.Table] = []
+
+        def flush() -> None:
+            if held:
+                writer.write_table(pa.concat_tables(held), row_group_size=ROW_GROUP_ROWS)
+                held.clear()
+
         try:
             for batch in iterator:
                 if batch.num_rows == 0:
@@ -487,10 +499,15 @@ class GeoParquetWriter(DataSourceArrowWriter):
                     name = f"part-{uuid.uuid4().hex}.parquet"
                     fs.create_dir(f"{root}/{self.pending}", recursive=True)
                     writer = pq.ParquetWriter(f"{root}/{self.pending}/{name}", table.schema, filesystem=fs, compression="zstd", store_schema=False)
-                writer.write_table(table, row_group_size=ROW_GROUP_ROWS)
+                # Batches are smaller than row groups should be.
+                if held and (sum(t.num_rows for t in held) + table.num_rows > ROW_GROUP_ROWS or sum(t.nbytes for t in held) + table.nbytes > ROW_GROUP_BYTES):
+                    flush()
+                held.append(table)
+            flush()
         finally:
             if writer is not None:
-                writer.add_key_value_metadata({"geo": json.dumps(geo_metadata(kinds, bounds))})
+                covered = "bbox" in writer.schema.names
+                writer.add_key_value_metadata({"geo": json.dumps(geo_metadata(kinds, bounds, covered))})
                 writer.close()
         return _Written(name)
 
@@ -516,14 +533,18 @@ class GeoParquetWriter(DataSourceArrowWriter):
             fs.delete_dir(f"{root}/{self.pending}")
 
 
-def geo_metadata(kinds: set[str], bounds: list[float] | None) -> dict:
+def geo_metadata(kinds: set[str], bounds: list[float] | None, covered: bool = False) -> dict:
+    """The ``geo`` key of a file: kinds and bounds of its rows and, if rows have a ``bbox``,
+    where readers find it."""
     column = {
         "encoding": "WKB",
         "geometry_types": sorted(G.GEOJSON_KINDS[k] for k in kinds if k in G.GEOJSON_KINDS),
     }
     if bounds:
         column["bbox"] = bounds
-    return {"version": "1.0.0", "primary_column": "geometry", "columns": {"geometry": column}}
+    if covered:
+        column["covering"] = {"bbox": {c: ["bbox", c] for c in ("xmin", "ymin", "xmax", "ymax")}}
+    return {"version": "1.1.0", "primary_column": "geometry", "columns": {"geometry": column}}
 
 
 class GeoParquetDataSource(DataSource):
@@ -541,9 +562,26 @@ def qualified(spark: SparkSession, path: str) -> str:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
 
 
-def write_geoparquet(df: DataFrame, path: str, geom: str = "geom", mode: str = "overwrite") -> None:
-    """GeoParquet files: WKB ``geometry`` and the ``geo`` footer key."""
+def write_geoparquet(df: DataFrame, path: str, geom: str = "geom", mode: str = "overwrite", cluster: bool = False) -> None:
+    """GeoParquet files: WKB ``geometry``, the box of each row in ``bbox`` and the ``geo``
+    footer key that names both. ``cluster`` sorts by grid cell first, one shuffle more, so
+    that readers of a box skip files and row groups."""
     ship_package(df.sparkSession)
     df.sparkSession.dataSource.register(GeoParquetDataSource)
+    boxed = with_bbox(df, geom)
     target = qualified(df.sparkSession, path)
-    df.write.format("cartoweave_geoparquet").mode(mode).option("geometry", geom).save(target.replace("file:/", "file:///") if target.startswith("file:/") and not target.startswith("file:///") else target)
+    if target.startswith("file:/") and not target.startswith("file:///"):
+        target = target.replace("file:/", "file:///")
+    (clustered(boxed) if cluster else boxed).write.format("cartoweave_geoparquet").mode(mode).option("geometry", geom).save(target)
+
+
+def read_geoparquet(spark: SparkSession, path: str, box: tuple[float, float, float, float] | None = None, target: str = "geom") -> DataFrame:
+    """GeoParquet with its geometry as a struct, for rows whose ``bbox`` meets ``box`` if
+    one is given: the test on the stored box reaches the parquet scan, so only what is left
+    is decoded."""
+    rows = spark.read.parquet(path)
+    if box is not None:
+        west, south, east, north = box
+        b = F.col("bbox")
+        rows = rows.where((b["xmin"] <= east) & (b["xmax"] >= west) & (b["ymin"] <= north) & (b["ymax"] >= south))
+    return decode_wkb(rows, target=target)

@@ -47,6 +47,25 @@ def test_geoparquet_round_trip(spark, tmp_path):
     assert not (tmp_path / "g" / "_pending").exists()
 
 
+def test_geoparquet_box_is_stored_and_reaches_the_scan(spark, tmp_path, capsys):
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "g")
+    spots = spark.range(400).select("id", wkt.from_wkt(F.format_string("LINESTRING (%d %d, %d 3)", F.col("id") % 20, (F.col("id") / 20).cast("int"), F.col("id") % 20 + 1)).alias("geom"))
+    sinks.write_geoparquet(spots.repartition(3), path, cluster=True)
+    for f in (tmp_path / "g").glob("*.parquet"):
+        geo = json.loads(pq.read_schema(f).metadata[b"geo"])
+        own = pq.read_table(f).column("bbox").to_pylist()
+        assert geo["columns"]["geometry"]["covering"]["bbox"]["xmin"] == ["bbox", "xmin"]
+        assert geo["columns"]["geometry"]["bbox"] == [min(b["xmin"] for b in own), min(b["ymin"] for b in own), max(b["xmax"] for b in own), max(b["ymax"] for b in own)]
+    found = sinks.read_geoparquet(spark, path, (5.5, 7.5, 7.0, 9.0))
+    # Boxes run from x to x + 1 and between y and 3.
+    expected = {i for i in range(400) if i % 20 <= 7 and i % 20 + 1 >= 5.5 and min(i // 20, 3) <= 9 and max(i // 20, 3) >= 7.5}
+    assert {r["id"] for r in found.collect()} == expected
+    found.explain("formatted")
+    assert "LessThanOrEqual(bbox.xmin,7.0)" in capsys.readouterr().out
+
+
 def test_kml_documents_are_well_formed(spark, tmp_path):
     import xml.etree.ElementTree as ET
 
