@@ -17,7 +17,10 @@ from collections.abc import Iterable, Sequence
 import numpy as np
 
 NONE = -1
-LONG = 64
+#: Longer words (in bytes) are walked by themselves, so that a batch's table stays small.
+LONG = 1 << 13
+#: Answers remembered for such words.
+MEMO_PAIRS = 1 << 20
 MEMO_BITS = 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -85,6 +88,9 @@ class PrefixTable:
         self._build_trie([(t, strings[t]) for t in np.flatnonzero(usable).tolist() if t not in ended], [(t, strings[t]) for t in ended if usable[t]])
         self._memo_keys = np.full(1 << MEMO_BITS, NONE, np.int64)
         self._memo_ok = np.zeros(1 << MEMO_BITS, bool)
+        self._pairs_met: dict[int, bool] = {}
+        ranks = dict(zip((made[:, 0] << 20 | made[:, 1]).tolist(), made[:, 3].tolist()))
+        self._plain = ranks, self.rank.tolist(), self.left.tolist(), self.right.tolist()
 
     def _build_trie(self, inner: list, final: list) -> None:
         children: dict[int, int] = {}
@@ -106,7 +112,10 @@ class PrefixTable:
         self.final_at[ends[len(inner) :]] = [t for t, _ in final]
         self.ends_words = bool(final)
         self._inner, self._final = {s: t for t, s in inner}, {s: t for t, s in final}
-        self._most = max(map(len, [*self._inner, *self._final]), default=1)
+        # Length of the longest token with these two last bytes.
+        self._reach: dict[bytes, int] = {}
+        for text in [*self._inner, *self._final]:
+            self._reach[text[-2:]] = max(self._reach.get(text[-2:], 1), len(text))
 
     def _may_meet(self, a: np.ndarray, b: np.ndarray, limit: np.ndarray | None = None) -> np.ndarray:
         """Whether each ``a, b`` stay apart when all merges up to ``limit`` are done.
@@ -141,6 +150,30 @@ class PrefixTable:
             self._memo_keys[slots[new]], self._memo_ok[slots[new]] = keys[new], out[new]
         return out
 
+    def _follows(self, a: int, b: int) -> bool:
+        """``may_follow`` of one pair, without arrays."""
+        key = a << 20 | b
+        found = self._pairs_met.get(key)
+        if found is None:
+            if len(self._pairs_met) >= MEMO_PAIRS:
+                self._pairs_met.clear()
+            found = self._pairs_met[key] = self._meet_once(a, b)
+        return found
+
+    def _meet_once(self, a: int, b: int) -> bool:
+        rank_of, rank, left, right = self._plain
+        limit = 1 << 62
+        while True:
+            border = rank_of.get(a << 20 | b)
+            if border is not None and 2 * border < limit:
+                return False
+            if rank[a] > rank[b]:
+                limit, a = 2 * rank[a], right[a]
+            elif rank[b] != NONE:
+                limit, b = 2 * rank[b] + 1, left[b]
+            else:
+                return True
+
     def fill(self, words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """``starts, sizes, last, count``: word ``i`` owns the slots ``starts[i]`` to
         ``starts[i] + sizes[i]``, one per prefix, the last holding its whole encoding."""
@@ -193,14 +226,15 @@ class PrefixTable:
         n = len(word)
         last, count, ended = [NONE] * (n + 1), [0] * (n + 1), [0] * (n + 1)
         for end in range(1, n + 1):
+            reach = self._reach.get(word[max(0, end - 2) : end], 1)
             for table, wanted in ((self._final, self.ends_words and (every_end or end == n)), (self._inner, not self.ends_words or end < n)):
                 if not wanted:
                     continue
-                for begin in range(max(0, end - self._most), end):
+                for begin in range(max(0, end - reach), end):
                     if begin and last[begin] == NONE:
                         continue
                     token = table.get(word[begin:end])
-                    if token is not None and (not begin or self.may_follow(np.array([last[begin]]), np.array([token]))[0]):
+                    if token is not None and (not begin or self._follows(last[begin], token)):
                         if table is self._final:
                             ended[end] = count[begin] + 1
                         if table is self._inner or end == n:
