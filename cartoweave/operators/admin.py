@@ -156,14 +156,14 @@ def build_lookup(
         index = S.build_index(polys, keys, step)
         cells = index.rows.groupBy("level", "cell").agg(
             F.min(F.when(F.col("owned"), F.struct("pcode", "name"))).alias("owner"),
-            F.sum(F.coalesce(F.size("edges"), F.lit(0))).alias("n_edges"),
-            F.max("pieces").alias("pieces"),
+            F.sum("n_edges").alias("n_edges"),
+            F.max("fine").alias("fine"),
         )
         if mode == STRICT:
             # Only a cell without edges is the same polygon's all over.
             cells = cells.withColumn("owner", F.when(F.col("n_edges") == 0, F.col("owner")))
         cells = cells.withColumn(
-            "busy", F.expr(f"owner IS NULL AND (pieces > 1 OR n_edges > {int(max_cell_edges)})")
+            "busy", F.expr(f"owner IS NULL AND (fine OR n_edges > {int(max_cell_edges)})")
         )
         open_cells = cells.where("owner IS NULL AND NOT busy").select("level", "cell")
         candidates = (

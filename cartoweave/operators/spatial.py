@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,10 +21,14 @@ from cartoweave.functions import geom as G
 from cartoweave.functions.grid import DEFAULT_STEP, Grid, lat_of, lonlat, lon_of, mercator_x, mercator_y, metres
 from cartoweave.session import measured, measured_with
 
-# Most edges one index row carries. A cell holding more of one polygon is spread
-# over several rows, whose parities are added up per point.
+# Most edges one index row carries, and most that a cell holds of all polygons before it
+# is cut into finer ones. A fine cell holding more of one polygon is spread over several
+# rows, whose parities are added up per point.
 EDGES_PER_ROW = 512
 
+# Fine rows may exceed the edges they come from by this factor each way.
+FINE_GROWTH = 8.0
+
 # Slack around cells when edges are assigned to them, in units of the plane.
 PAD = 1e-9
 
@@ -124,27 +129,44 @@ def _flip_count(edges: Column, x: Column, y: Column, right: Column) -> Column:
     )
 
 
+@dataclass(frozen=True)
+class FineCells:
+    """Cells crowded with edges, cut into ``nx`` by ``ny`` finer ones.
+
+    ``cells``: (cell, nx, ny). ``rows``: (keys..., cell, sub, right, base, edges), where
+    ``sub`` numbers the fine cells of a cell row by row and ``right`` is the side the
+    parity is told from. A polygon with very many edges in a fine cell has several rows.
+    """
+
+    cells: DataFrame
+    rows: DataFrame
+
+
 @dataclass(frozen=True)
 class CellIndex:
-    """``rows``: (keys..., cell, piece, pieces, owned, base, edges).
+    """``rows``: (keys..., cell, fine, owned, base, n_edges, edges).
 
     ``owned`` says the cell centre is inside. ``base`` is the parity before the
-    listed edges are counted. ``edges`` is NULL where no edge touches the cell.
-    ``crowded`` says that some cell takes more than one row of a polygon.
+    listed edges are counted. ``edges`` is NULL where no edge touches the cell, and in
+    cells that are ``fine``: more edges than one row carries touch them, and what lies
+    there is told by ``crowded``, which is None if there is no such cell.
     """
 
     grid: Grid
     keys: tuple[str, ...]
     rows: DataFrame
-    crowded: bool
+    crowded: FineCells | None
 
     def release(self) -> None:
         self.rows.unpersist()
+        if self.crowded:
+            self.crowded.rows.unpersist()
+            self.crowded.cells.unpersist()
 
-    def parity(self, x: Column, y: Column, edges: Column | None = None, base: Column | None = None):
+    def parity(self, x: Column, y: Column, edges: Column | None = None, base: Column | None = None, right: Column | None = None):
         edges = F.col("edges") if edges is None else edges
         base = F.col("base") if base is None else base
-        right = self.grid.right_x(self.grid.col(x)) + F.lit(PAD)
+        right = self.grid.right_x(self.grid.col(x)) + F.lit(PAD) if right is None else right
         return (base + _flip_count(edges, x, y, right)) % 2
 
 
@@ -159,45 +181,182 @@ def build_index(
     edges = polygon_edges(polys, keys, geom)
     inside = _cover(edges, keys, grid)
     border = edge_cells(edges, grid)
-    # Cells crowded with edges of one polygon are few; only those are spread out.
-    crowded = (
-        border.groupBy(*keys, "cell")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > edges_per_row)
-        .select(*keys, "cell", F.ceil(F.col("n") / edges_per_row).cast("bigint").alias("pieces"))
-    )
+    # Cells crowded with edges are few; only those are cut.
+    crowded = _crowded_cells(border, keys, grid, edges_per_row)
     edge = F.struct("x1", "y1", "x2", "y2")
-    touched = border.select(*keys, "cell", F.lit(0).alias("inside"), edge.alias("edge")).unionByName(
+    row, col = grid.row_of(F.col("cell")), grid.col_of(F.col("cell"))
+    at_centre = _flips(F.col("edge"), grid.centre_x(col), grid.centre_y(row), grid.right_x(col) + F.lit(PAD))
+    touched = border.select(*keys, "cell", F.lit(0).alias("inside"), edge.alias("edge"))
+    touched = touched.withColumn("flips", at_centre).unionByName(
         inside.select(
-            *keys, "cell", F.lit(1).alias("inside"), F.lit(None).cast(G.EDGE_TYPE).alias("edge")
+            *keys, "cell", F.lit(1).alias("inside"), F.lit(None).cast(G.EDGE_TYPE).alias("edge"), F.lit(0).alias("flips")
         )
     )
-    pieces = F.coalesce("pieces", F.lit(1))
-    piece = F.when(F.col("edge").isNull(), 0).otherwise(F.pmod(F.xxhash64("edge"), pieces))
-    row, col = grid.row_of(F.col("cell")), grid.col_of(F.col("cell"))
-    at_centre = _flip_count(
-        F.col("edges"), grid.centre_x(col), grid.centre_y(row), grid.right_x(col) + F.lit(PAD)
-    )
     rows = (
-        touched.join(crowded, [*keys, "cell"], "left")
-        .withColumn("piece", piece.cast("int"))
-        .withColumn("pieces", pieces)
-        .groupBy(*keys, "cell", "piece")
+        touched.join(crowded.select("cell", F.lit(True).alias("fine")), "cell", "left")
+        .withColumn("listed", F.when(F.col("fine").isNull(), F.col("edge")))
+        .groupBy(*keys, "cell")
         .agg(
             F.max("inside").alias("inside"),
-            F.max("pieces").alias("pieces"),
-            F.collect_list("edge").alias("edges"),
+            F.sum("flips").alias("flips"),
+            F.count("edge").alias("n_edges"),
+            F.coalesce(F.max("fine"), F.lit(False)).alias("fine"),
+            F.collect_list("listed").alias("edges"),
         )
         .withColumn("edges", F.expr("nullif(edges, cast(array() as array<" + G.EDGE_TYPE + ">))"))
         .select(
-            *keys, "cell", "piece", "pieces",
+            *keys, "cell", "fine",
             (F.col("inside") == 1).alias("owned"),
-            ((F.col("inside") + at_centre) % 2).cast("int").alias("base"),
-            "edges",
+            ((F.col("inside") + F.col("flips")) % 2).cast("int").alias("base"),
+            "n_edges", "edges",
         )
     )
-    kept, facts = measured_with(rows, F.max("pieces").alias("pieces"))
-    return CellIndex(grid, tuple(keys), kept, (facts["pieces"] or 1) > 1)
+    kept, facts = measured_with(rows, F.max("fine").alias("fine"))
+    fine = _fine_cells(border, kept, crowded, keys, grid, edges_per_row) if facts["fine"] else None
+    return CellIndex(grid, tuple(keys), kept, fine)
+
+
+def _crowded_cells(border: DataFrame, keys: Sequence[str], grid: Grid, edges_per_row: int) -> DataFrame:
+    """``(cell, nx, ny)`` of cells with more edges than one row carries. Fine cells hold
+    about a quarter of that; they are narrow where edges are steep and flat where edges
+    are, fewer where polygons overlap, and never so small that an edge passes many."""
+    row, col = grid.row_of(F.col("cell")), grid.col_of(F.col("cell"))
+
+    def share(lo: Column, hi: Column, centre: Column) -> Column:
+        half = F.lit(grid.step / 2)
+        return F.greatest(F.lit(0.0), F.least(hi, centre + half) - F.greatest(lo, centre - half)) / F.lit(grid.step)
+
+    wide = share(F.least("x1", "x2"), F.greatest("x1", "x2"), grid.centre_x(col))
+    high = share(F.least("y1", "y2"), F.greatest("y1", "y2"), grid.centre_y(row))
+    per_polygon = border.groupBy(*keys, "cell").agg(F.count("*").alias("n"), F.sum(wide).alias("w"), F.sum(high).alias("h"))
+    cells = per_polygon.groupBy("cell").agg(
+        F.sum("n").alias("n"), F.count("*").alias("p"), (F.sum("w") / F.sum("n")).alias("w"), (F.sum("h") / F.sum("n")).alias("h")
+    )
+    wanted = F.greatest(F.lit(1.0), F.least(F.col("n") / max(edges_per_row / 4, 1.0), 4 * F.col("n") / F.col("p")))
+    most = lambda share: F.greatest(F.lit(1.0), F.when(F.col(share) > 0, FINE_GROWTH / F.col(share)).otherwise(wanted))
+    even = F.when(F.col("h") > 0, F.sqrt(wanted * F.col("w") / F.col("h"))).otherwise(wanted)
+    ny = F.floor(F.greatest(F.lit(1.0), F.least(even, wanted, most("h"))))
+    nx = F.greatest(F.lit(1), F.floor(F.least(F.ceil(wanted / F.col("ny")), most("w"))))
+    return cells.where(F.col("n") > edges_per_row).withColumn("ny", ny.cast("bigint")).select("cell", nx.cast("bigint").alias("nx"), "ny")
+
+
+class _Fine:
+    """Column arithmetic of fine cells, from ``cell``, ``nx`` and ``ny`` of a row."""
+
+    def __init__(self, grid: Grid):
+        half = F.lit(grid.step / 2)
+        self.left = grid.centre_x(grid.col_of(F.col("cell"))) - half
+        self.low = grid.centre_y(grid.row_of(F.col("cell"))) - half
+        self.width, self.height = F.lit(grid.step) / F.col("nx"), F.lit(grid.step) / F.col("ny")
+
+    def raw_col(self, x: Column) -> Column:
+        return F.floor((x - self.left) / self.width).cast("bigint")
+
+    def raw_row(self, y: Column) -> Column:
+        return F.floor((y - self.low) / self.height).cast("bigint")
+
+    def sub(self, x: Column, y: Column) -> Column:
+        col = F.greatest(F.lit(0), F.least(self.raw_col(x), F.col("nx") - 1))
+        row = F.greatest(F.lit(0), F.least(self.raw_row(y), F.col("ny") - 1))
+        return (row * F.col("nx") + col).cast("bigint")
+
+    def centre_x(self, col: Column) -> Column:
+        return self.left + (col.cast("double") + F.lit(0.5)) * self.width
+
+    def centre_y(self, row: Column) -> Column:
+        return self.low + (row.cast("double") + F.lit(0.5)) * self.height
+
+    def right_x(self, col: Column) -> Column:
+        return self.left + (col.cast("double") + F.lit(1.0)) * self.width
+
+    def rows_of(self, lo: Column, hi: Column) -> Column:
+        return self._within(self.raw_row(lo), self.raw_row(hi), F.col("ny"))
+
+    def cols_of(self, lo: Column, hi: Column) -> Column:
+        return self._within(self.raw_col(lo), self.raw_col(hi), F.col("nx"))
+
+    @staticmethod
+    def _within(first: Column, last: Column, n: Column) -> Column:
+        """What lies in the cell of a range, NULL if nothing does."""
+        first, last = F.greatest(first, F.lit(0)), F.least(last, n - 1)
+        return F.when(first <= last, F.sequence(first, last))
+
+
+def _fine_edge_cells(edges: DataFrame, grid: Grid) -> DataFrame:
+    """Adds ``sub``: rows with ``cell``, ``nx`` and ``ny`` once per fine cell the edge
+    passes through or comes close to."""
+    fine, pad = _Fine(grid), F.lit(PAD)
+    cut = edges.withColumn("_row", F.explode(fine.rows_of(F.least("y1", "y2") - pad, F.greatest("y1", "y2") + pad)))
+    half = fine.height / 2 + pad
+
+    def x_at(y: Column) -> Column:
+        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (y - F.col("y1")) / (F.col("y2") - F.col("y1"))))
+        return F.col("x1") + t * (F.col("x2") - F.col("x1"))
+
+    flat = F.col("y1") == F.col("y2")
+    middle = fine.centre_y(F.col("_row"))
+    xa = F.when(flat, F.col("x1")).otherwise(x_at(middle - half))
+    xb = F.when(flat, F.col("x2")).otherwise(x_at(middle + half))
+    cols = fine.cols_of(F.least(xa, xb) - pad, F.greatest(xa, xb) + pad)
+    return cut.withColumn("_col", F.explode(cols)).withColumn("sub", F.col("_row") * F.col("nx") + F.col("_col")).drop("_row", "_col")
+
+
+def _fine_cover(edges: DataFrame, rows: DataFrame, keys: Sequence[str], grid: Grid) -> DataFrame:
+    """``(keys..., cell, nx, ny, sub)``: fine cells whose centre is inside. Their parity
+    differs from ``base`` by the edges right of the centre that its row crosses, and by
+    those that leave the cell on the right and end above. So each of these changes all
+    centres left of some place, and what is inside between two places is one run."""
+    fine = _Fine(grid)
+    where = [*keys, "cell", "nx", "ny"]
+    right = grid.right_x(grid.col_of(F.col("cell"))) + F.lit(PAD)
+    yc = fine.centre_y(F.col("row"))
+    crossing = edges.withColumn("row", F.explode(fine.rows_of(F.least("y1", "y2"), F.greatest("y1", "y2")))).withColumn("yc", yc)
+    crossing = crossing.where("(y1 > yc) <> (y2 > yc)").withColumn("xc", F.expr("(x2 - x1) * (yc - y1) / (y2 - y1) + x1"))
+    # Centres left of the crossing, by the comparison that the parity makes.
+    near = F.greatest(F.lit(0), F.least(F.col("nx"), F.ceil((F.col("xc") - fine.left) / fine.width - 0.5))).cast("bigint")
+    at = F.col("at")
+    exact = F.when((at > 0) & ~(fine.centre_x(at - 1) < F.col("xc")), at - 1).when((at < F.col("nx")) & (fine.centre_x(at) < F.col("xc")), at + 1).otherwise(at)
+    crossing = crossing.withColumn("at", near).select(*where, "row", exact.alias("at"), F.lit(1).alias("n"))
+    every_row = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("ny") - 1))
+    leaving = edges.where((F.col("x1") > right) != (F.col("x2") > right)).withColumn("outer", F.when(F.col("x1") > right, F.col("y1")).otherwise(F.col("y2")))
+    leaving = leaving.withColumn("row", every_row).where(F.col("outer") > yc).select(*where, "row", F.col("nx").alias("at"), F.lit(1).alias("n"))
+    from_base = rows.select(*where, "base").withColumn("row", every_row).select(*where, "row", F.col("nx").alias("at"), F.col("base").alias("n"))
+    turns = crossing.unionByName(leaving).unionByName(from_base).groupBy(*where, "row", "at").agg(F.sum("n").alias("n"))
+    along = Window.partitionBy(*where, "row").orderBy(F.desc("at"))
+    runs = turns.withColumn("odd", F.sum("n").over(along) % 2 == 1).withColumn("to", F.coalesce(F.lead("at").over(along), F.lit(0)))
+    cols = F.explode(F.sequence(F.col("to"), F.col("at") - 1))
+    return runs.where("odd AND to < at").withColumn("_col", cols).select(*where, (F.col("row") * F.col("nx") + F.col("_col")).alias("sub"))
+
+
+def _fine_cells(border: DataFrame, rows: DataFrame, crowded: DataFrame, keys: Sequence[str], grid: Grid, edges_per_row: int) -> FineCells:
+    cells = measured(crowded)
+    edges = border.join(cells, "cell").persist(StorageLevel.MEMORY_AND_DISK)
+    where = [*keys, "cell", "nx", "ny", "sub"]
+    inside = _fine_cover(edges, rows.where("fine").join(cells, "cell"), keys, grid)
+    border = _fine_edge_cells(edges, grid)
+    spread = (
+        border.groupBy(*where).agg(F.count("*").alias("n")).where(F.col("n") > edges_per_row)
+        .select(*where, F.ceil(F.col("n") / edges_per_row).cast("bigint").alias("pieces"))
+    )
+    fine = _Fine(grid)
+    col, row = F.col("sub") % F.col("nx"), F.floor(F.col("sub") / F.col("nx"))
+    right = fine.right_x(col) + F.lit(PAD)
+    edge = F.struct("x1", "y1", "x2", "y2")
+    touched = border.select(*where, F.lit(0).alias("inside"), edge.alias("edge"))
+    touched = touched.withColumn("flips", _flips(F.col("edge"), fine.centre_x(col), fine.centre_y(row), right))
+    touched = touched.unionByName(
+        inside.select(*where, F.lit(1).alias("inside"), F.lit(None).cast(G.EDGE_TYPE).alias("edge"), F.lit(0).alias("flips"))
+    )
+    piece = F.when(F.col("edge").isNull(), 0).otherwise(F.pmod(F.xxhash64("edge"), F.coalesce("pieces", F.lit(1))))
+    listed = (
+        touched.join(spread, where, "left")
+        .groupBy(*where, piece.cast("int").alias("piece"))
+        .agg((F.max("inside") + F.sum("flips")).alias("base"), F.collect_list("edge").alias("edges"))
+        .select(*keys, "cell", "sub", right.alias("right"), (F.col("base") % 2).cast("int").alias("base"), "edges")
+    )
+    kept = measured(listed)
+    edges.unpersist()
+    return FineCells(cells, kept)
 
 
 def boundary_index(boundary: DataFrame, step: float = DEFAULT_STEP, geom: str = "geom", keys: Sequence[str] = ()) -> CellIndex:
@@ -228,7 +387,7 @@ def pip_pairs(
     located = points.select(*same, *ids, *place, index.grid.cell(F.col(x), F.col(y)).alias("cell"))
     out = [*same, *ids, *keys]
     holds = index.parity(F.col(x), F.col(y)) == 1
-    whole = located.join(index.rows.where("pieces = 1"), ["cell", *same]).where(holds).select(*out)
+    whole = located.join(index.rows.where("NOT fine"), ["cell", *same]).where(holds).select(*out)
     if not index.crowded:
         return whole
     spread = crowded_pairs(located.select(*same, x, y), index, x, y, same)
@@ -237,13 +396,14 @@ def pip_pairs(
 
 def crowded_pairs(points: DataFrame, index: CellIndex, x: str = "x", y: str = "y", same: Sequence[str] = ()) -> DataFrame:
     """``(same..., x, y, keys...)``: places in crowded cells and the polygons that hold
-    them, each once. Whether a polygon holds a place depends on the place alone, so the
+    them, each once, found by the fine cell of the place. Whether a polygon holds a place depends on the place alone, so the
     parities are added up per place, and every row at it takes part in what was found."""
     keys = [k for k in index.keys if k not in same]
     places = points.select(*same, x, y).distinct().withColumn("cell", index.grid.cell(F.col(x), F.col(y)))
+    fine = places.join(index.crowded.cells, "cell").withColumn("sub", _Fine(index.grid).sub(F.col(x), F.col(y)))
     return (
-        places.join(index.rows.where("pieces > 1"), ["cell", *same])
-        .withColumn("_p", index.parity(F.col(x), F.col(y)))
+        fine.join(index.crowded.rows, ["cell", "sub", *same])
+        .withColumn("_p", index.parity(F.col(x), F.col(y), right=F.col("right")))
         .groupBy(*same, x, y, *keys)
         .agg(F.sum("_p").alias("_n"))
         .where("_n % 2 = 1")
@@ -273,7 +433,7 @@ def points_within(
     """
     px, py = F.col(x), F.col(y)
     located = points.withColumn("_cell", boundary.grid.cell(px, py))
-    light = boundary.rows.where("pieces = 1").select("cell", "base", "edges")
+    light = boundary.rows.where("NOT fine").select("cell", "base", "edges")
     on = (F.col("_cell") == F.col("cell")) & (boundary.parity(px, py) == 1)
     if not boundary.crowded:
         return located.join(light, on, "left_semi").drop("_cell")
@@ -289,8 +449,8 @@ def points_within(
 
 
 def crowded_cells(index: CellIndex) -> DataFrame:
-    """``_cell``: cells in which some polygon has more edges than one row lists."""
-    return index.rows.where("pieces > 1").select(F.col("cell").alias("_cell")).distinct()
+    """``_cell``: cells that hold more edges than one row lists."""
+    return index.crowded.cells.select(F.col("cell").alias("_cell"))
 
 
 def intersects_boundary(
@@ -313,7 +473,7 @@ def intersects_boundary(
     index = boundary_index(boundary, step, boundary_geom)
     rings = boundary.select(F.explode(F.flatten(G.as_col(boundary_geom)["parts"])).alias("r"))
     located = features.withColumn("_cell", _single_cell(geom, index.grid))
-    single = index.rows.where("pieces = 1").select("cell", "base", "edges")
+    single = index.rows.where("NOT fine").select("cell", "base", "edges")
     on = (F.col("_cell") == F.col("cell")) & _meets_cell(F.col(geom), index, F.col("edges"), F.col("base"))
     far = located.where("_cell IS NULL")
     settled = located
@@ -339,7 +499,7 @@ def assign_areas(
     rings = areas.select(*keys, F.explode(F.flatten(F.col("geom")["parts"])).alias("r"))
     located = features.withColumn("_cell", _single_cell(geom, index.grid))
     # What areas have in a cell is bounded by their number and the edges a row lists.
-    listed = index.rows.where("pieces = 1").groupBy(F.col("cell").alias("_cell")).agg(
+    listed = index.rows.where("NOT fine").groupBy(F.col("cell").alias("_cell")).agg(
         F.collect_list(F.struct(F.struct(*keys).alias("area"), "base", "edges")).alias("_areas")
     )
     far = located.where("_cell IS NULL")
@@ -397,10 +557,13 @@ def _touching(features, rings, index, keys, id_col, geom, coarse_step):
     parts = features.select(id_col, F.explode(F.when(apart, begins).otherwise(F.concat(begins, segments))).alias("e")).select(id_col, "e.*")
     grid = index.grid
     own = F.struct("x1", "y1", "x2", "y2")
-    inside = (F.col("pieces") == 1) & (F.col("cell") == grid.cell(F.col("x1"), F.col("y1"))) & (index.parity(F.col("x1"), F.col("y1")) == 1)
+    inside = (F.col("cell") == grid.cell(F.col("x1"), F.col("y1"))) & (index.parity(F.col("x1"), F.col("y1")) == 1)
     meets = F.coalesce(F.exists("edges", lambda b: G.segments_meet(own, b)), F.lit(False))
-    hits = edge_cells(parts, grid).join(index.rows, "cell").where(F.when(F.col("start"), inside).otherwise(meets)).select(id_col, *keys)
+    spread = edge_cells(parts, grid)
+    hits = spread.join(index.rows.where("NOT fine"), "cell").where(F.when(F.col("start"), inside).otherwise(meets)).select(id_col, *keys)
     if index.crowded:
+        finer = _fine_edge_cells(spread.where("NOT start").join(index.crowded.cells, "cell"), grid)
+        hits = hits.unionByName(finer.join(index.crowded.rows, ["cell", "sub"]).where(meets).select(id_col, *keys))
         starts = parts.where("start").select(id_col, F.col("x1").alias("_x"), F.col("y1").alias("_y"))
         places = crowded_pairs(starts, index, "_x", "_y")
         hits = hits.unionByName(starts.join(places, ["_x", "_y"]).select(id_col, *keys))
