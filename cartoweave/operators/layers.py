@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cartoweave.functions import geom as G
 from cartoweave.functions import tiles as TL
 from cartoweave.operators.report import source_rank
-from cartoweave.session import staged
+from cartoweave.session import staged, tasks
 
 
 def merge_layers(layers: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
@@ -40,19 +40,22 @@ def tile_pyramid(df: DataFrame, min_zoom: int = 0, max_zoom: int = 12, geom: str
     a large area costs its outline. ``expand`` lists those descendants as rows too. Every
     level is staged, since the next one starts from it."""
     columns = [c for c in df.columns if c != geom]
-    located = df.where(F.size(G.as_col(geom)["parts"]) > 0).select(*columns, G.as_col(geom)["kind"].alias("_kind"), TL.unit_parts(G.as_col(geom)).alias("_parts"))
+    # A small file of features makes many tiles: they are dealt out before they are cut.
+    spread = df.where(F.size(G.as_col(geom)["parts"]) > 0).repartition(tasks(df.sparkSession))
+    located = spread.select(*columns, G.as_col(geom)["kind"].alias("_kind"), TL.unit_parts(G.as_col(geom)).alias("_parts"))
     apart = F.endswith("_kind", F.lit("POINT"))
     levels = [_point_tiles(located.where(apart), columns, min_zoom, max_zoom)]
     now = _cut_to(_first_tiles(located.where(~apart), min_zoom))
     for zoom in range(min_zoom, max_zoom + 1):
         now = staged(now)
-        levels.append(now)
+        levels.append(now.drop("_box"))
         if zoom == max_zoom or now.where("NOT full").isEmpty():
             break
         # Children are numbered from twice their parent's place on.
         corner = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (0, 1) for dy in (0, 1)]))
         split = now.where("NOT full").withColumn("_c", corner).withColumn("z", F.col("z") + 1)
-        now = _cut_to(split.withColumn("x", 2 * F.col("x") + F.col("_c.dx")).withColumn("y", 2 * F.col("y") + F.col("_c.dy")).drop("_c", "full"))
+        split = split.withColumn("x", 2 * F.col("x") + F.col("_c.dx")).withColumn("y", 2 * F.col("y") + F.col("_c.dy")).drop("_c", "full")
+        now = _cut_children(split)
     every = reduce(DataFrame.unionByName, levels)
     if expand:
         every = _expanded(every, max_zoom)
@@ -68,28 +71,47 @@ def _borders(zoom: Column, x: Column, y: Column) -> tuple[Column, Column, Column
 
 
 def _cut_to(rows: DataFrame) -> DataFrame:
-    """Rows whose parts reach their tile, cut to it, with ``full``. The cut is made once:
-    a filter on it would be pushed below and cut again."""
+    """Rows whose parts reach their tile, cut to it, with ``full`` and the box of what is
+    left. The cut is made once: a filter on it would be pushed below and cut again."""
+    return rows.select(*[c for c in rows.columns if c != "_parts"], F.inline(_cut()))
+
+
+def _cut() -> Column:
     x0, x1, y0, y1 = box = _borders(F.col("z"), F.col("x"), F.col("y"))
     kind = F.col("_kind")
-    cut = F.transform(F.array(TL.cut_parts(kind, F.col("_parts"), *box)), lambda p: F.struct(p.alias("_parts"), TL.fills(kind, p, *box).alias("full")))
-    held = F.filter(cut, lambda c: TL.reaches(c["_parts"], x1, y1))
-    return rows.select(*[c for c in rows.columns if c != "_parts"], F.inline(held))
+    cut = F.transform(F.array(TL.cut_parts(kind, F.col("_parts"), *box)), lambda p: F.struct(p.alias("_parts"), TL.fills(kind, p, *box).alias("full"), _box_of(p).alias("_box")))
+    return F.filter(cut, lambda c: TL.reaches(c["_parts"], x1, y1))
 
 
-def _first_tiles(rows: DataFrame, zoom: int) -> DataFrame:
-    """Features with the tiles of the first zoom that their boxes touch."""
-    n = F.lit(float(1 << zoom))
-    last = F.lit((1 << zoom) - 1).cast("bigint")
-    box = G.once(F.flatten(F.flatten("_parts")), lambda v: F.struct(
+def _cut_children(rows: DataFrame) -> DataFrame:
+    """``_cut_to`` for what was cut to the parent tiles, ``_box`` around it: children that
+    the box does not reach are left out, and what lies in one child is not cut again."""
+    x0, x1, y0, y1 = _borders(F.col("z"), F.col("x"), F.col("y"))
+    b = F.col("_box")
+    near = rows.where((b["x1"] >= x0) & ((b["x0"] < x1) | (x1 >= 1.0)) & (b["y1"] >= y0) & ((b["y0"] < y1) | (y1 >= 1.0)))
+    within = (b["x0"] >= x0) & (b["x1"] <= x1) & (b["y0"] >= y0) & (b["y1"] <= y1)
+    # A part as large as the tile may fill it, or be its hole.
+    smaller = (b["x1"] - b["x0"] < x1 - x0) | (b["y1"] - b["y0"] < y1 - y0)
+    same = F.array(F.struct(F.col("_parts"), F.lit(False).alias("full"), b.alias("_box")))
+    held = F.when(within & smaller, same).otherwise(_cut())
+    return near.select(*[c for c in rows.columns if c not in ("_parts", "_box")], F.inline(held))
+
+
+def _box_of(parts: Column) -> Column:
+    return G.once(F.flatten(F.flatten(parts)), lambda v: F.struct(
         F.array_min(F.transform(v, lambda p: p["x"])).alias("x0"), F.array_max(F.transform(v, lambda p: p["x"])).alias("x1"),
         F.array_min(F.transform(v, lambda p: p["y"])).alias("y0"), F.array_max(F.transform(v, lambda p: p["y"])).alias("y1"),
     ))
 
+
+def _first_tiles(rows: DataFrame, zoom: int) -> DataFrame:
+    """Features with the tiles of the first zoom that their boxes touch."""
+    n = F.lit(float(1 << zoom))
+    last = F.lit((1 << zoom) - 1).cast("bigint")
     def place(c: str) -> Column:
         return F.least(F.floor(F.col(f"_b.{c}") * n).cast("bigint"), last)
 
-    spread = rows.withColumn("_b", box).withColumn("z", F.lit(zoom)).withColumn("x", F.explode(F.sequence(place("x0"), place("x1"))))
+    spread = rows.withColumn("_b", _box_of(F.col("_parts"))).withColumn("z", F.lit(zoom)).withColumn("x", F.explode(F.sequence(place("x0"), place("x1"))))
     return spread.withColumn("y", F.explode(F.sequence(place("y0"), place("y1")))).drop("_b")
 
 

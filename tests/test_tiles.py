@@ -164,3 +164,17 @@ def test_areas_crowded_with_edges(spark):
     close = {(i, 0) for i, x, y in points if 2.999 <= math.dist((x, y), (5, 5)) <= 3}
     got = [(x.id, x.k) for x in S.assign_areas(features, areas, ["k"], "id", 20.0).collect()]
     assert len(got) == len(set(got)) and set(got) - close == want
+
+
+def test_children_out_of_reach_are_not_cut(spark):
+    """Of a parent's four children only those its box reaches are tried, and what lies
+    inside one child comes out as it is; cutting every child gives the same."""
+    ring = [(0.26, 0.26), (0.3, 0.26), (0.3, 0.3), (0.26, 0.3), (0.26, 0.26)]
+    wide = [(0.4, 0.4), (0.6, 0.4), (0.6, 0.6), (0.4, 0.6), (0.4, 0.4)]
+    rows = spark.createDataFrame([(k, "POLYGON", [[[{"x": x, "y": y} for x, y in r]]]) for k, r in enumerate((ring, wide))], f"id int, _kind string, _parts {G.PARTS_TYPE}")
+    tiles = L._cut_to(L._first_tiles(rows, 0))
+    corner = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (0, 1) for dy in (0, 1)]))
+    split = tiles.withColumn("_c", corner).withColumn("z", F.col("z") + 1).withColumn("x", F.col("_c.dx").cast("bigint")).withColumn("y", F.col("_c.dy").cast("bigint")).drop("_c", "full")
+    found = {(r.id, r.x, r.y): r for r in L._cut_children(split).collect()}
+    assert set(found) == {(r.id, r.x, r.y) for r in L._cut_to(split.drop("_box")).collect()} == {(0, 0, 0)} | {(1, x, y) for x in (0, 1) for y in (0, 1)}
+    assert found[0, 0, 0]._parts == tiles.where("id = 0").first()._parts
