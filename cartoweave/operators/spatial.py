@@ -470,6 +470,13 @@ def intersects_boundary(
     test, and are not shuffled when the index is small. The others are spread over
     the cells they touch and come back by id.
     """
+    near, far, ids = _sharing(features, boundary, id_col, step, geom, boundary_geom, coarse_step)
+    return near.unionByName(far.join(ids.distinct(), id_col, "left_semi").select(*near.columns))
+
+
+def _sharing(features, boundary, id_col, step, geom, boundary_geom="geom", coarse_step=5.0):
+    """Features settled by their cell, the others, and ids of those among the others that
+    share a point with the boundary, some more than once."""
     index = boundary_index(boundary, step, boundary_geom)
     rings = boundary.select(F.explode(F.flatten(G.as_col(boundary_geom)["parts"])).alias("r"))
     located = features.withColumn("_cell", _single_cell(geom, index.grid))
@@ -484,8 +491,7 @@ def intersects_boundary(
         far = far.unionByName(located.join(crowded, "_cell", "left_semi").select(*far.columns))
     near = settled.join(single, on, "left_semi").drop("_cell").select(*features.columns)
     far = far.drop("_cell").select(*features.columns)
-    ids = _touching(far, rings, index, (), id_col, geom, coarse_step)
-    return near.unionByName(far.join(ids, id_col, "left_semi").select(*near.columns))
+    return near, far, _touching(far, rings, index, (), id_col, geom, coarse_step)
 
 
 def assign_areas(
@@ -513,7 +519,7 @@ def assign_areas(
     columns = [*features.columns, *keys]
     near = near.select(*features.columns, *[F.col(f"_area.{k}").alias(k) for k in keys])
     far = far.select(*features.columns)
-    pairs = _touching(far, rings, index, keys, id_col, geom, coarse_step)
+    pairs = _touching(far, rings, index, keys, id_col, geom, coarse_step).distinct()
     return near.unionByName(far.join(pairs, id_col).select(*columns))
 
 
@@ -545,7 +551,7 @@ def _meets_cell(geom: Column, index: CellIndex, edges: Column, base: Column) ->
 
 
 def _touching(features, rings, index, keys, id_col, geom, coarse_step):
-    """``(id, keys...)``, each pair once. Features are taken apart once, into segments and
+    """``(id, keys...)``, some pairs more than once. Features are taken apart once, into segments and
     the starts of their parts, which meet the index in one join; geometries stay behind."""
 
     def piece(x1, y1, x2, y2, start):
@@ -569,7 +575,7 @@ def _touching(features, rings, index, keys, id_col, geom, coarse_step):
         hits = hits.unionByName(starts.join(places, ["_x", "_y"]).select(id_col, *keys))
     areas = features.where(F.endswith(G.kind(geom), F.lit("POLYGON"))).select(id_col, F.col(geom).alias("geom"))
     holding = _holding(areas, rings, grid.step, keys, id_col, coarse_step)
-    return hits.unionByName(holding).distinct()
+    return hits.unionByName(holding)
 
 
 def _holding(areas, rings, step, keys, id_col, coarse_step):
@@ -607,7 +613,9 @@ def near_boundary(
         raise ValueError(f"the distance must be >= 0; got {distance}")
     if distance == 0:
         return intersects_boundary(features, boundary, id_col, step, geom)
-    sharing = intersects_boundary(features.select(id_col, geom), boundary, id_col, step, geom).select(id_col)
+    # Only ids are asked for: no geometry is moved before the last join.
+    settled, _, others = _sharing(features.select(id_col, geom), boundary, id_col, step, geom)
+    sharing = settled.select(id_col).unionByName(others)
     near = near_segments(features, polygon_edges(boundary, [], "geom"), distance, id_col, geom)
     return features.join(sharing.unionByName(near).distinct(), id_col, "left_semi")
 

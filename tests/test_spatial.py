@@ -152,3 +152,14 @@ def test_ring_wraps_columns_and_stops_at_the_poles(spark):
         F.array_contains(g.ring(g.cell(F.lit(-179.0), F.lit(0.0))), g.cell(F.lit(179.0), F.lit(0.0))).alias("c"),
     ).first()
     assert tuple(row) == (9, 6, True)
+
+
+def test_near_features_come_by_id_alone(spark, monkeypatch):
+    """Whether a feature shares a point is asked for its id; whole features are not joined
+    for it a second time."""
+    monkeypatch.setattr(S, "intersects_boundary", None)
+    bound = polygons(spark, [[[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0)]]])
+    xy = [(1, 1.0, 1.0, 3.0, 3.0), (2, 4.5, 1.0, 9.0, 1.0), (3, 6.0, 1.0, 9.0, 1.0), (4, -3.0, 2.0, 9.0, 2.0)]
+    ends = F.array(G.vertex(F.col("a"), F.col("b")), G.vertex(F.col("c"), F.col("d")))
+    lines = spark.createDataFrame(xy, "id int, a double, b double, c double, d double").select("id", G.line(ends).alias("geom"))
+    assert sorted(r["id"] for r in S.near_boundary(lines, bound, 80_000.0, "id", 1.0).collect()) == [1, 2, 4]
