@@ -95,9 +95,9 @@ def _evidence(features: list[np.ndarray], labels: np.ndarray, least_docs: int) -
 def _rows(features: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """Places of a document's buckets among the kept ones."""
     if not len(slots):
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int32)
     at = np.minimum(np.searchsorted(slots, features), len(slots) - 1)
-    return at[slots[at] == features]
+    return at[slots[at] == features].astype(np.int32)
 
 
 def _fit_once(
@@ -222,20 +222,24 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [terms(t, buckets) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["label", "terms"])
+            packed = pa.array([np.array(f, np.int32).tobytes() for f in found], pa.binary())
+            digests = [xxhash.xxh64_digest(repr((label, f)).encode()) for label, f in zip(batch.column(0).to_pylist(), found)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed, pa.array(digests, pa.binary())], names=["label", "terms", "digest"])
 
     # At most 2 * sample keys: that side is broadcast, the documents are not moved.
     rows = (
         texts(docs, id_col, text_col)
         .join(F.broadcast(chosen), F.col("__id") == F.col("__key"))
         .select("__label", "__text", "__id")
-        .mapInArrow(lambda it: run(b.select(["__label", "__text"]) for b in it), "label int, terms array<int>")
-        .collect()
+        .mapInArrow(lambda it: run(b.select(["__label", "__text"]) for b in it), "label int, terms binary, digest binary")
+        .toArrow()
     )
     # The order in which tasks answer must not matter.
-    rows.sort(key=lambda r: xxhash.xxh64_intdigest(repr((r.label, r.terms)).encode()))
+    rows = rows.take(np.argsort(np.array(rows["digest"].to_pylist(), "S8"), kind="stable"))
+    # Terms stay the four bytes each they came as.
+    features = [np.frombuffer(t.as_buffer(), np.int32) for t in rows["terms"]]
     total = sum(count.values())
-    return fit([np.array(r.terms, np.int64) for r in rows], np.array([r.label for r in rows]), buckets=buckets, rate=count.get(1, 0) / total if total else 0.5)
+    return fit(features, rows["label"].to_numpy(), buckets=buckets, rate=count.get(1, 0) / total if total else 0.5)
 
 
 class _Scorer:
