@@ -32,7 +32,7 @@ VOCABULARY = "byte_bpe_50k.json"
 LENGTH = 2048
 END_ID = 1
 DIMENSIONS, BITS = 4, 8
-REMEMBER = 400_000
+REMEMBER = 250_000
 # How byte-level vocabularies of this family cut texts into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # A space inside a run of white space: there words cannot be cut at single spaces.

@@ -17,7 +17,7 @@ where there are none at all); texts are read whole, each distinct word counts on
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +35,9 @@ SAMPLE = 4000
 LEAST_DOCS = 4
 # Strength of the pull on weights, chi-squared at which it has doubled, and pull on factors.
 PRIOR = (0.2, 1000.0, 100.0)
-REMEMBER = 400_000
+# Words a scorer remembers, and characters it looks at together: workers share an executor.
+REMEMBER = 100_000
+TOGETHER = 1 << 18
 WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -221,10 +223,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [terms(t, buckets) for t in batch.column(1).to_pylist()]
-            packed = pa.array([np.array(f, np.int32).tobytes() for f in found], pa.binary())
-            digests = [xxhash.xxh64_digest(repr((label, f)).encode()) for label, f in zip(batch.column(0).to_pylist(), found)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), packed, pa.array(digests, pa.binary())], names=["label", "terms", "digest"])
+            packed, digests = [], []
+            # Lists of terms take ten times their text, so there is one at a time.
+            for label, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                f = terms(t.as_py(), buckets)
+                packed.append(np.array(f, np.int32).tobytes())
+                digests.append(xxhash.xxh64_digest(repr((label, f)).encode()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary()), pa.array(digests, pa.binary())], names=["label", "terms", "digest"])
 
     # At most 2 * sample keys: that side is broadcast, the documents are not moved.
     rows = (
@@ -272,6 +277,21 @@ class _Scorer:
         flat = np.array([x for xs in rows for x in xs], np.int64)
         return 1 / (1 + np.exp(-np.clip(self.model.logits(flat, offsets), -700, 700)))
 
+    def scores(self, texts_: Iterable[str], together: int = TOGETHER) -> np.ndarray:
+        """Of any number of texts, looked at few at a time: their words take many times
+        the memory of the texts."""
+        out: list[np.ndarray] = [np.zeros(0)]
+        some: list[str] = []
+        size = 0
+        for t in texts_:
+            some.append(t)
+            size += len(t)
+            if size > together:
+                out.append(self(some))
+                some, size = [], 0
+        out.append(self(some) if some else np.zeros(0))
+        return np.concatenate(out)
+
 
 def scorer(docs: DataFrame, model: Model):
     """A function from a text column to its score, for use in any projection."""
@@ -282,16 +302,7 @@ def scorer(docs: DataFrame, model: Model):
     def score(column: pa.Array) -> pa.Array:
         if not held:
             held.append(_Scorer(sent.value))
-        out: list[np.ndarray] = []
-        rows = column.to_pylist()
-        begin = size = 0
-        for i, t in enumerate(rows):
-            size += len(t)
-            if size > 1 << 22:
-                out.append(held[0](rows[begin : i + 1]))
-                begin, size = i + 1, 0
-        out.append(held[0](rows[begin:]) if begin < len(rows) else np.zeros(0))
-        return pa.array(np.concatenate(out), pa.float64())
+        return pa.array(held[0].scores(t.as_py() for t in column), pa.float64())
 
     return lambda text: score(F.coalesce(text, F.lit("")))
 
